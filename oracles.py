@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from tastemill.functions.hashing import MINHASH_PRIME, minhash_coefficients
+
 INTER = """inter AS (
   SELECT CAST(o_custkey AS INTEGER) AS user_id, CAST(l_partkey AS INTEGER) AS item_id,
          CASE WHEN l_linestatus = 'F' THEN 1 ELSE 0 END AS is_read,
@@ -89,6 +91,40 @@ XXHASH_INT = f"""xa AS (
       THEN h::HUGEINT - 18446744073709551616::HUGEINT ELSE h::HUGEINT END) % 100 + 100) % 100 AS INTEGER) AS bucket
   FROM hashed)"""
 
+ORDER_READERS = f"{INTER}, readers AS (SELECT DISTINCT item_id, user_id AS reader FROM inter WHERE is_read = 1)"
+WORD_READERS = """words AS (
+  SELECT CAST(doc_id AS INTEGER) AS item_id,
+         unnest(regexp_split_to_array(lower(trim("text")), '[ \t\n\r]+')) AS word FROM documents), readers AS (
+  SELECT DISTINCT item_id, CAST('0x' || substr(md5(word), 1, 7) AS INTEGER) AS reader FROM words WHERE word <> '')"""
+
+
+def sets_sql(min_readers: int) -> str:
+    mins = ", ".join(
+        f"min(((reader::BIGINT + 1) * {a} + {b}) % {MINHASH_PRIME}) AS h{i}"
+        for i, (a, b) in enumerate(minhash_coefficients(5, 42))
+    )
+    return f"""sets AS (
+  SELECT item_id, count(*) AS reader_count, {mins} FROM readers GROUP BY item_id
+  HAVING count(*) >= {min_readers})"""
+
+
+def pairs_sql(readers: str, min_readers: int, max_distance: float, collide: bool) -> str:
+    same = " OR ".join(f"a.h{i} = b.h{i}" for i in range(5)) if collide else "true"
+    return f"""WITH {readers}, {sets_sql(min_readers)}, kept AS (
+  SELECT item_id, reader FROM readers WHERE item_id IN (SELECT item_id FROM sets)), shared AS (
+  SELECT x.item_id AS id_1, y.item_id AS id_2, count(*) AS inter
+  FROM kept x JOIN kept y ON x.reader = y.reader AND x.item_id < y.item_id GROUP BY 1, 2), scored AS (
+  SELECT id_1, id_2, a.reader_count AS r1, b.reader_count AS r2, inter,
+         a.reader_count + b.reader_count - inter AS uni,
+         inter / CAST(a.reader_count + b.reader_count - inter AS DOUBLE) AS j
+  FROM shared JOIN sets a ON a.item_id = id_1 JOIN sets b ON b.item_id = id_2 WHERE {same})
+SELECT id_1 AS item_id_1, id_2 AS item_id_2, r1 AS reader_count_1, r2 AS reader_count_2,
+       round(1 - j, 6) AS jaccard_distance, inter AS intersection_size, uni AS union_size,
+       round(j, 6) AS jaccard_similarity
+FROM scored WHERE CAST(1 AS DOUBLE) - j < CAST({max_distance} AS DOUBLE)
+ORDER BY j DESC, inter DESC, r1 DESC, r2 DESC, id_1, id_2 LIMIT 100"""
+
+
 ORACLES = {
     "interactions": f"WITH {INTER} SELECT * FROM inter",
     "csv_roundtrip": f"WITH {INTER} SELECT user_id, item_id, is_read, rating, is_reviewed FROM inter",
@@ -127,6 +163,11 @@ SELECT inter.* FROM inter JOIN buckets USING (user_id) WHERE bucket < 3""",
     "eval_cohort_liked": f"WITH {SPLIT}, {COHORT} SELECT * FROM cohort WHERE label = 'liked'",
     "item_popularity": f"WITH {SPLIT}, {TOP} SELECT * FROM top",
     "popularity_recs": f"WITH {SPLIT}, {TOP}, {recs_sql(1000)} SELECT * FROM recs",
+    "item_reader_sets": f"WITH {ORDER_READERS}, {sets_sql(10)} SELECT * FROM sets",
+    "similar_pairs_exact": pairs_sql(ORDER_READERS, 10, 0.9, False),
+    "similar_pairs_lsh": pairs_sql(ORDER_READERS, 10, 0.9, True),
+    "similar_pairs_words_exact": pairs_sql(WORD_READERS, 30, 0.8, False),
+    "similar_pairs_words_lsh": pairs_sql(WORD_READERS, 30, 0.8, True),
     "popularity_metrics": f"{POPULARITY} SELECT {ROUNDED} FROM metrics",
     **{
         f"popularity_metrics_{split}_{label}":

@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tastemill.operators import popularity, profile, sampling, signals
+from tastemill.operators import popularity, profile, sampling, signals, similarity
 from tastemill.operators.evaluate import evaluate_ranking
 from tastemill.plans.staging import splits, staged_path
 from tastemill.schemas import INTERACTIONS, METRICS
 from tastemill.sources import tables
-from tastemill.sources.fixtures import order_interactions
+from tastemill.sources.fixtures import order_interactions, word_readers
 
 K = 100
 SAMPLE_PCT = 3
@@ -74,6 +74,23 @@ def popularity_metrics_query(split, label):
     return lambda spark, sf_dir: rounded(popularity_metrics(spark, sf_dir, kinds=[(split, label)]))
 
 
+# Random orders have no near-equal reader sets, so their floor on readers and similarity is lower.
+ORDER_PAIRS = {"min_readers": 10, "max_distance": 0.9}
+
+
+def reader_sets(spark, sf_dir):
+    readers = similarity.reader_pairs(order_interactions(spark, sf_dir))
+    return similarity.item_reader_sets(readers, 10).drop("print_1", "print_2")
+
+
+def similar_pairs_query(name, source, **options):
+    def run(spark, sf_dir):
+        readers = similarity.reader_pairs(source(spark, sf_dir))
+        pairs = similarity.similar_pairs(readers, staged_path(spark, sf_dir, name), **options)
+        return rounded(pairs, ("jaccard_distance", "jaccard_similarity"))
+    return run
+
+
 QUERIES = {
     "interactions": interactions,
     "csv_roundtrip": csv_roundtrip,
@@ -98,5 +115,15 @@ QUERIES = {
     "item_popularity": lambda s, d: popularity.item_popularity(_train(s, d)),
     "popularity_recs": lambda s, d: popularity.popularity_recs(_train(s, d), K),
     **{f"popularity_metrics_{s}_{l}": popularity_metrics_query(s, l) for s, l in KINDS},
+    "item_reader_sets": reader_sets,
+    **{
+        name: similar_pairs_query(name, source, **options)
+        for name, source, options in [
+            ("similar_pairs_exact", order_interactions, {**ORDER_PAIRS, "collide": False}),
+            ("similar_pairs_lsh", order_interactions, ORDER_PAIRS),
+            ("similar_pairs_words_exact", word_readers, {"collide": False}),
+            ("similar_pairs_words_lsh", word_readers, {}),
+        ]
+    },
     "popularity_metrics": lambda s, d: rounded(popularity_metrics(s, d)),
 }

@@ -13,6 +13,7 @@ def local_session(cpus: int | str = 8, app: str = "tastemill", memory: str = "8g
         SparkSession.builder.master(f"local[{cpus}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", str(cpus) if str(cpus).isdigit() else "8")
         .config("spark.sql.adaptive.enabled", "true")
