@@ -17,7 +17,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -26,6 +26,8 @@ from tastemill.operators.skew import HOT_ROWS, hot_keys, slice_rows, sliced_join
 from tastemill.sources.tables import write_table
 
 EPS = 1e-9
+# How many common readers the prefixes of a pair must show before it is counted exactly.
+SHARED = 3
 
 
 def reader_pairs(df: DataFrame, item: str = "item_id", user: str = "user_id") -> DataFrame:
@@ -62,38 +64,50 @@ def set_classes(items: DataFrame) -> DataFrame:
     )
 
 
-def _collide(hs: list[str], left: str, right: str) -> Column:
-    return reduce(lambda x, y: x | y, [F.col(f"{left}{h}") == F.col(f"{right}{h}") for h in hs])
+def class_summary(classes: DataFrame) -> Row:
+    """Three numbers that decide which hot-key measures a plan needs: how many distinct
+    sets there are, the largest set, and how many item pairs have identical sets."""
+    m = F.col("members").cast("double")
+    return classes.agg(
+        F.count("*").alias("sets"),
+        F.coalesce(F.max("reader_count"), F.lit(0)).alias("largest"),
+        F.coalesce(F.sum(m * (m - 1) / 2), F.lit(0.0)).alias("copies"),
+    ).first()
 
 
-def neighbour_pairs(classes: DataFrame, hs: list[str], top: int) -> DataFrame:
+def neighbour_pairs(classes: DataFrame, hs: list[str], top: int, hot_rows: int = HOT_ROWS, sets: int = 0) -> DataFrame:
     """The ``top`` most promising pairs of neighbours in signature order: (a, b, ra, rb).
 
-    Only a floor is derived from them, so a hot signature may be sliced freely.
+    Only a floor is derived from them, so a signature shared by very many sets is
+    sliced freely; below ``hot_rows`` sets none can be.
     """
     turns = [F.struct(F.lit(i).alias("turn"), F.col(h).alias("g1"), F.col(hs[(i + 1) % len(hs)]).alias("g2"))
              for i, h in enumerate(hs)]
-    rows = classes.select("rep", "reader_count", *hs, F.inline(F.array(*turns))).withColumn(
-        "g", F.xxhash64("turn", "g1", "g2")
+    rows = classes.select("rep", "reader_count", *hs, F.inline(F.array(*turns))).select(
+        "rep", "reader_count", *hs, F.xxhash64("turn", "g1", "g2").alias("g")
     )
-    sizes = rows.groupBy("g").agg(F.count("*").alias("n"))
-    sliced = slice_rows(rows, "g", hot_keys(sizes, "g"), "rep")
+    hot = hot_keys(rows.groupBy("g").agg(F.count("*").alias("n")), "g", hot_rows) if sets > hot_rows else None
     order = W.partitionBy("g", "_slice").orderBy(*hs, "reader_count", "rep")
     nxt = F.lead(F.struct("rep", "reader_count", *hs)).over(order)
-    pairs = sliced.withColumn("nxt", nxt).where(F.col("nxt").isNotNull())
+    pairs = slice_rows(rows, "g", "rep", hot).withColumn("nxt", nxt).where(F.col("nxt").isNotNull())
     agree = reduce(lambda x, y: x + y, [(F.col(h) == F.col(f"nxt.{h}")).cast("int") for h in hs])
-    ra, rb = F.col("reader_count"), F.col("nxt.reader_count")
+    ra, rb, first = F.col("reader_count"), F.col("nxt.reader_count"), F.col("rep") < F.col("nxt.rep")
     scored = pairs.select(
         F.least("rep", "nxt.rep").alias("a"), F.greatest("rep", "nxt.rep").alias("b"),
-        F.when(F.col("rep") < F.col("nxt.rep"), ra).otherwise(rb).alias("ra"),
-        F.when(F.col("rep") < F.col("nxt.rep"), rb).otherwise(ra).alias("rb"),
+        F.when(first, ra).otherwise(rb).alias("ra"), F.when(first, rb).otherwise(ra).alias("rb"),
         (agree + F.least(ra, rb) / F.greatest(ra, rb)).alias("promise"),
     )
     best = scored.groupBy("a", "b", "ra", "rb").agg(F.max("promise").alias("promise"))
     return best.orderBy(F.desc("promise"), "a", "b").limit(top).drop("promise")
 
 
-def overlaps(pairs: DataFrame, readers: DataFrame, items: DataFrame) -> DataFrame:
+def hot_items(items: DataFrame, largest: int, hot_rows: int) -> DataFrame | None:
+    if largest <= hot_rows:
+        return None
+    return hot_keys(items.select("item_id", F.col("reader_count").alias("n")), "item_id", hot_rows)
+
+
+def overlaps(pairs: DataFrame, readers: DataFrame, hot: DataFrame | None) -> DataFrame:
     """Exact intersection and Jaccard similarity of each pair (a, b, ra, rb).
 
     Both members meet the readers in one join on the item; a reader that two rows
@@ -101,74 +115,70 @@ def overlaps(pairs: DataFrame, readers: DataFrame, items: DataFrame) -> DataFram
     reader, and the count per pair collapses before its shuffle.
     """
     sides = pairs.select("a", "b", "ra", "rb", F.explode(F.array("a", "b")).alias("item_id"))
-    sizes = items.select("item_id", F.col("reader_count").alias("n"))
-    met = sliced_join(readers, sides, "item_id", "reader", sizes)
+    met = sliced_join(readers, sides, "item_id", "reader", hot)
     shared = met.groupBy("a", "b", "ra", "rb", "reader").agg(F.count("*").alias("c")).where(F.col("c") == 2)
-    inter = shared.groupBy("a", "b", "ra", "rb").agg(F.count("*").alias("inter"))
-    return inter.withColumn("union", F.col("ra") + F.col("rb") - F.col("inter")).withColumn(
-        "jaccard", F.col("inter") / F.col("union")
+    union = F.col("ra") + F.col("rb") - F.col("inter")
+    return shared.groupBy("a", "b", "ra", "rb").agg(F.count("*").alias("inter")).select(
+        "*", union.alias("union"), (F.col("inter") / union).alias("jaccard")
     )
 
 
-def similarity_floor(
-    classes: DataFrame, readers: DataFrame, items: DataFrame, hs: list[str], k: int, lowest: float
-) -> float:
+def similarity_floor(known: DataFrame, k: int, lowest: float) -> float:
     """A similarity that k pairs are known to reach; ``lowest`` if fewer are known.
 
     Brings one number per known pair to the driver, at most k.
     """
-    m = F.col("members").cast("double")
-    copies = classes.where(m > 1).agg(F.sum(m * (m - 1) / 2)).first()[0] or 0
-    if copies >= k:
-        return 1.0
-    known = overlaps(neighbour_pairs(classes, hs, 10 * k), readers, items)
-    best = [r.jaccard for r in known.select("jaccard").orderBy(F.desc("jaccard")).limit(k - int(copies)).collect()]
-    return max(best[-1], lowest) if len(best) == k - int(copies) else lowest
+    best = [r.jaccard for r in known.select("jaccard").orderBy(F.desc("jaccard")).limit(k).collect()]
+    return max(best[-1], lowest) if len(best) == k else lowest
 
 
 def candidate_pairs(
-    classes: DataFrame, readers: DataFrame, items: DataFrame, hs: list[str], floor: float, collide: bool
+    classes: DataFrame, readers: DataFrame, hs: list[str], floor: float, collide: bool,
+    hot: DataFrame | None, hot_rows: int = HOT_ROWS, sets: int = 0,
 ) -> DataFrame:
     """Class pairs that may reach ``floor``: (a, b, ra, rb), each once, a the smaller set.
 
     Readers are ordered by how many sets they are in, rarest first. Two sets of
-    Jaccard >= t share one of the first r - ceil(t r) + 1 readers of each. A hot item
-    is numbered per slice; its prefix is then a superset, which only adds candidates.
+    Jaccard >= t have at least need = t / (1 + t) (ra + rb) readers in common, and the
+    first min(need, SHARED) of those lie among the first r - ceil(t r) + SHARED readers
+    of each set. A hot item is numbered per slice; its prefix is then a superset,
+    which only adds candidates. A reader is in no more sets than there are, so
+    the reader joins are sliced only when there are more than ``hot_rows`` sets.
     """
     t = F.lit(floor)
     reps = classes.select(F.col("rep").alias("item_id"), "reader_count", *hs)
-    sizes = items.select("item_id", F.col("reader_count").alias("n"))
-    rows = sliced_join(readers, reps, "item_id", "reader", sizes)
+    rows = sliced_join(readers, reps, "item_id", "reader", hot)
     degree = rows.groupBy("reader").agg(F.count("*").alias("n"))
-    ranked = sliced_join(rows, degree, "reader", "item_id", degree)
-    hot_items = hot_keys(sizes, "item_id")
+    hot_readers = hot_keys(degree, "reader", hot_rows) if sets > hot_rows else None
+    ranked = sliced_join(rows, degree, "reader", "item_id", hot_readers)
     order = W.partitionBy("item_id", "_slice").orderBy("n", "reader")
     r = F.col("reader_count")
     prefix = (
-        slice_rows(ranked, "item_id", hot_items, "reader")
+        slice_rows(ranked, "item_id", "reader", hot)
         .withColumn("pos", F.row_number().over(order))
-        .where(F.col("pos") <= r - F.ceil(t * r - EPS) + 1)
-        .drop("n", "_slice")
+        .where(F.col("pos") <= r - F.ceil(t * r - EPS) + SHARED)
     )
-    names = ["item_id", "reader_count", "pos", *hs]
+    names = ["item_id", "reader_count", *hs]
     left = prefix.select("reader", *[F.col(c).alias(f"a_{c}") for c in names])
     right = prefix.select("reader", *[F.col(c).alias(f"b_{c}") for c in names])
+    pair_rows = hot_rows // 10
+    in_prefix = prefix.groupBy("reader").agg(F.count("*").alias("n"))
+    hot_prefix = hot_keys(in_prefix, "reader", pair_rows) if sets > pair_rows else None
     ra, rb = F.col("a_reader_count"), F.col("b_reader_count")
-    fits = (
-        ((ra < rb) | ((ra == rb) & (F.col("a_item_id") < F.col("b_item_id"))))
-        & (ra >= t * rb - EPS)
-        & (F.least(ra - F.col("a_pos"), rb - F.col("b_pos")) + 1 >= t / (t + 1) * (ra + rb) - EPS)
-    )
+    fits = ((ra < rb) | ((ra == rb) & (F.col("a_item_id") < F.col("b_item_id")))) & (ra >= t * rb - EPS)
     if collide:
-        fits = fits & _collide(hs, "a_", "b_")
-    in_prefix = prefix.groupBy("reader").agg(F.count("*").alias("n"))
-    met = sliced_join(left, right, "reader", "a_item_id", in_prefix, HOT_ROWS // 10, fits)
-    return met.select(
-        F.col("a_item_id").alias("a"), F.col("b_item_id").alias("b"), ra.alias("ra"), rb.alias("rb")
-    ).distinct()
+        fits = fits & reduce(lambda x, y: x | y, [F.col(f"a_{h}") == F.col(f"b_{h}") for h in hs])
+    met = sliced_join(left, right, "reader", "a_item_id", hot_prefix).where(fits)
+    need = F.ceil(t / (t + 1) * (F.col("ra") + F.col("rb")) - EPS)
+    return (
+        met.groupBy(F.col("a_item_id").alias("a"), F.col("b_item_id").alias("b"), ra.alias("ra"), rb.alias("rb"))
+        .agg(F.count("*").alias("c"))
+        .where(F.col("c") >= F.least(need, F.lit(SHARED)))
+        .drop("c")
+    )
 
 
-def top_item_pairs(class_pairs: DataFrame, classes: DataFrame, items: DataFrame, k: int) -> DataFrame:
+def top_item_pairs(class_pairs: DataFrame | None, classes: DataFrame, items: DataFrame, k: int) -> DataFrame:
     """Spell the best class pairs out as item pairs (id_1 < id_2) and keep the top k.
 
     A directed class pair holds the pairs whose lower id is in ``l`` and higher id in
@@ -176,25 +186,31 @@ def top_item_pairs(class_pairs: DataFrame, classes: DataFrame, items: DataFrame,
     within it uses only the first k members of ``l`` and the first k members of ``r``
     above the lowest of ``l``: at most k * k pairs are spelled out for each.
     """
-    info = classes.select("rep", "last", "print_1", "print_2")
-    def side(name: str) -> DataFrame:
-        return info.select(*[F.col(c).alias(f"{name}_{c}") for c in info.columns])
-    both = class_pairs.join(side("a"), F.col("a") == F.col("a_rep")).join(side("b"), F.col("b") == F.col("b_rep"))
-    def directed(l: str, r: str) -> DataFrame:
-        return both.where(F.col(f"{l}_rep") < F.col(f"{r}_last")).select(
-            *[F.col(f"{l}_{c}").alias(f"l_{c}") for c in ("rep", "print_1", "print_2")],
-            *[F.col(f"{r}_{c}").alias(f"r_{c}") for c in ("rep", "print_1", "print_2")],
-            F.col(f"r{l}").alias("r1"), F.col(f"r{r}").alias("r2"), "inter", "union", "jaccard",
-        )
+    keys = ("rep", "print_1", "print_2")
     n = F.col("reader_count")
-    copies = classes.where(F.col("members") > 1).select(
-        *[F.col(c).alias(f"{p}_{c}") for p in "lr" for c in ("rep", "print_1", "print_2")],
+    directed = classes.where(F.col("members") > 1).select(
+        *[F.col(c).alias(f"{p}_{c}") for p in "lr" for c in keys],
         n.alias("r1"), n.alias("r2"), n.alias("inter"), n.alias("union"), F.lit(1.0).alias("jaccard"),
     )
+    if class_pairs is not None:
+        info = classes.select(*keys, "last")
+        a, b = (info.select(*[F.col(c).alias(f"{p}_{c}") for c in info.columns]) for p in "ab")
+        both = class_pairs.join(a, F.col("a") == F.col("a_rep")).join(b, F.col("b") == F.col("b_rep"))
+        ways = F.array(*[
+            F.when(F.col(f"{l}_rep") < F.col(f"{r}_last"), F.struct(
+                *[F.col(f"{l}_{c}").alias(f"l_{c}") for c in keys],
+                *[F.col(f"{r}_{c}").alias(f"r_{c}") for c in keys],
+                F.col(f"r{l}").alias("r1"), F.col(f"r{r}").alias("r2"),
+            ))
+            for l, r in ("ab", "ba")
+        ])
+        directed = directed.unionByName(
+            both.select(F.inline(F.array_compact(ways)), "inter", "union", "jaccard")
+        )
     order = [F.desc("jaccard"), F.desc("inter"), F.desc("r1"), F.desc("r2")]
     # rank keeps ties, and a rank limit is applied in every task before the single window.
     best = (
-        directed("a", "b").unionByName(directed("b", "a")).unionByName(copies)
+        directed
         .withColumn("place", F.rank().over(W.orderBy(*order, "l_rep")))
         .where(F.col("place") <= k).drop("place")
     )
@@ -228,6 +244,7 @@ def similar_pairs(
     tables: int = 5,
     seed: int = 42,
     collide: bool = True,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Top-k item pairs by Jaccard similarity, then intersection and sizes, all descending, then ids.
 
@@ -236,11 +253,17 @@ def similar_pairs(
     """
     readers = write_table(readers, f"{work_dir}/readers")
     items = write_table(item_reader_sets(readers, min_readers, tables, seed), f"{work_dir}/items")
-    hs = _signature(items)
     classes = write_table(set_classes(items), f"{work_dir}/classes")
+    hs = _signature(items)
+    known = class_summary(classes)
+    if known.copies >= k:
+        # Identical sets fill the whole answer; distinct sets are all less similar.
+        return top_item_pairs(None, classes, items, k)
+    hot = hot_items(items, known.largest, hot_rows)
     lowest = 1.0 - max_distance
-    floor = similarity_floor(classes, readers, items, hs, k, lowest)
-    candidates = candidate_pairs(classes, readers, items, hs, floor, collide)
-    scored = overlaps(candidates, readers, items)
+    near = neighbour_pairs(classes, hs, 10 * k, hot_rows, known.sets)
+    floor = similarity_floor(overlaps(near, readers, hot), k - int(known.copies), lowest)
+    candidates = candidate_pairs(classes, readers, hs, floor, collide, hot, hot_rows, known.sets)
+    scored = overlaps(candidates, readers, hot)
     close = scored.where((1.0 - F.col("jaccard") < max_distance) & (F.col("jaccard") >= floor))
     return top_item_pairs(write_table(close, f"{work_dir}/pairs"), classes, items, k)

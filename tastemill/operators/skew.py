@@ -15,23 +15,28 @@ def hot_keys(sizes: DataFrame, key: str, limit: int = HOT_ROWS) -> DataFrame:
     return sizes.where(F.col("n") > limit).select(key, F.ceil(F.col("n") / limit).alias("_slices"))
 
 
-def slice_rows(rows: DataFrame, key: str, hot: DataFrame, by: str) -> DataFrame:
+def slice_rows(rows: DataFrame, key: str, by: str, hot: DataFrame | None) -> DataFrame:
     """Add ``_slice``: 0, or for a hot key the slice that the hash of ``by`` picks."""
+    if hot is None:
+        return rows.withColumn("_slice", F.lit(0).cast("bigint"))
     picked = F.pmod(F.xxhash64(by), F.coalesce(F.col("_slices"), F.lit(1)))
     return rows.join(F.broadcast(hot), key, "left").withColumn("_slice", picked).drop("_slices")
 
 
 def sliced_join(
-    rows: DataFrame, other: DataFrame, key: str, by: str, sizes: DataFrame,
-    limit: int = HOT_ROWS, condition: Column | None = None,
+    rows: DataFrame, other: DataFrame, key: str, by: str, hot: DataFrame | None
 ) -> DataFrame:
     """Inner join on ``key`` that deals a hot key's ``rows`` over slices by the hash of ``by``
-    and repeats the matching rows of ``other`` on each slice. ``sizes`` is (key, n) for ``rows``."""
-    hot = hot_keys(sizes, key, limit)
+    and repeats the matching rows of ``other`` on each slice.
+
+    ``hot`` comes from ``hot_keys`` over ``rows``; None says no key can be hot.
+    """
+    if hot is None:
+        return rows.join(other, key)
+    slices = F.sequence(F.lit(0).cast("bigint"), F.coalesce(F.col("_slices"), F.lit(1)) - 1)
     repeated = (
         other.join(F.broadcast(hot), key, "left")
-        .withColumn("_slice", F.explode(F.sequence(F.lit(0).cast("bigint"), F.coalesce(F.col("_slices"), F.lit(1)) - 1)))
+        .withColumn("_slice", F.explode(slices))
         .drop("_slices")
     )
-    joined = slice_rows(rows, key, hot, by).join(repeated, [key, "_slice"])
-    return (joined if condition is None else joined.where(condition)).drop("_slice")
+    return slice_rows(rows, key, by, hot).join(repeated, [key, "_slice"]).drop("_slice")
