@@ -125,6 +125,19 @@ FROM scored WHERE CAST(1 AS DOUBLE) - j < CAST({max_distance} AS DOUBLE)
 ORDER BY j DESC, inter DESC, r1 DESC, r2 DESC, id_1, id_2 LIMIT 100"""
 
 
+METRIC_NAMES = ("map", "ndcg_at_k", "precision_at_k", "recall_at_k")
+POOLS = (100, 150, 1000)
+RUNS = f"WITH {SPLIT}, {LABELS}, {COHORT}, {TOP}, " + ", ".join(
+    f"{recs_sql(pool, f'recs_{pool}')}, {metrics_sql(f'recs_{pool}', f'metrics_{pool}')}" for pool in POOLS
+) + ", runs AS (" + " UNION ALL ".join(
+    f"SELECT 'popularity' AS model, CAST({pool} AS INTEGER) AS pool, {ROUNDED} FROM metrics_{pool}" for pool in POOLS
+) + "), board AS (SELECT * FROM runs WHERE split = 'validation' AND label = 'read')"
+COMPARE = RUNS + " SELECT a.label, 'popularity_' || a.pool AS model, a.pool, a.users, " + ", ".join(
+    f"a.{m}, round((a.{m} / b.{m} - 1) * 100, 6) AS lift_{m}" for m in METRIC_NAMES
+) + """ FROM runs a JOIN runs b ON b.label = a.label AND b.split = a.split AND b.pool = 1000
+WHERE a.split = 'test' AND a.pool IN (100, 1000)"""
+
+
 ORACLES = {
     "interactions": f"WITH {INTER} SELECT * FROM inter",
     "csv_roundtrip": f"WITH {INTER} SELECT user_id, item_id, is_read, rating, is_reviewed FROM inter",
@@ -168,6 +181,15 @@ SELECT inter.* FROM inter JOIN buckets USING (user_id) WHERE bucket < 3""",
     "similar_pairs_lsh": pairs_sql(ORDER_READERS, 10, 0.9, True),
     "similar_pairs_words_exact": pairs_sql(WORD_READERS, 30, 0.8, False),
     "similar_pairs_words_lsh": pairs_sql(WORD_READERS, 30, 0.8, True),
+    "ranked_lists": f"""WITH {SPLIT}, {TOP}, {recs_sql(1000)}
+SELECT user_id, string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY "rank") AS items FROM recs GROUP BY user_id""",
+    "mean_rating_rmse": f"""WITH {SPLIT}, mean AS (
+  SELECT avg(CAST(rating AS DOUBLE)) AS m FROM train WHERE rating > 0)
+SELECT split, count(*) AS "rows", round(sqrt(avg((rating - m) * (rating - m))), 6) AS rmse
+FROM dealt CROSS JOIN mean WHERE split <> 'train' AND rating > 0 GROUP BY split""",
+    "grid_leaderboard": f"{RUNS} SELECT * FROM board",
+    "best_config": f"{RUNS} SELECT * FROM board ORDER BY ndcg_at_k DESC, pool LIMIT 1",
+    "compare_models": COMPARE,
     "popularity_metrics": f"{POPULARITY} SELECT {ROUNDED} FROM metrics",
     **{
         f"popularity_metrics_{split}_{label}":

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tastemill.operators import popularity, profile, sampling, signals, similarity
-from tastemill.operators.evaluate import evaluate_ranking
+from tastemill.operators import als, popularity, profile, sampling, signals, similarity
+from tastemill.operators.evaluate import evaluate_ranking, rmse
+from tastemill.plans import experiments as ex
 from tastemill.plans.staging import splits, staged_path
 from tastemill.schemas import INTERACTIONS, METRICS
 from tastemill.sources import tables
@@ -91,6 +92,114 @@ def similar_pairs_query(name, source, **options):
     return run
 
 
+# Grid cells small enough for one machine; the families' own defaults are in `experiments`.
+EXPLICIT = ex.explicit_config(rank=20, reg_param=0.1)
+IMPLICIT = ex.implicit_config(rank=20, reg_param=0.1)
+COMBINED = ex.combined_config(1.0, 2.0, rank=20, reg_param=0.1)
+EXPLICIT_GRID = [ex.explicit_config(rank, reg) for rank in (5, 20) for reg in (0.01, 0.1)]
+POOLS = (100, 150, 1000)
+LIKED = [(s, "liked") for s in ("validation", "test")]
+READ = [(s, "read") for s in ("validation", "test")]
+
+
+def _model(spark, sf_dir, config):
+    return ex.fit_or_load(config, _train(spark, sf_dir), staged_path(spark, sf_dir, "models"))
+
+
+def als_recs_query(config, kind):
+    """Fits anew and saves, so the metric queries can take the model up."""
+    def run(spark, sf_dir):
+        train = _train(spark, sf_dir)
+        model = ex.fit_model(config, train)
+        ex.save_model(model, staged_path(spark, sf_dir, "models"), config)
+        labels = signals.build_labels(_held_out(spark, sf_dir), [kind])
+        return ex.recommend(config, model, train, labels, K)
+    return run
+
+
+def ranked_lists(spark, sf_dir):
+    return als.to_ranked_lists(popularity.popularity_recs(_train(spark, sf_dir), K)).select(
+        "user_id", F.array_join("items", ",").alias("items")
+    )
+
+
+def als_metrics_query(config, kinds):
+    def run(spark, sf_dir):
+        model = _model(spark, sf_dir, config)
+        rows = ex.evaluate_model(config, model, _train(spark, sf_dir), _held_out(spark, sf_dir), kinds, K)
+        return rounded(rows)
+    return run
+
+
+def als_explicit_rmse(spark, sf_dir):
+    rated = signals.rated_rows(_held_out(spark, sf_dir), "split")
+    return rmse(als.predict_ratings(_model(spark, sf_dir, EXPLICIT), rated), ["split"])
+
+
+def mean_rating_rmse(spark, sf_dir):
+    """The error of always predicting the mean train rating: the bar for a model."""
+    mean = signals.explicit_signal(_train(spark, sf_dir)).agg(F.avg("score"))
+    rated = signals.rated_rows(_held_out(spark, sf_dir), "split")
+    return rounded(rmse(rated.withColumn("prediction", mean.scalar()), ["split"]), ["rmse"])
+
+
+def popularity_runs(spark, sf_dir):
+    """The popularity family over its pool sizes, logged in a run table."""
+    path = staged_path(spark, sf_dir, "popularity-runs")
+    for pool in POOLS:
+        metrics = rounded(popularity_metrics(spark, sf_dir, K, pool))
+        ex.log_runs(ex.as_runs(ex.popularity_config(pool), metrics), path)
+    return ex.read_runs(spark, path)
+
+
+BOARD = ("model", "pool", "split", "label", "users", *METRICS)
+
+
+def grid_leaderboard(spark, sf_dir):
+    return ex.leaderboard(popularity_runs(spark, sf_dir), "popularity", label="read").select(*BOARD)
+
+
+def best_config(spark, sf_dir):
+    return ex.best_run(popularity_runs(spark, sf_dir), "popularity", label="read").select(*BOARD)
+
+
+def compare_models(spark, sf_dir):
+    """A short pool beside the full one, with the change in percent."""
+    runs = popularity_runs(spark, sf_dir)
+    named = runs.where(F.col("pool").isin(100, 1000)).withColumn(
+        "model", F.concat_ws("_", "model", "pool")
+    )
+    lifts = [f"lift_{m}" for m in METRICS]
+    return rounded(ex.compare_models(named, "popularity_1000"), [*METRICS, *lifts])
+
+
+def _explicit_grid(spark, sf_dir):
+    paths = [staged_path(spark, sf_dir, name) for name in ("models", "explicit-runs")]
+    kinds = [("validation", "liked")]
+    return ex.run_grid(EXPLICIT_GRID, _train(spark, sf_dir), _held_out(spark, sf_dir), kinds, *paths, K, load_saved=True)
+
+
+def als_grid_leaderboard(spark, sf_dir):
+    return ex.leaderboard(_explicit_grid(spark, sf_dir), "explicit")
+
+
+def als_select_and_test(spark, sf_dir):
+    _explicit_grid(spark, sf_dir)
+    models, runs = (staged_path(spark, sf_dir, name) for name in ("models", "explicit-runs"))
+    return ex.select_and_test(runs, models, "explicit", _train(spark, sf_dir), _held_out(spark, sf_dir))
+
+
+def als_compare_models(spark, sf_dir):
+    """Popularity and the three factor models on the test split, with the lift over popularity."""
+    train, held_out = _train(spark, sf_dir), _held_out(spark, sf_dir)
+    path = staged_path(spark, sf_dir, "all-runs")
+    test = [("test", "liked"), ("test", "read")]
+    ex.log_runs(ex.as_runs(ex.popularity_config(), popularity_metrics(spark, sf_dir, kinds=test)), path)
+    for config, kinds in ((EXPLICIT, test[:1]), (IMPLICIT, test[1:]), (COMBINED, test)):
+        ex.log_runs(ex.evaluate_model(config, _model(spark, sf_dir, config), train, held_out, kinds, K), path)
+    return ex.compare_models(ex.read_runs(spark, path), "popularity")
+
+
 QUERIES = {
     "interactions": interactions,
     "csv_roundtrip": csv_roundtrip,
@@ -126,4 +235,19 @@ QUERIES = {
         ]
     },
     "popularity_metrics": lambda s, d: rounded(popularity_metrics(s, d)),
+    "ranked_lists": ranked_lists,
+    "mean_rating_rmse": mean_rating_rmse,
+    "grid_leaderboard": grid_leaderboard,
+    "best_config": best_config,
+    "compare_models": compare_models,
+    "als_explicit_recs": als_recs_query(EXPLICIT, "liked"),
+    "als_implicit_recs": als_recs_query(IMPLICIT, "read"),
+    "als_combined_recs": als_recs_query(COMBINED, "liked"),
+    "als_explicit_metrics": als_metrics_query(EXPLICIT, LIKED),
+    "als_implicit_metrics": als_metrics_query(IMPLICIT, READ),
+    "als_combined_metrics": als_metrics_query(COMBINED, KINDS),
+    "als_explicit_rmse": als_explicit_rmse,
+    "als_grid_leaderboard": als_grid_leaderboard,
+    "als_select_and_test": als_select_and_test,
+    "als_compare_models": als_compare_models,
 }

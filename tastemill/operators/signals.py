@@ -10,8 +10,13 @@ from pyspark.sql import functions as F
 from tastemill.functions.signals import combined_score, implicit_score, label_rule
 
 
+def rated_rows(df: DataFrame, *keep: str) -> DataFrame:
+    """Rows with a rating: (user_id, item_id, *keep, score)."""
+    return df.where(F.col("rating") > 0).select("user_id", "item_id", *keep, F.col("rating").alias("score"))
+
+
 def explicit_signal(df: DataFrame, dedupe: bool = False) -> DataFrame:
-    rated = df.where(F.col("rating") > 0).select("user_id", "item_id", F.col("rating").alias("score"))
+    rated = rated_rows(df)
     return _one_per_pair(rated) if dedupe else rated
 
 

@@ -33,11 +33,9 @@ def word_readers(spark: SparkSession, sf_dir: str) -> DataFrame:
     A word becomes an int32 by the first seven hex digits of its md5.
     """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    words = docs.select(
-        F.col("doc_id").cast("int").alias("item_id"),
-        F.explode(F.split(F.lower(F.trim("text")), r"[ \t\n\r]+")).alias("word"),
-    ).where(F.col("word") != "")
-    return words.select(
+    words = F.array_distinct(F.split(F.lower(F.trim("text")), r"[ \t\n\r]+"))
+    per_doc = docs.select(F.col("doc_id").cast("int").alias("item_id"), F.explode(words).alias("word"))
+    return per_doc.where(F.col("word") != "").select(
         "item_id",
         hex_int(F.md5(F.col("word").cast("binary")), 7).cast("int").alias("user_id"),
         F.lit(1).alias("is_read"),
