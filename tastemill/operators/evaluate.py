@@ -39,7 +39,7 @@ def user_metrics(
 ) -> DataFrame:
     """Per (user, split, label): MAP part, NDCG@k, precision@k and recall@k.
 
-    ``recs`` is (user_id, item_id, rank), ``labels`` (user_id, item_id, split, label).
+    ``recs`` is (user_id, item_id, rank) with ranks 1..n, ``labels`` (user_id, item_id, split, label).
     Recommendations and labels are stacked and aggregated by (user, item): repeated
     labels collapse before the shuffle, a match is a pair that has both a rank and a
     label bit, and a user with a third of the labels is spread over all tasks. The
@@ -58,14 +58,16 @@ def user_metrics(
     pairs = stacked.groupBy("user_id", "item_id").agg(
         F.min("rank").alias("rank"), F.bit_or("bits").alias("bits")
     )
-    aggs = [F.count("rank").alias("n_recs")]
+    # A list has a first place if it has any: other unlabelled places decide nothing.
+    pairs = pairs.where((F.col("bits") != 0) | (F.col("rank") == 1))
+    aggs = [F.count_if(F.col("rank") == 1).alias("lists")]
     for i in range(len(kinds)):
         is_label = F.col("bits").bitwiseAND(F.lit(1 << i)) != 0
         aggs.append(F.count_if(is_label).alias(f"n{i}"))
         aggs.append(F.collect_list(F.when(is_label, F.col("rank"))).alias(f"hits{i}"))
     users = pairs.groupBy("user_id").agg(*aggs)
     if missing == "drop":
-        users = users.where(F.col("n_recs") > 0)
+        users = users.where(F.col("lists") > 0)
     per_kind = F.array(*[
         F.struct(
             F.lit(split).alias("split"), F.lit(label).alias("label"),

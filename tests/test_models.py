@@ -60,6 +60,17 @@ def test_lists(parts, model):
     assert ordered.count() == 0
 
 
+def test_both_ways_to_score_agree(parts, model):
+    users = parts[0].select("user_id").distinct()
+    for pool in (7, 1000):
+        near = als.als_candidates(model, users, pool)
+        far = als.als_candidates(model, users, pool, broadcast_bytes=0)
+        rows = lambda df: {(r.user_id, r.item_id): r.score for r in df.collect()}
+        one, two = rows(near), rows(far)
+        assert near.dtypes == far.dtypes and one.keys() == two.keys()
+        assert max(abs(one[p] - two[p]) for p in one) < 1e-4
+
+
 def test_same_seed_same_factors(parts, model):
     again = ex.fit_model(CONFIG, parts[0].repartition(13))
     assert again.rank == 3
