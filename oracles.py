@@ -188,6 +188,7 @@ SELECT user_id, string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY "rank") AS ite
 SELECT split, count(*) AS "rows", round(sqrt(avg((rating - m) * (rating - m))), 6) AS rmse
 FROM dealt CROSS JOIN mean WHERE split <> 'train' AND rating > 0 GROUP BY split""",
     "grid_leaderboard": f"{RUNS} SELECT * FROM board",
+    "csv_export": f"{RUNS} SELECT * FROM board",
     "best_config": f"{RUNS} SELECT * FROM board ORDER BY ndcg_at_k DESC, pool LIMIT 1",
     "compare_models": COMPARE,
     "popularity_metrics": f"{POPULARITY} SELECT {ROUNDED} FROM metrics",

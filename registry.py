@@ -159,6 +159,14 @@ def grid_leaderboard(spark, sf_dir):
     return ex.leaderboard(popularity_runs(spark, sf_dir), "popularity", label="read").select(*BOARD)
 
 
+def csv_export(spark, sf_dir):
+    """The leaderboard as a one-file CSV report, read back."""
+    path = staged_path(spark, sf_dir, "leaderboard-csv")
+    board = grid_leaderboard(spark, sf_dir)
+    tables.export_csv(board, path)
+    return tables.read_csv(spark, path, board.schema)
+
+
 def best_config(spark, sf_dir):
     return ex.best_run(popularity_runs(spark, sf_dir), "popularity", label="read").select(*BOARD)
 
@@ -238,6 +246,7 @@ QUERIES = {
     "ranked_lists": ranked_lists,
     "mean_rating_rmse": mean_rating_rmse,
     "grid_leaderboard": grid_leaderboard,
+    "csv_export": csv_export,
     "best_config": best_config,
     "compare_models": compare_models,
     "als_explicit_recs": als_recs_query(EXPLICIT, "liked"),

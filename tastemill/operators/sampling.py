@@ -105,11 +105,15 @@ def with_row_key(df: DataFrame, hot_copies: int = 100_000) -> DataFrame:
     """
     cols = df.columns
     counted = df.groupBy(*cols).agg(F.count("*").alias("_m"))
-    ranges = counted.withColumn(
-        "_from", F.explode(F.expr(f"sequence(bigint(0), _m - 1, bigint({hot_copies}))"))
+    few = counted.where(F.col("_m") <= hot_copies).select(*cols, _numbers(F.lit(0), F.col("_m")).alias("_copy"))
+    ranges = counted.where(F.col("_m") > hot_copies).select(
+        *cols, "_m", F.explode(F.expr(f"sequence(bigint(0), _m - 1, bigint({hot_copies}))")).alias("_from")
     )
-    spread = ranges.repartition(*cols, "_from")
-    copies = spread.withColumn(
-        "_copy", F.explode(F.expr(f"sequence(_from, least(_from + {hot_copies}, _m) - 1)"))
-    )
-    return copies.withColumn("row_key", md5_key(*cols, "_copy")).drop("_m", "_from", "_copy")
+    to = F.least(F.col("_from") + hot_copies, F.col("_m"))
+    many = ranges.repartition(*cols, "_from").select(*cols, _numbers(F.col("_from"), to).alias("_copy"))
+    return few.unionByName(many).select(*cols, md5_key(*cols, "_copy").alias("row_key"))
+
+
+def _numbers(start: Column, end: Column) -> Column:
+    """Explodes to start .. end - 1."""
+    return F.explode(F.sequence(start.cast("bigint"), end - 1))

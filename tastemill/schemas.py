@@ -10,6 +10,8 @@ INTERACTIONS = T.StructType([
     T.StructField("is_reviewed", T.IntegerType()),
 ])
 
+SPLITS = T.StructType([*INTERACTIONS.fields, T.StructField("split", T.StringType())])
+
 # raw identifier -> dense int32 identifier
 ID_MAP = T.StructType([
     T.StructField("id", T.IntegerType()),
