@@ -65,10 +65,10 @@ def split_query(name):
 
 def popularity_metrics(spark, sf_dir, k=K, pool=1000, kinds=KINDS):
     train = _train(spark, sf_dir)
-    recs = popularity.popularity_recs(train, k, pool)
     labels = signals.build_labels(_held_out(spark, sf_dir), sorted({l for _, l in kinds}))
-    labels = labels.where(F.col("split").isin(*{s for s, _ in kinds}))
-    return evaluate_ranking(recs, labels, kinds, signals.popularity_cohort(train), k)
+    labels = labels.where(F.col("split").isin(*sorted({s for s, _ in kinds})))
+    hits = popularity.popularity_hits(train, labels, k, pool)
+    return evaluate_ranking(hits, labels, kinds, signals.popularity_cohort(train), k)
 
 
 def popularity_metrics_query(split, label):

@@ -40,6 +40,7 @@ def user_metrics(
     """Per (user, split, label): MAP part, NDCG@k, precision@k and recall@k.
 
     ``recs`` is (user_id, item_id, rank) with ranks 1..n, ``labels`` (user_id, item_id, split, label).
+    Places other than the first may be left out of ``recs`` where they hold no label.
     Recommendations and labels are stacked and aggregated by (user, item): repeated
     labels collapse before the shuffle, a match is a pair that has both a rank and a
     label bit, and a user with a third of the labels is spread over all tasks. The

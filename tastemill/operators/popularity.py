@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -44,3 +44,35 @@ def popularity_recs(train: DataFrame, k: int = 100, pool: int = 1000) -> DataFra
     return lists.select("user_id", F.posexplode("items").alias("pos", "item_id")).select(
         "user_id", "item_id", (F.col("pos") + 1).alias("rank")
     )
+
+
+def popularity_hits(train: DataFrame, labels: DataFrame, k: int = 100, pool: int = 1000) -> DataFrame:
+    """The rows of ``popularity_recs`` that can decide a metric, without making the lists.
+
+    A label's place in its user's list is its pool rank less the met items ranked above
+    it, so only labels inside the pool are ranked: (user_id, item_id, rank). A row with
+    no item and rank 1 stands for the first place of every user who has a list.
+    Per user both sides are bounded by the pool, and they meet in the layout
+    that their own aggregates left.
+    """
+    top = item_popularity(train, pool).select("item_id", "pop_rank")
+    size = top.agg(F.count("*"))
+    met = (
+        train.select("user_id", "item_id").join(F.broadcast(top), "item_id", "left")
+        .groupBy("user_id").agg(F.collect_set("pop_rank").alias("met"))
+    )
+    wanted = (
+        labels.select("user_id", "item_id").join(F.broadcast(top), "item_id")
+        .groupBy("user_id").agg(F.collect_set(F.struct("pop_rank", "item_id")).alias("wanted"))
+    )
+    def place(label: Column) -> Column:
+        above = F.size(F.filter("met", lambda rank: rank < label.pop_rank))
+        return F.struct(label.item_id.alias("item_id"), (label.pop_rank - above).alias("rank"))
+    unseen = F.filter("wanted", lambda label: ~F.array_contains("met", label.pop_rank))
+    placed = F.filter(F.transform(unseen, place), lambda hit: hit.rank <= k)
+    first = F.array(F.struct(F.lit(None).cast("int").alias("item_id"), F.lit(1).alias("rank")))
+    return (
+        met.where(F.size("met") < size.scalar())
+        .join(wanted, "user_id", "left")
+        .select("user_id", F.inline(F.concat(F.coalesce(placed, F.array().cast("array<struct<item_id:int,rank:int>>")), first)))
+    )

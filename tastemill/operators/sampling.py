@@ -33,7 +33,9 @@ def _slice_of(key: Column, slices: Column) -> Column:
     return F.floor(hex_int(key, 8) * slices / F.lit(float(1 << 32))).cast("int")
 
 
-def number_rows(df: DataFrame, key: str, user: str = "user_id", hot_rows: int = 1_000_000) -> DataFrame:
+def number_rows(
+    df: DataFrame, key: str, user: str = "user_id", hot_rows: int = 1_000_000, sizes: DataFrame | None = None
+) -> DataFrame:
     """Add ``rn`` (position by ``key`` within the user) and ``n`` (rows of the user).
 
     ``key`` is a uniform hex string, unique within a user. A user with more than
@@ -41,12 +43,13 @@ def number_rows(df: DataFrame, key: str, user: str = "user_id", hot_rows: int =
     numbered on its own and shifted by the size of the ranges before it, so one
     user with a third of the table is spread over many tasks and numbered exactly.
     At most rows / hot_rows users can be hot and they have at most
-    2 * rows / hot_rows ranges, which is what the two broadcasts carry.
+    2 * rows / hot_rows ranges, which is what the two broadcasts carry. ``sizes``,
+    (user, n), saves the count where ``df`` is costly to scan twice.
     """
-    hot = (
-        df.groupBy(user).agg(F.count("*").alias("_total"))
-        .where(F.col("_total") > hot_rows)
-        .withColumn("_slices", F.ceil(F.col("_total") / hot_rows))
+    if sizes is None:
+        sizes = df.groupBy(user).agg(F.count("*").alias("n"))
+    hot = sizes.where(F.col("n") > hot_rows).select(
+        user, F.col("n").alias("_total"), F.ceil(F.col("n") / hot_rows).alias("_slices")
     )
     sliced = (
         df.join(F.broadcast(hot), user, "left")
@@ -81,6 +84,7 @@ def split_per_user(
     min_rows: int = 5,
     seed: int | None = None,
     hot_rows: int = 1_000_000,
+    sizes: DataFrame | None = None,
 ) -> DataFrame:
     """Deal each user's rows into train/validation/test in hash order; adds ``split``.
 
@@ -88,7 +92,7 @@ def split_per_user(
     when a seed is given), so the same rows give the same split in any layout.
     """
     order = df if seed is None else df.withColumn("_order", md5_key(key, seed=seed))
-    ranked = number_rows(order, key if seed is None else "_order", user, hot_rows)
+    ranked = number_rows(order, key if seed is None else "_order", user, hot_rows, sizes)
     first, second = (F.lit(float(f)) * F.col("n") for f in fractions)
     split = (
         F.when(F.col("rn") <= first, SPLITS[0]).when(F.col("rn") <= second, SPLITS[1]).otherwise(SPLITS[2])

@@ -47,6 +47,7 @@ def build_labels(held_out: DataFrame, kinds: Iterable[str], extra: Iterable[str]
     """Relevant (user, item) pairs in long form, one row per label kind: a user's set may be
     larger than a task, so it is never collected. Repeats are left to the consumer."""
     kinds = list(kinds)
+    held_out = held_out.where(F.col("item_id").isNotNull())
     tags = F.array(*[F.when(label_rule(kind), F.lit(kind)) for kind in kinds])
     return (
         held_out.select("user_id", "item_id", *extra, F.explode(F.array_compact(tags)).alias("label"))

@@ -58,7 +58,10 @@ class Workspace:
         return tables.read_table(self.spark, self.path("sample"), schemas.INTERACTIONS)
 
     def split(self, seed: int = 42, min_rows: int = 5) -> DataFrame:
-        dealt = sampling.split_per_user(sampling.with_row_key(self.sampled), min_rows=min_rows, seed=seed)
+        dealt = sampling.split_per_user(
+            sampling.with_row_key(self.sampled), min_rows=min_rows, seed=seed,
+            sizes=sampling.eligible_users(self.sampled, 1),
+        )
         return tables.write_table(dealt.drop("row_key"), self.path("splits"), "split")
 
     @property
@@ -79,9 +82,9 @@ class Workspace:
 
     def popularity(self, pool: int = 1000) -> DataFrame:
         """Score the popularity lists on both splits and labels and log the run."""
-        recs = popularity.popularity_recs(self.train, self.k, pool)
         labels = signals.build_labels(self.held_out, ["read", "liked"])
-        metrics = evaluate_ranking(recs, labels, ALL_KINDS, signals.popularity_cohort(self.train), self.k)
+        hits = popularity.popularity_hits(self.train, labels, self.k, pool)
+        metrics = evaluate_ranking(hits, labels, ALL_KINDS, signals.popularity_cohort(self.train), self.k)
         config = ex.popularity_config(pool, sample_pct=self.sample_pct)
         ex.log_runs(ex.as_runs(config, metrics), self.path("runs"))
         return self.runs.where(F.col("run_id") == config.run_id)

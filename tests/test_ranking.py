@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tastemill.operators.als import to_ranked_lists
 from tastemill.operators.evaluate import evaluate_ranking, rmse
-from tastemill.operators.popularity import item_popularity, popularity_recs
+from tastemill.operators.popularity import item_popularity, popularity_hits, popularity_recs
 
 KIND = [("test", "read")]
 
@@ -67,6 +67,22 @@ def test_popularity_leaves_out_the_seen(spark):
     assert lists == {3: [4], 4: [3, 4], 5: [2, 3]}
 
 
+@pytest.mark.parametrize("missing", ["drop", "zero"])
+def test_hits_score_like_the_lists(spark, missing):
+    rng = random.Random(4)
+    pairs = [(u, i) for u in range(40) for i in rng.sample(range(30), rng.randint(1, 29))] + [(99, i) for i in range(30)]
+    train = spark.createDataFrame([(u, i, 1) for u, i in pairs], "user_id int, item_id int, is_read int")
+    held = [(u, rng.randrange(35), s, "read") for u in range(45) for s in ("validation", "test") for _ in range(6)]
+    held.append((99, 3, "test", "read"))
+    labels = spark.createDataFrame(held, "user_id int, item_id int, split string, label string")
+    kinds = [("validation", "read"), ("test", "read")]
+    for k, pool in ((5, 30), (3, 8), (50, 100)):
+        lists = evaluate_ranking(popularity_recs(train, k, pool), labels, kinds, k=k, missing=missing)
+        hits = evaluate_ranking(popularity_hits(train, labels, k, pool), labels, kinds, k=k, missing=missing)
+        flat = lambda df: sorted((r.split, r.users, *(round(v, 9) for v in r[3:])) for r in df.collect())
+        assert flat(lists) == flat(hits)
+
+
 def test_ranked_lists(spark):
     recs, _ = frames(spark, {1: [9, 3, 7], 2: [5]}, {1: [1]})
     got = {r.user_id: r["items"] for r in to_ranked_lists(recs.orderBy(F.rand(1))).collect()}
