@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.ml.recommendation import ALS, ALSModel
@@ -11,6 +13,11 @@ from pyspark.sql import functions as F
 
 from tastemill.session import ensure_checkpoints
 
+# Signal rows per user block, and where the number of blocks stops growing:
+# every user block exchanges factors with every item block.
+ROWS_PER_BLOCK = 2_000_000
+MAX_BLOCKS = 2000
+
 
 def fit_als(
     signal: DataFrame,
@@ -21,16 +28,18 @@ def fit_als(
     alpha: float = 1.0,
     nonnegative: bool = False,
     seed: int = 42,
-    blocks: int = 10,
+    blocks: int | None = None,
     checkpoint_interval: int = 2,
 ) -> ALSModel:
     """Fit on (user_id, item_id, score); ids are int32, repeated pairs count repeatedly.
 
-    ``blocks`` sets how many user and item blocks the factors are dealt into: raise
-    it with the number of cores. Start factors are drawn per block, so it is part of
-    the result like the seed. Lineage is cut every ``checkpoint_interval`` rounds in
-    the shared checkpoint folder.
+    ``blocks`` is how many user and item blocks the factors are dealt into, by default
+    the library's 10 and more as the signal grows. Start factors are drawn per block, so
+    the number follows the data and not the cluster: the same rows give the same model
+    anywhere. Lineage is cut every ``checkpoint_interval`` rounds in the shared folder.
     """
+    if blocks is None:
+        blocks = min(max(10, math.ceil(signal.count() / ROWS_PER_BLOCK)), MAX_BLOCKS)
     ensure_checkpoints(signal.sparkSession)
     als = ALS(
         userCol="user_id", itemCol="item_id", ratingCol="score",

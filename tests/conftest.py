@@ -11,5 +11,6 @@ from tastemill.session import local_session
 @pytest.fixture(scope="session")
 def spark():
     session = local_session(8, "tests")
+    session.conf.set("spark.sql.shuffle.partitions", "4")
     yield session
     session.stop()

@@ -71,8 +71,7 @@ CASES = {
 
 
 @pytest.mark.parametrize("name", CASES)
-@pytest.mark.parametrize("k,hot_rows", [(10, 10**6), (25, 20), (3000, 20)])
-@pytest.mark.parametrize("collide", [True, False])
+@pytest.mark.parametrize("k,hot_rows,collide", [(10, 10**6, True), (25, 20, True), (3000, 20, False)])
 def test_pairs_equal_brute_force(spark, tmp_path, name, k, hot_rows, collide):
     sets = CASES[name](random.Random(k))
     got = similar_pairs(frame(spark, sets), str(tmp_path), k, 3, 0.8, collide=collide, hot_rows=hot_rows)
