@@ -26,7 +26,11 @@ from tastemill.operators.skew import HOT_ROWS, hot_keys, slice_rows, sliced_join
 from tastemill.sources.tables import write_table
 
 EPS = 1e-9
-# How many common readers the prefixes of a pair must show before it is counted exactly.
+# From this floor on prefixes are short, and one common reader with fitting positions is a
+# sharp test; below it prefixes are long, and several common readers are asked for.
+HIGH_FLOOR = 0.5
+# Below this many distinct sets the first floor is good enough.
+TRIAL_SETS = 2000
 SHARED = 3
 
 
@@ -132,6 +136,17 @@ def similarity_floor(known: DataFrame, k: int, lowest: float) -> float:
     return max(best[-1], lowest) if len(best) == k else lowest
 
 
+def trial_floors(floor: float, sets: int) -> list[float]:
+    """Bars to try, highest first, ending at the known floor.
+
+    A bar that at least k pairs reach is a floor too. Among many near copies a higher
+    one leaves far fewer pairs to count, and failing it costs little.
+    """
+    if floor < HIGH_FLOOR or sets < TRIAL_SETS:
+        return [floor]
+    return [1 - (1 - floor) / 4, 1 - (1 - floor) / 2, floor]
+
+
 def candidate_pairs(
     classes: DataFrame, readers: DataFrame, hs: list[str], floor: float, collide: bool,
     hot: DataFrame | None, hot_rows: int = HOT_ROWS, sets: int = 0,
@@ -140,12 +155,15 @@ def candidate_pairs(
 
     Readers are ordered by how many sets they are in, rarest first. Two sets of
     Jaccard >= t have at least need = t / (1 + t) (ra + rb) readers in common, and the
-    first min(need, SHARED) of those lie among the first r - ceil(t r) + SHARED readers
-    of each set. A hot item is numbered per slice; its prefix is then a superset,
+    first min(need, shared) of those lie among the first r - ceil(t r) + shared readers
+    of each set. Where one is enough, the readers behind it must still suffice for the
+    rest of ``need``, which the first common one of a fitting pair satisfies: that
+    keeps near copies, which all share their frequent readers, from meeting each other. A hot item is numbered per slice; its prefix is then a superset,
     which only adds candidates. A reader is in no more sets than there are, so
     the reader joins are sliced only when there are more than ``hot_rows`` sets.
     """
     t = F.lit(floor)
+    shared = 1 if floor >= HIGH_FLOOR else SHARED
     reps = classes.select(F.col("rep").alias("item_id"), "reader_count", *hs)
     rows = sliced_join(readers, reps, "item_id", "reader", hot)
     degree = rows.groupBy("reader").agg(F.count("*").alias("n"))
@@ -156,9 +174,9 @@ def candidate_pairs(
     prefix = (
         slice_rows(ranked, "item_id", "reader", hot)
         .withColumn("pos", F.row_number().over(order))
-        .where(F.col("pos") <= r - F.ceil(t * r - EPS) + SHARED)
+        .where(F.col("pos") <= r - F.ceil(t * r - EPS) + shared)
     )
-    names = ["item_id", "reader_count", *hs]
+    names = ["item_id", "reader_count", "pos", *hs]
     left = prefix.select("reader", *[F.col(c).alias(f"a_{c}") for c in names])
     right = prefix.select("reader", *[F.col(c).alias(f"b_{c}") for c in names])
     pair_rows = hot_rows // 10
@@ -166,6 +184,9 @@ def candidate_pairs(
     hot_prefix = hot_keys(in_prefix, "reader", pair_rows) if sets > pair_rows else None
     ra, rb = F.col("a_reader_count"), F.col("b_reader_count")
     fits = ((ra < rb) | ((ra == rb) & (F.col("a_item_id") < F.col("b_item_id")))) & (ra >= t * rb - EPS)
+    if shared == 1:
+        behind = F.least(ra - F.col("a_pos"), rb - F.col("b_pos"))
+        fits = fits & (behind + 1 >= t / (t + 1) * (ra + rb) - EPS)
     if collide:
         fits = fits & reduce(lambda x, y: x | y, [F.col(f"a_{h}") == F.col(f"b_{h}") for h in hs])
     met = sliced_join(left, right, "reader", "a_item_id", hot_prefix).where(fits)
@@ -173,7 +194,7 @@ def candidate_pairs(
     return (
         met.groupBy(F.col("a_item_id").alias("a"), F.col("b_item_id").alias("b"), ra.alias("ra"), rb.alias("rb"))
         .agg(F.count("*").alias("c"))
-        .where(F.col("c") >= F.least(need, F.lit(SHARED)))
+        .where(F.col("c") >= F.least(need, F.lit(shared)))
         .drop("c")
     )
 
@@ -263,7 +284,11 @@ def similar_pairs(
     lowest = 1.0 - max_distance
     near = neighbour_pairs(classes, hs, 10 * k, hot_rows, known.sets)
     floor = similarity_floor(overlaps(near, readers, hot), k - int(known.copies), lowest)
-    candidates = candidate_pairs(classes, readers, hs, floor, collide, hot, hot_rows, known.sets)
-    scored = overlaps(candidates, readers, hot)
-    close = scored.where((1.0 - F.col("jaccard") < max_distance) & (F.col("jaccard") >= floor))
-    return top_item_pairs(write_table(close, f"{work_dir}/pairs"), classes, items, k)
+    for bar in trial_floors(floor, known.sets):
+        candidates = candidate_pairs(classes, readers, hs, bar, collide, hot, hot_rows, known.sets)
+        scored = overlaps(candidates, readers, hot)
+        close = scored.where((1.0 - F.col("jaccard") < max_distance) & (F.col("jaccard") >= bar))
+        pairs = write_table(close, f"{work_dir}/pairs")
+        if bar > floor and pairs.count() + known.copies >= k:
+            break
+    return top_item_pairs(pairs, classes, items, k)
