@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable
 
-CHUNKS = 200_000  # of each generation
+CHUNKS = 500_000  # of each generation
 
 
 class ChunkCache:
@@ -15,9 +15,9 @@ class ChunkCache:
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
-    def prepare(self, chunks: Iterable[str]) -> dict[str, bytes]:
-        """Values of the distinct chunks that the young generation lacks; the unknown are learned in one batch."""
-        missing = {c for c in chunks if c not in self.young}
+    def prepare(self, texts: Iterable[list[str]]) -> dict[str, bytes]:
+        """Values of the texts' chunks that the young generation lacks; the unknown are learned in one batch."""
+        missing = set().union(*texts).difference(self.young)
         found = {c: self.old[c] for c in missing if c in self.old}
         new = sorted(missing.difference(found))
         if new:
@@ -30,6 +30,6 @@ class ChunkCache:
     def values(self, chunks: list[str]) -> list[bytes]:
         found = list(map(self.young.get, chunks))
         if None in found:
-            known = self.prepare(c for c, v in zip(chunks, found) if v is None)
+            known = self.prepare([chunks])
             found = [known[c] if v is None else v for c, v in zip(chunks, found)]
         return found

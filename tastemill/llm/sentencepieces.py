@@ -19,6 +19,7 @@ import os
 import struct
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -214,7 +215,7 @@ class Codec:
     def encode(self, texts: list[str]) -> list[tuple[bytes, bool, bool]]:
         """For each text its ids, whether both libraries agree, and whether it decodes to its normal form."""
         cut = [self._chunks(t) if self.chunked and t and MARK not in t else None for t in texts]
-        self.cache.prepare(c for chunks in cut if chunks for c in chunks)
+        self.cache.prepare(chunks for chunks in cut if chunks)
         out = []
         for text, chunks in zip(texts, cut):
             if chunks:
@@ -228,11 +229,17 @@ class Codec:
         return self.whole.decode(ids, skip_special_tokens=False)
 
 
+@lru_cache(maxsize=1)
+def codec_of(path: str, threads: int) -> Codec:
+    """One codec per worker process: its chunks serve the tasks that follow."""
+    return Codec(path, threads)
+
+
 def encode_texts(docs: DataFrame, path: str, threads: int = THREADS) -> DataFrame:
     """(doc_id, ids, n_tokens, parity, round_trip) of every whole text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = Codec(path, threads)
+        codec = codec_of(path, threads)
         for batch in batches:
             rows = codec.encode(batch.column(1).to_pylist())
             counts = [len(ids) // 4 for ids, _, _ in rows]
@@ -254,7 +261,7 @@ def decode_ids(encoded: DataFrame, path: str, threads: int = THREADS) -> DataFra
     """(doc_id, text) from ids; null ids give an empty text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = Codec(path, threads)
+        codec = codec_of(path, threads)
         for batch in batches:
             texts = codec.whole.decode_batch([ids or [] for ids in batch.column(1).to_pylist()], skip_special_tokens=False)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], ["doc_id", "text"])

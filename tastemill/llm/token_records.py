@@ -14,10 +14,13 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +39,8 @@ PREFIX = np.dtype([("doc_id", "<i8"), ("has_id", "u1"), ("width", "u1")])
 INDEX = np.dtype([("doc_id", "<i8"), ("has_id", "u1"), ("offset", "<u8"), ("tokens", "<u8")])
 FRAME = HEADER.itemsize + 4
 FLUSH_BYTES = 8 << 20
+BATCH = 1000  # texts that are encoded at once
+SPACES = re.compile(r"\s\s")
 
 
 def file_system(uri: str):
@@ -64,22 +69,31 @@ class ChunkEncoder:
             pre.get("type") == "ByteLevel" and pre.get("use_regex") and not pre.get("add_prefix_space")
             and not spec.get("normalizer") and not spec["model"].get("dropout")
         )
-        self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
+        self.code = "H" if self.tokenizer.get_vocab_size() <= 1 << 16 else "I"
         self.opening = ChunkCache(self._whole)
         self.following = ChunkCache(lambda chunks: self._whole([" " + c for c in chunks]))
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         made = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.asarray(e.ids, self.dtype).tobytes() for e in made]
+        return [array(self.code, e.ids).tobytes() for e in made]
 
-    def encode(self, text: str) -> bytes:
+    def _pieces(self, text: str) -> list[str] | None:
+        """The chunks of a text, or None if it has to be encoded whole."""
         if not self.chunked or any(a in text for a in self.added):
-            return self._whole([text])[0]
+            return None
         pieces = text.split(" ")
-        known = self.following.young
-        if not all(p in known or (p and not p[0].isspace() and not p[-1].isspace()) for p in pieces):
+        if SPACES.search(text) or text[:1].isspace() or text[-1:].isspace():
             pieces = self._merged(pieces)
-        return b"".join([*self.opening.values(pieces[:1]), *self.following.values(pieces[1:])])
+        return pieces
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text; chunks that are new to the batch are encoded at once."""
+        cut = [self._pieces(t) for t in texts]
+        self.following.prepare(pieces[1:] for pieces in cut if pieces)
+        return [
+            b"".join([*self.opening.values(p[:1]), *self.following.values(p[1:])]) if p else self._whole([t])[0]
+            for t, p in zip(texts, cut)
+        ]
 
     @staticmethod
     def _merged(pieces: list[str]) -> list[str]:
@@ -93,6 +107,12 @@ class ChunkEncoder:
         return [*out, " ".join(run)]
 
 
+@lru_cache(maxsize=1)
+def encoder_of(path: str) -> ChunkEncoder:
+    """One encoder per worker process: its chunks serve the tasks that follow."""
+    return ChunkEncoder(path)
+
+
 @dataclass
 class Written(WriterCommitMessage):
     part: int
@@ -170,14 +190,16 @@ class TokenWriter(DataSourceArrowWriter):
     def write(self, batches: Iterator[pa.RecordBatch]) -> WriterCommitMessage:
         from pyspark import TaskContext
 
-        encoder = ChunkEncoder(self.tokenizer)
-        end = np.asarray([self.end_id], encoder.dtype).tobytes()
+        encoder = encoder_of(self.tokenizer)
+        end = array(encoder.code, [self.end_id])
         part = TaskContext.get().partitionId()
         out = None
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                out = out or RecordFile(self.path, f"part-{part:06d}-{uuid.uuid4().hex[:12]}", encoder.dtype.itemsize)
-                out.add(doc_id, encoder.encode(text.as_py() or "") + end)
+            out = out or RecordFile(self.path, f"part-{part:06d}-{uuid.uuid4().hex[:12]}", end.itemsize)
+            for at in range(0, batch.num_rows, BATCH):
+                piece = batch.slice(at, BATCH)
+                for doc_id, ids in zip(piece.column(0).to_pylist(), encoder.encode(piece.column(1).to_pylist())):
+                    out.add(doc_id, ids + end.tobytes())
         if out is None:
             return Written(part, "", 0, 0)
         out.close()
