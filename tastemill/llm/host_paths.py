@@ -26,6 +26,7 @@ from tastemill.llm.common import join_counted, stage, table
 RANKED_PATHS = 3  # winning paths of a host that its pages try in turn
 PATH_LEVELS = 32  # deeper elements belong to the container above them
 LEAST_VOTES = 2
+NEARLY_ALL = 0.9
 HOST_BROADCAST = 100_000  # rows of (host, path) that a broadcast may hold
 
 # Tag names of HTML and words of boilerplate classes.
@@ -171,14 +172,21 @@ def _containers(runs: list[tuple[Node, str]]) -> dict[str, list[int]]:
 
 
 def best_container(page: str) -> tuple[str, int] | None:
-    """The path and score of the page's best container; ties go to the deeper one."""
-    scored = []
-    for path, (clean, waste, level, main) in _containers(parse(page)).items():
-        score = (clean - 2 * waste) * (5 if main else 4)
-        scored.append((score, level, path))
-    if not scored:
+    """The path and score of the page's best container; ties go to the deeper one.
+
+    Unless it is an article by its tag, a container inside that holds nearly all its text is better.
+    """
+    sums = _containers(parse(page))
+    if not sums:
         return None
-    score, _, path = max(scored)
+    score, _, path = max(
+        ((clean - 2 * waste) * (5 if main else 4), level, path) for path, (clean, waste, level, main) in sums.items()
+    )
+    while not sums[path][3]:
+        inside = [(-v[2], v[0], p) for p, v in sums.items() if p.startswith(path + ">") and v[0] >= NEARLY_ALL * sums[path][0]]
+        if not inside:
+            break
+        path = max(inside)[2]
     return path, max(score // 4, 0)
 
 

@@ -55,7 +55,7 @@ def block_topk(queries: np.ndarray, columns: np.ndarray, query_ids: np.ndarray,
     most = float(np.abs(queries).max(initial=0)) * float(np.abs(columns).max(initial=0)) * max(dim, 1)
     exact = np.float64 if most < 2 ** 53 else object
     queries, columns = queries.astype(exact), np.ascontiguousarray(columns.astype(exact))
-    edges = [*range(0, dim, DIMENSIONS), dim]
+    edges = [*range(0, max(dim, 1), DIMENSIONS), dim]
     rest, query_rest = _rest(columns, edges[1:]), _rest(queries.T, edges[1:])
     everyone = np.arange(len(ids))
     for n, query in enumerate(queries):

@@ -4,7 +4,7 @@ A text's features are its terms, whole words and beginnings of words: whether it
 its share of the words. Categories are predicted in order; each later model sees the text's terms and the
 probabilities of all earlier categories. While training, those probabilities are out-of-fold
 predictions, so a later model never sees an earlier one's fit to its own rows. Folds keep
-likely near copies (one min-hash over a text's words) together, and such a group weighs as one.
+likely near copies (one min-hash over a text's word triples) together, and such a group weighs as one.
 
 Training takes at most POSITIVES and NEGATIVES labelled documents, those with the least hash of
 their id. Scoring covers every document and its whole text. Null texts are empty texts. A
@@ -30,8 +30,8 @@ TERMS = 256
 PREFIXES = (4, 5, 6, 7)  # letters of the beginnings that can be terms, beside whole words
 END = "$"  # marks a term that is a whole word
 FULL_SHARE = 0.02  # share of a text's words at which a term counts in full
-LEAST_GROUPS = 5  # groups of texts that must hold a term
-LEAST_Z = 4.0
+LEAST_GROUPS = 4  # groups of texts that must hold a term
+LEAST_Z = 5.0
 FOLDS = 4
 PENALTY = 1e-3
 STEPS = 150
@@ -118,7 +118,7 @@ def fit_chain(x: np.ndarray, labels: np.ndarray, groups: np.ndarray, terms: list
 def best_threshold(p: np.ndarray, y: np.ndarray, weight: np.ndarray) -> float:
     """The lowest threshold whose held-out precision reaches LEAST_PRECISION; without one, the most precise."""
     best = (-1.0, 0.5)
-    for t in np.arange(0.1, 0.96, 0.05):
+    for t in np.arange(0.2, 0.96, 0.05):
         above = p >= t
         if not above.any():
             break
@@ -141,10 +141,13 @@ def training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
     )
     taken = stage(taken, "toxicity-sample")  # at most POSITIVES + NEGATIVES rows
     texts = docs.select(F.col("doc_id").cast("long").alias("id"), F.coalesce("text", F.lit("")).alias("text"))
-    words = F.array_distinct(F.split(F.lower("text"), r"[^\p{L}]+"))
-    group = F.array_min(F.transform("words", lambda w: F.xxhash64(w)))
     met = texts.join(F.broadcast(taken), "id").dropDuplicates(["id"])
-    return stage(met.withColumn("words", words).withColumn("group", group), "toxicity-texts")
+    met = met.withColumn("words", F.split(F.lower("text"), r"[^\p{L}]+"))
+    last = F.greatest(F.size("words") - 2, F.lit(1))
+    pieces = F.transform(F.sequence(F.lit(1), last), lambda i: F.xxhash64(F.slice("words", i, F.lit(3))))
+    return stage(
+        met.withColumn("group", F.array_min(pieces)).withColumn("words", F.array_distinct("words")), "toxicity-texts"
+    )
 
 
 def choose_terms(rows: DataFrame) -> list[str]:
