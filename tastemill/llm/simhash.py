@@ -113,10 +113,13 @@ def links(prints: DataFrame, most_bits: int = MOST_BITS) -> DataFrame:
     def side(where: Column, name: str) -> DataFrame:
         return index.where(where).select("kind", "key", F.col("fingerprint").alias(name))
 
+    # The planner takes the variants for as small as the fingerprints and would broadcast them.
     near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= most_bits
     whole = F.col("bit").isNull()
-    equal = side(whole, "a").join(side(whole, "b"), ["kind", "key"]).where((F.col("a") < F.col("b")) & near)
-    deleted = side(F.col("bit") == 0, "a").join(side(F.col("bit") == 1, "b"), ["kind", "key"]).where(near)
+    equal = side(whole, "a").join(side(whole, "b").hint("merge"), ["kind", "key"]).where((F.col("a") < F.col("b")) & near)
+    deleted = side(F.col("bit") == 0, "a").join(
+        side(F.col("bit") == 1, "b").hint("merge"), ["kind", "key"]
+    ).where(near)
     ordered = deleted.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     return equal.select("a", "b").unionByName(ordered).distinct()
 
