@@ -2,9 +2,25 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator
 
-CHUNKS = 500_000  # of each generation
+CHUNKS = 250_000  # of each generation
+
+SLICE_CHARS = 1 << 21  # of the texts that are cut at once
+
+
+def slices(texts: list[str]) -> Iterator[list[str]]:
+    """The texts in order, in lists of about SLICE_CHARS."""
+    held: list[str] = []
+    size = 0
+    for text in texts:
+        held.append(text)
+        size += len(text)
+        if size >= SLICE_CHARS:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
 
 
 class ChunkCache:

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tastemill.llm.chunk_cache import ChunkCache
+from tastemill.llm.chunk_cache import ChunkCache, slices
 from tastemill.llm.common import table
 
 MARK = "▁"
@@ -241,7 +241,7 @@ def encode_texts(docs: DataFrame, path: str, threads: int = THREADS) -> DataFram
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = codec_of(path, threads)
         for batch in batches:
-            rows = codec.encode(batch.column(1).to_pylist())
+            rows = [row for texts in slices(batch.column(1).to_pylist()) for row in codec.encode(texts)]
             counts = [len(ids) // 4 for ids, _, _ in rows]
             offsets = pa.array(np.concatenate([[0], np.cumsum(counts)]), pa.int32())
             values = pa.array(np.frombuffer(b"".join(ids for ids, _, _ in rows), "<i4"), pa.int32())

@@ -71,57 +71,51 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     return rows.mapInArrow(make, "doc_id long, text_sha string, fingerprint long")
 
 
-def _bits(value: Column, start: int, length: int) -> Column:
-    return F.shiftrightunsigned(value, start).bitwiseAND(F.lit((1 << length) - 1))
-
-
-def _variants(prints: DataFrame) -> DataFrame:
-    """(fingerprint, kind, key, bit): bit is null for whole segments, else that of the deleted position."""
-    p = F.col("fingerprint")
-
-    def entry(kind: int, key: Column, bit: Column) -> Column:
-        return F.struct(F.lit(kind).cast("short").alias("kind"), key.alias("key"), bit.cast("byte").alias("bit"))
-
-    halves = {0: _bits(p, 0, 32), 1: _bits(p, 32, 32)}
-    entries, kind = [], 0
-    for equal in (0, 1):
-        for quarter in (0, 1):
-            low = 32 * (1 - equal) + 16 * quarter
-            part = _bits(p, low, 16)
-            held = F.shiftleft(halves[equal], 16)
-            entries.append(entry(kind, held.bitwiseOR(part), F.lit(None)))
-            kind += 1
-            for i in range(16):
-                cut = part.bitwiseAND(F.lit(0xFFFF ^ (1 << i)))
-                entries.append(entry(kind, held.bitwiseOR(cut), _bits(p, low + i, 1)))
-                kind += 1
-    for i in range(32):
-        cut = halves[1].bitwiseAND(F.lit(0xFFFFFFFF ^ (1 << i)))
-        for quarter in (0, 1):
-            key = F.shiftleft(cut, 16).bitwiseOR(_bits(p, 16 * quarter, 16))
-            entries.append(entry(kind, key, _bits(p, 32 + i, 1)))
-            kind += 1
-    return prints.select("fingerprint", F.inline(F.array(*entries)))
+# Keys of a fingerprint: 17 for each quarter beside the equal other half (whole, then one bit deleted), and one for
+# each bit of the upper half with each quarter of the lower half.
+HALF_KEYS = 4 * 17
+KEYS = HALF_KEYS + 32 * 2
+
+
+def _keyed(prints: DataFrame, kinds: Column, name: str) -> DataFrame:
+    """(kind, key, bit, name): a row for each kind of key; bit is that of the deleted position."""
+    rows = prints.select(F.col("fingerprint").alias(name), F.explode(kinds).alias("kind"))
+    p = name
+    parts = {
+        "equal": "kind div 34", "quarter": "kind div 17 % 2", "place": "kind % 17 - 1",
+        "above": f"(kind - {HALF_KEYS}) div 2", "below": f"(kind - {HALF_KEYS}) % 2",
+    }
+    rows = rows.withColumns({f"_{n}": F.expr(f"cast({e} as int)") for n, e in parts.items()})
+    quarter = f"(shiftrightunsigned({p}, 32 * (1 - _equal) + 16 * _quarter) & 65535L)"
+    held = f"shiftleft(shiftrightunsigned({p}, 32 * _equal) & 4294967295L, 16)"
+    upper = f"shiftrightunsigned({p}, 32)"
+    return rows.select(
+        name, F.col("kind").cast("short").alias("kind"),
+        F.expr(f"""CASE WHEN kind >= {HALF_KEYS}
+            THEN shiftleft({upper} & ~shiftleft(1L, _above), 16) | (shiftrightunsigned({p}, 16 * _below) & 65535L)
+            WHEN _place < 0 THEN {held} | {quarter}
+            ELSE {held} | ({quarter} & ~shiftleft(1L, _place)) END""").alias("key"),
+        F.expr(f"""CASE WHEN kind >= {HALF_KEYS} THEN shiftrightunsigned({upper}, _above) & 1L
+            WHEN _place >= 0 THEN shiftrightunsigned({quarter}, _place) & 1L END""").alias("bit"),
+    )
 
 
 def links(prints: DataFrame, most_bits: int = MOST_BITS) -> DataFrame:
     """(a, b) with a < b for distinct staged fingerprints at ``most_bits`` or fewer differing bits, each once."""
     if most_bits != MOST_BITS:
         raise ValueError(f"two halves with one deleted bit find pairs at up to {MOST_BITS} bits")
-    index = _variants(prints)
+    wholes = F.array(*[F.lit(k) for k in range(0, HALF_KEYS, 17)])
+    deleted = F.array(*[F.lit(k) for k in range(KEYS) if k >= HALF_KEYS or k % 17])
 
-    def side(where: Column, name: str) -> DataFrame:
-        return index.where(where).select("kind", "key", F.col("fingerprint").alias(name))
+    def side(kinds: Column, name: str, where: Column) -> DataFrame:
+        return _keyed(prints, kinds, name).where(where).select("kind", "key", name)
 
-    # The planner takes the variants for as small as the fingerprints and would broadcast them.
+    # The planner takes the keys for as small as the fingerprints and would broadcast them.
     near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= most_bits
-    whole = F.col("bit").isNull()
-    equal = side(whole, "a").join(side(whole, "b").hint("merge"), ["kind", "key"]).where((F.col("a") < F.col("b")) & near)
-    deleted = side(F.col("bit") == 0, "a").join(
-        side(F.col("bit") == 1, "b").hint("merge"), ["kind", "key"]
-    ).where(near)
-    ordered = deleted.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    return equal.select("a", "b").unionByName(ordered).distinct()
+    equal = side(wholes, "a", F.lit(True)).join(side(wholes, "b", F.lit(True)).hint("merge"), ["kind", "key"])
+    differ = side(deleted, "a", F.col("bit") == 0).join(side(deleted, "b", F.col("bit") == 1).hint("merge"), ["kind", "key"])
+    ordered = differ.where(near).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    return equal.where((F.col("a") < F.col("b")) & near).select("a", "b").unionByName(ordered).distinct()
 
 
 def components(pairs: DataFrame) -> DataFrame:

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage
 
-from tastemill.llm.chunk_cache import ChunkCache
+from tastemill.llm.chunk_cache import ChunkCache, slices
 from tastemill.llm.common import fresh_path
 from tastemill.llm.crc32c import crc32c, masked
 
@@ -39,7 +39,6 @@ PREFIX = np.dtype([("doc_id", "<i8"), ("has_id", "u1"), ("width", "u1")])
 INDEX = np.dtype([("doc_id", "<i8"), ("has_id", "u1"), ("offset", "<u8"), ("tokens", "<u8")])
 FRAME = HEADER.itemsize + 4
 FLUSH_BYTES = 8 << 20
-BATCH = 1000  # texts that are encoded at once
 SPACES = re.compile(r"\s\s")
 
 
@@ -196,10 +195,9 @@ class TokenWriter(DataSourceArrowWriter):
         out = None
         for batch in batches:
             out = out or RecordFile(self.path, f"part-{part:06d}-{uuid.uuid4().hex[:12]}", end.itemsize)
-            for at in range(0, batch.num_rows, BATCH):
-                piece = batch.slice(at, BATCH)
-                for doc_id, ids in zip(piece.column(0).to_pylist(), encoder.encode(piece.column(1).to_pylist())):
-                    out.add(doc_id, ids + end.tobytes())
+            made = (ids for texts in slices(batch.column(1).to_pylist()) for ids in encoder.encode(texts))
+            for doc_id, ids in zip(batch.column(0).to_pylist(), made):
+                out.add(doc_id, ids + end.tobytes())
         if out is None:
             return Written(part, "", 0, 0)
         out.close()

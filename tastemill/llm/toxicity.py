@@ -57,16 +57,16 @@ def logit(p: np.ndarray) -> np.ndarray:
 
 def fit_linear(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> np.ndarray:
     """Weights and bias of a logistic model by accelerated gradient descent."""
-    x = np.hstack([x, np.ones((len(x), 1), x.dtype)])
-    weight = weight / weight.sum()
-    probe = np.ones(x.shape[1])
+    x = np.hstack([x, np.ones((len(x), 1), x.dtype)]).astype(np.float32)
+    y, weight = y.astype(np.float32), (weight / weight.sum()).astype(np.float32)
+    probe = np.ones(x.shape[1], np.float32)
     for _ in range(20):  # the largest curvature sets the step
         probe = x.T @ (weight * (x @ probe))
         probe /= np.linalg.norm(probe) + 1e-12
     step = 1 / (0.25 * np.linalg.norm(x.T @ (weight * (x @ probe))) + PENALTY)
-    shrink = np.full(x.shape[1], PENALTY)
+    shrink = np.full(x.shape[1], PENALTY, np.float32)
     shrink[-1] = 0
-    w = ahead = np.zeros(x.shape[1])
+    w = ahead = np.zeros(x.shape[1], np.float32)
     for n in range(STEPS):
         slope = x.T @ (weight * (sigmoid(x @ ahead) - y)) + shrink * ahead
         after = ahead - step * slope
