@@ -93,7 +93,7 @@ class Chain:
         out: list[np.ndarray] = []
         for w in self.weights:
             out.append(predict(w, np.hstack([x, *[logit(p)[:, None] for p in out]])))
-        return np.stack(out, axis=1)
+        return np.stack(out, axis=1).astype(np.float64)
 
 
 def fit_chain(x: np.ndarray, labels: np.ndarray, groups: np.ndarray, terms: list[str]) -> Chain:
