@@ -2,10 +2,6 @@
 
 from __future__ import annotations
 
-import math
-
-import numpy as np
-import pyarrow as pa
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
@@ -13,10 +9,8 @@ from pyspark.sql import functions as F
 
 from tastemill.session import ensure_checkpoints
 
-# Signal rows per user block, and where the number of blocks stops growing:
-# every user block exchanges factors with every item block.
-ROWS_PER_BLOCK = 2_000_000
-MAX_BLOCKS = 2000
+# Blocks of factors, as the library deals them by default.
+BLOCKS = 10
 
 
 def fit_als(
@@ -28,18 +22,16 @@ def fit_als(
     alpha: float = 1.0,
     nonnegative: bool = False,
     seed: int = 42,
-    blocks: int | None = None,
+    blocks: int = BLOCKS,
     checkpoint_interval: int = 2,
 ) -> ALSModel:
     """Fit on (user_id, item_id, score); ids are int32, repeated pairs count repeatedly.
 
-    ``blocks`` is how many user and item blocks the factors are dealt into, by default
-    the library's 10 and more as the signal grows. Start factors are drawn per block, so
-    the number follows the data and not the cluster: the same rows give the same model
-    anywhere. Lineage is cut every ``checkpoint_interval`` rounds in the shared folder.
+    ``blocks`` is how many user and item blocks the factors are dealt into. Start factors
+    are drawn per block, so it is part of the model's configuration and never follows the
+    data by itself; raise it for large signals. Lineage is cut every
+    ``checkpoint_interval`` rounds in the shared folder.
     """
-    if blocks is None:
-        blocks = min(max(10, math.ceil(signal.count() / ROWS_PER_BLOCK)), MAX_BLOCKS)
     ensure_checkpoints(signal.sparkSession)
     als = ALS(
         userCol="user_id", itemCol="item_id", ratingCol="score",
@@ -51,69 +43,10 @@ def fit_als(
     return als.fit(signal)
 
 
-# Item factors up to this size are sent to every executor; larger ones are not.
-BROADCAST_BYTES = 64 << 20
-# Scores held at a time in one task.
-SCORE_CELLS = 8 << 20
-
-
-def als_candidates(
-    model: ALSModel, users: DataFrame, pool: int, broadcast_bytes: int = BROADCAST_BYTES
-) -> DataFrame:
-    """The model's ``pool`` best items for the given users only: (user_id, item_id, score).
-
-    The library scores blocks of users against blocks of items and shuffles ``pool``
-    rows per user and item block. While all item factors fit a checked size they are
-    broadcast instead, each task scores its users against all items, and only the
-    final ``pool`` rows per user leave it. Beyond that size the library's way is used.
-    """
-    items = model.itemFactors
-    if items.count() * (4 * model.rank + 4) > broadcast_bytes:
-        raw = model.recommendForUserSubset(users, pool)
-        return raw.select("user_id", F.inline("recommendations")).select(
-            "user_id", "item_id", F.col("rating").alias("score")
-        )
-    sc = users.sparkSession.sparkContext
-    table = items.orderBy("id").toArrow()
-    shared = sc.broadcast((table["id"].to_numpy(), _matrix(table["features"].combine_chunks(), model.rank)))
-    known = model.userFactors.join(users.select(F.col("user_id").alias("id")), "id", "left_semi")
-    # A fixed count: scoring is heavy for its input size, so small partitions must not be merged.
-    parts = max(sc.defaultParallelism, int(users.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    schema = "user_id int, item_id int, score float"
-    return known.repartition(parts, "id").mapInArrow(_scorer(shared, pool), schema)
-
-
-def _matrix(features: pa.Array, rank: int) -> np.ndarray:
-    return features.flatten().to_numpy(zero_copy_only=False).astype(np.float32, copy=False).reshape(-1, rank)
-
-
-def _scorer(shared, pool: int):
-    """Batches of (id, features) to their best items; equal scores go to the lower item id."""
-    def best(scores: np.ndarray, n: int) -> np.ndarray:
-        if n == scores.size:
-            return np.argsort(-scores, kind="stable")
-        floor = np.partition(scores, scores.size - n)[scores.size - n]
-        above = np.flatnonzero(scores > floor)
-        picked = np.concatenate([above, np.flatnonzero(scores == floor)[: n - above.size]])
-        return picked[np.argsort(-scores[picked], kind="stable")]
-
-    def score(batches):
-        ids, factors = shared.value
-        n = min(pool, ids.size)
-        step = max(1, SCORE_CELLS // max(1, ids.size))
-        for batch in batches:
-            owners = batch.column("id").to_numpy()
-            vectors = _matrix(batch.column("features"), factors.shape[1])
-            for at in range(0, owners.size, step):
-                cells = vectors[at:at + step] @ factors.T
-                top = np.stack([best(row, n) for row in cells])
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(np.repeat(owners[at:at + step], n)),
-                    pa.array(ids[top].ravel()),
-                    pa.array(np.take_along_axis(cells, top, axis=1).ravel()),
-                ], names=["user_id", "item_id", "score"])
-
-    return score
+def als_candidates(model: ALSModel, users: DataFrame, pool: int) -> DataFrame:
+    """The model's ``pool`` best items for those of the given users that it knows: (user_id, item_id, score)."""
+    raw = model.recommendForUserSubset(users, pool)
+    return raw.select("user_id", F.inline("recommendations")).select("user_id", "item_id", F.col("rating").alias("score"))
 
 
 def exclude_seen(candidates: DataFrame, seen: DataFrame) -> DataFrame:

@@ -66,8 +66,3 @@ def popularity_cohort(train: DataFrame, kinds: Iterable[str] = ("read", "liked")
         F.when(F.col("rated") == 1, F.lit(kind)) if kind == "liked" else F.lit(kind) for kind in kinds
     ])
     return users.select("user_id", F.explode(F.array_compact(tags)).alias("label"))
-
-
-def model_cohort(signal: DataFrame) -> DataFrame:
-    """Users a factor model knows: those with a row in its training signal."""
-    return signal.select("user_id").distinct()

@@ -5,7 +5,7 @@ from __future__ import annotations
 import hashlib
 import json
 from collections.abc import Iterable, Sequence
-from dataclasses import asdict, dataclass
+from dataclasses import asdict, dataclass, replace
 
 from pyspark.errors import AnalysisException
 from pyspark.ml.recommendation import ALSModel
@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tastemill.operators import signals
-from tastemill.operators.als import fit_als, predict_ratings, recommend_topk
+from tastemill.operators.als import BLOCKS, fit_als, predict_ratings, recommend_topk
 from tastemill.operators.evaluate import evaluate_ranking, rmse
 from tastemill.schemas import METRICS, RUNS
 
@@ -33,6 +33,10 @@ class ModelConfig:
     max_iter: int | None = None
     pool: int = 250
     sample_pct: int = 100
+    k: int = 100
+    seed: int = 42
+    blocks: int = BLOCKS
+    train_tag: str = ""  # fingerprint of the training rows
 
     def _id(self, *without: str) -> str:
         fields = {k: v for k, v in asdict(self).items() if k not in without}
@@ -44,8 +48,8 @@ class ModelConfig:
 
     @property
     def model_id(self) -> str:
-        """The pool is applied after the fit, so runs that differ in it share a model."""
-        return self._id("pool")
+        """The pool and k are applied after the fit, so runs that differ in them share a model."""
+        return self._id("pool", "k")
 
 
 def popularity_config(pool: int = 1000, **fields) -> ModelConfig:
@@ -74,6 +78,16 @@ def combined_config(
     )
 
 
+def train_tag(train: DataFrame) -> str:
+    """A fingerprint of the training rows, whatever their order: another split, seed or input gives another one."""
+    row = train.agg(F.count(F.lit(1)), F.sum(F.xxhash64(*sorted(train.columns)).cast("decimal(38,0)"))).first()
+    return hashlib.sha1(f"{row[0]}:{row[1]}".encode()).hexdigest()[:12]
+
+
+def tagged(config: ModelConfig, train: DataFrame) -> ModelConfig:
+    return config if config.train_tag else replace(config, train_tag=train_tag(train))
+
+
 def training_signal(config: ModelConfig, train: DataFrame) -> DataFrame:
     if config.model == "explicit":
         return signals.explicit_signal(train)
@@ -88,7 +102,8 @@ def fit_model(config: ModelConfig, train: DataFrame, **options) -> ALSModel:
     implicit = config.model == "implicit"
     return fit_als(
         training_signal(config, train), config.rank, config.reg_param, config.max_iter,
-        implicit=implicit, alpha=config.alpha or 1.0, nonnegative=implicit, **options,
+        implicit=implicit, alpha=config.alpha or 1.0, nonnegative=implicit, seed=config.seed, blocks=config.blocks,
+        **options,
     )
 
 
@@ -106,7 +121,7 @@ def load_model(spark: SparkSession, root: str, config: ModelConfig) -> ALSModel:
 
 
 def fit_or_load(config: ModelConfig, train: DataFrame, root: str) -> ALSModel:
-    spark = train.sparkSession
+    spark, config = train.sparkSession, tagged(config, train)
     try:
         return load_model(spark, root, config)
     except FileNotFoundError:
@@ -115,9 +130,8 @@ def fit_or_load(config: ModelConfig, train: DataFrame, root: str) -> ALSModel:
 
 
 def recommend(config: ModelConfig, model: ALSModel, train: DataFrame, labels: DataFrame, k: int = 100) -> DataFrame:
-    """Lists for the users that have a label and a row in the model's training signal."""
-    known = signals.model_cohort(training_signal(config, train))
-    users = labels.select("user_id").distinct().join(known, "user_id", "left_semi")
+    """Lists for the users that have a label and that the model knows."""
+    users = labels.select("user_id").distinct()
     return recommend_topk(model, users, signals.seen_pairs(train), k, config.pool)
 
 
@@ -143,7 +157,7 @@ def evaluate_model(
     if with_rmse:
         errors = rmse(predict_ratings(model, signals.rated_rows(wanted, "split")), ["split"]).select("split", "rmse")
         metrics = metrics.join(errors, "split", "left")
-    return as_runs(config, metrics)
+    return as_runs(replace(config, k=k), metrics)
 
 
 def log_runs(rows: DataFrame, path: str) -> None:
@@ -177,7 +191,9 @@ def run_grid(
 
     Each fit is one distributed job; the loop only goes over configurations.
     """
+    tag = train_tag(train)
     for config in configs:
+        config = replace(config, train_tag=tag)
         if load_saved:
             model = fit_or_load(config, train, models)
         else:
@@ -201,15 +217,23 @@ def select_and_test(
     """Take the configuration with the best validation NDCG, load its model, and score both
     splits with the rating error; only this model ever meets the test split."""
     spark = train.sparkSession
-    best = config_of(best_run(read_runs(spark, runs), model, "validation", label))
+    best = config_of(best_run(read_runs(spark, runs).where(F.col("k") == k), model, "validation", label))
+    if best.train_tag != train_tag(train):
+        raise ValueError(f"the best run {best.run_id} was fitted on another split")
     saved = load_model(spark, models, best)
     kinds = [("validation", label), ("test", label)]
     return evaluate_model(best, saved, train, held_out, kinds, k, with_rmse=model == "explicit")
 
 
 def compare_models(runs: DataFrame, base: str, split: str = "test") -> DataFrame:
-    """Models side by side per label, with the lift over a base model in percent."""
+    """Models side by side per label, with the lift in percent over a base, given by run_id or by its family.
+
+    A family with several runs of one label is refused: each row would be compared with all of them.
+    """
     rows = runs.where(F.col("split") == split)
-    ref = rows.where(F.col("model") == base).select("label", *[F.col(m).alias(f"base_{m}") for m in METRICS])
+    chosen = rows.where((F.col("run_id") == base) | (F.col("model") == base))
+    if not chosen.groupBy("label").count().where("count > 1").isEmpty():
+        raise ValueError(f"several runs of {base!r} for one label: name the base by its run_id")
+    ref = chosen.select("label", *[F.col(m).alias(f"base_{m}") for m in METRICS])
     lifts = [((F.col(m) / F.col(f"base_{m}") - 1) * 100).alias(f"lift_{m}") for m in METRICS]
     return rows.join(ref, "label").select("label", "model", "pool", "users", *METRICS, *lifts)

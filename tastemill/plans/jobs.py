@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -85,7 +85,7 @@ class Workspace:
         labels = signals.build_labels(self.held_out, ["read", "liked"])
         hits = popularity.popularity_hits(self.train, labels, self.k, pool)
         metrics = evaluate_ranking(hits, labels, ALL_KINDS, signals.popularity_cohort(self.train), self.k)
-        config = ex.popularity_config(pool, sample_pct=self.sample_pct)
+        config = ex.popularity_config(pool, sample_pct=self.sample_pct, k=self.k)
         ex.log_runs(ex.as_runs(config, metrics), self.path("runs"))
         return self.runs.where(F.col("run_id") == config.run_id)
 
@@ -99,6 +99,7 @@ class Workspace:
         return kept
 
     def grid(self, configs: Iterable[ex.ModelConfig], kinds: ex.Kinds, load_saved: bool = False) -> DataFrame:
+        configs = [replace(config, sample_pct=self.sample_pct) for config in configs]
         return ex.run_grid(
             configs, self.train, self.held_out, kinds, self.path("models"), self.path("runs"), self.k, load_saved
         )

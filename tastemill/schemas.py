@@ -30,6 +30,10 @@ RUNS = T.StructType([
     T.StructField("review_weight", T.DoubleType()),
     T.StructField("max_iter", T.IntegerType()),
     T.StructField("pool", T.IntegerType()),
+    T.StructField("k", T.IntegerType()),
+    T.StructField("seed", T.IntegerType()),
+    T.StructField("blocks", T.IntegerType()),
+    T.StructField("train_tag", T.StringType()),
     T.StructField("split", T.StringType(), False),
     T.StructField("label", T.StringType(), False),
     T.StructField("users", T.LongType()),

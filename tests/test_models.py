@@ -60,15 +60,15 @@ def test_lists(parts, model):
     assert ordered.count() == 0
 
 
-def test_both_ways_to_score_agree(parts, model):
+def test_scores_are_dot_products(parts, model):
     users = parts[0].select("user_id").distinct()
-    for pool in (7, 1000):
-        near = als.als_candidates(model, users, pool)
-        far = als.als_candidates(model, users, pool, broadcast_bytes=0)
-        rows = lambda df: {(r.user_id, r.item_id): r.score for r in df.collect()}
-        one, two = rows(near), rows(far)
-        assert near.dtypes == far.dtypes and one.keys() == two.keys()
-        assert max(abs(one[p] - two[p]) for p in one) < 1e-4
+    owners = {r.id: list(r.features) for r in model.userFactors.collect()}
+    items = {r.id: list(r.features) for r in model.itemFactors.collect()}
+    rows = als.als_candidates(model, users, 7).collect()
+    assert {r.user_id for r in rows} == set(owners)
+    for r in rows:
+        want = sum(a * b for a, b in zip(owners[r.user_id], items[r.item_id]))
+        assert abs(r.score - want) < 1e-4
 
 
 def test_same_seed_same_factors(parts, model):
@@ -139,3 +139,30 @@ def test_published_lift(spark, tmp_path):
     row = rows.first()
     got = [round(row[f"lift_{m}"], 1) for m in ("map", "ndcg_at_k", "precision_at_k", "recall_at_k")]
     assert got == [75.9, 58.5, 66.1, 56.7]
+
+
+def test_two_base_runs_are_refused(spark, tmp_path):
+    path = str(tmp_path / "runs")
+    schema = "split string, label string, users bigint, map double, ndcg_at_k double, precision_at_k double, recall_at_k double"
+    for pool, value in ((100, 0.1), (1000, 0.2)):
+        metrics = spark.createDataFrame([("test", "read", 1, value, value, value, value)], schema)
+        ex.log_runs(ex.as_runs(ex.popularity_config(pool), metrics), path)
+    runs = ex.read_runs(spark, path)
+    with pytest.raises(ValueError, match="several runs"):
+        ex.compare_models(runs, "popularity")
+    rows = ex.compare_models(runs, ex.popularity_config(100).run_id).collect()
+    assert sorted((r.pool, round(r.lift_map)) for r in rows) == [(100, 0), (1000, 100)]
+
+
+def test_models_and_runs_know_their_split_and_k(parts, tmp_path):
+    train, held_out = parts
+    other = train.where("user_id % 2 = 0")
+    models, runs = str(tmp_path / "models"), str(tmp_path / "runs")
+    first, second = (ex.fit_or_load(CONFIG, t, models).userFactors.count() for t in (train, other))
+    assert second < first
+    for k in (5, 10):
+        ex.run_grid([CONFIG], train, held_out, [("validation", "liked")], models, runs, k, load_saved=True)
+    rows = ex.read_runs(train.sparkSession, runs)
+    assert sorted(r.k for r in rows.collect()) == [5, 10]
+    with pytest.raises(ValueError, match="another split"):
+        ex.select_and_test(runs, models, CONFIG.model, other, held_out, k=5)
