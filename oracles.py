@@ -95,12 +95,13 @@ ORDER_READERS = f"{INTER}, readers AS (SELECT DISTINCT item_id, user_id AS reade
 WORD_READERS = """words AS (
   SELECT CAST(doc_id AS INTEGER) AS item_id,
          unnest(regexp_split_to_array(lower(trim("text")), '[ \t\n\r]+')) AS word FROM documents), readers AS (
-  SELECT DISTINCT item_id, CAST('0x' || substr(md5(word), 1, 7) AS INTEGER) AS reader FROM words WHERE word <> '')"""
+  SELECT DISTINCT item_id, word AS reader FROM words WHERE word <> '')"""
+WORD_CODE = "CAST('0x' || substr(md5(reader), 1, 7) AS BIGINT)"
 
 
-def sets_sql(min_readers: int) -> str:
+def sets_sql(min_readers: int, code: str = "reader::BIGINT") -> str:
     mins = ", ".join(
-        f"min(((reader::BIGINT + 1) * {a} + {b}) % {MINHASH_PRIME}) AS h{i}"
+        f"min((({code} + 1) * {a} + {b}) % {MINHASH_PRIME}) AS h{i}"
         for i, (a, b) in enumerate(minhash_coefficients(5, 42))
     )
     return f"""sets AS (
@@ -108,9 +109,11 @@ def sets_sql(min_readers: int) -> str:
   HAVING count(*) >= {min_readers})"""
 
 
-def pairs_sql(readers: str, min_readers: int, max_distance: float, collide: bool) -> str:
+def pairs_sql(
+    readers: str, min_readers: int, max_distance: float, collide: bool, code: str = "reader::BIGINT"
+) -> str:
     same = " OR ".join(f"a.h{i} = b.h{i}" for i in range(5)) if collide else "true"
-    return f"""WITH {readers}, {sets_sql(min_readers)}, kept AS (
+    return f"""WITH {readers}, {sets_sql(min_readers, code)}, kept AS (
   SELECT item_id, reader FROM readers WHERE item_id IN (SELECT item_id FROM sets)), shared AS (
   SELECT x.item_id AS id_1, y.item_id AS id_2, count(*) AS inter
   FROM kept x JOIN kept y ON x.reader = y.reader AND x.item_id < y.item_id GROUP BY 1, 2), scored AS (
@@ -125,6 +128,27 @@ FROM scored WHERE CAST(1 AS DOUBLE) - j < CAST({max_distance} AS DOUBLE)
 ORDER BY j DESC, inter DESC, r1 DESC, r2 DESC, id_1, id_2 LIMIT 100"""
 
 
+# Users of each model: those of its training signal; only those with a label get a list.
+SIGNALS = {
+    "explicit": ("rating > 0", "liked"),
+    "implicit": ("is_read + 2 * is_reviewed > 0", "read"),
+    "combined": ("rating > 0 OR is_reviewed = 1 OR is_read = 1", "liked"),
+}
+
+
+def list_checks_sql(signal: str, label: str) -> str:
+    """What the checks of lists must count: a list for every user of the cohort, and no broken rule."""
+    return f"""WITH {SPLIT}, {LABELS} SELECT count(DISTINCT user_id) AS lists,
+  0 AS over_k, 0 AS seen, 0 AS rank_gaps, 0 AS order_breaks, 0 AS score_breaks
+FROM labels_long WHERE label = '{label}' AND user_id IN (SELECT user_id FROM train WHERE {signal})"""
+
+
+# Given factors: even ids as users, odd ones as items; whole numbers, so that sums are exact in any order.
+GIVEN = """e AS (
+  SELECT CAST(vec_id AS INTEGER) AS id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings WHERE vec_id IS NOT NULL AND embedding IS NOT NULL), u AS (
+  SELECT * FROM e WHERE id % 2 = 0), i AS (SELECT * FROM e WHERE id % 2 = 1)"""
+
 METRIC_NAMES = ("map", "ndcg_at_k", "precision_at_k", "recall_at_k")
 POOLS = (100, 150, 1000)
 RUNS = f"WITH {SPLIT}, {LABELS}, {COHORT}, {TOP}, " + ", ".join(
@@ -179,8 +203,8 @@ SELECT inter.* FROM inter JOIN buckets USING (user_id) WHERE bucket < 3""",
     "item_reader_sets": f"WITH {ORDER_READERS}, {sets_sql(10)} SELECT * FROM sets",
     "similar_pairs_exact": pairs_sql(ORDER_READERS, 10, 0.9, False),
     "similar_pairs_lsh": pairs_sql(ORDER_READERS, 10, 0.9, True),
-    "similar_pairs_words_exact": pairs_sql(WORD_READERS, 30, 0.8, False),
-    "similar_pairs_words_lsh": pairs_sql(WORD_READERS, 30, 0.8, True),
+    "similar_pairs_words_exact": pairs_sql(WORD_READERS, 30, 0.8, False, WORD_CODE),
+    "similar_pairs_words_lsh": pairs_sql(WORD_READERS, 30, 0.8, True, WORD_CODE),
     "ranked_lists": f"""WITH {SPLIT}, {TOP}, {recs_sql(1000)}
 SELECT user_id, string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY "rank") AS items FROM recs GROUP BY user_id""",
     "mean_rating_rmse": f"""WITH {SPLIT}, mean AS (
@@ -191,6 +215,18 @@ FROM dealt CROSS JOIN mean WHERE split <> 'train' AND rating > 0 GROUP BY split"
     "csv_export": f"{RUNS} SELECT * FROM board",
     "best_config": f"{RUNS} SELECT * FROM board ORDER BY ndcg_at_k DESC, pool LIMIT 1",
     "compare_models": COMPARE,
+    **{f"als_{name}_list_checks": list_checks_sql(*SIGNALS[name]) for name in SIGNALS},
+    **{
+        f"als_{name}_fit_checks": f"""WITH {SPLIT} SELECT count(DISTINCT user_id) AS users, 0 AS unsolved
+FROM train WHERE {SIGNALS[name][0]}""" for name in ("explicit", "combined")
+    },
+    "factor_topk": f"""WITH {GIVEN} SELECT u.id AS user_id, i.id AS item_id,
+  CAST(list_dot_product(u.v, i.v) AS BIGINT) AS score,
+  CAST(row_number() OVER (PARTITION BY u.id ORDER BY list_dot_product(u.v, i.v) DESC, i.id) AS INTEGER) AS "rank"
+FROM u CROSS JOIN i WHERE i.id < u.id OR i.id > u.id + 39 QUALIFY "rank" <= 10""",
+    "factor_predictions": f"""WITH {GIVEN} SELECT u.id AS user_id, i.id AS item_id,
+  CAST(list_dot_product(u.v, i.v) AS BIGINT) AS prediction
+FROM u JOIN i ON i.id > u.id AND i.id <= u.id + 39""",
     "popularity_metrics": f"{POPULARITY} SELECT {ROUNDED} FROM metrics",
     **{
         f"popularity_metrics_{split}_{label}":

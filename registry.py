@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tastemill.operators import als, popularity, profile, sampling, signals, similarity
+from tastemill.operators import als, checks, popularity, profile, sampling, signals, similarity
 from tastemill.operators.evaluate import evaluate_ranking, rmse
 from tastemill.plans import experiments as ex
 from tastemill.plans.staging import splits, staged_path
@@ -115,6 +115,50 @@ def als_recs_query(config, kind):
     return run
 
 
+def als_list_checks_query(config, kind):
+    """Whether the model's lists keep every rule, over all users that get one."""
+    def run(spark, sf_dir):
+        train = _train(spark, sf_dir)
+        model = _model(spark, sf_dir, config)
+        recs = ex.recommend(config, model, train, signals.build_labels(_held_out(spark, sf_dir), [kind]), K)
+        return checks.list_checks(model, recs, signals.seen_pairs(train), K)
+    return run
+
+
+def als_fit_checks_query(config):
+    """Whether the fitted user factors solve their normal equations."""
+    def run(spark, sf_dir):
+        signal = ex.training_signal(config, _train(spark, sf_dir))
+        return checks.fit_checks(_model(spark, sf_dir, config), signal, config.reg_param)
+    return run
+
+
+def _given_factors(spark, sf_dir):
+    """A model over the embeddings, even ids as users and odd ones as items, and 20 seen pairs a user.
+
+    Components are whole numbers, so that sums are exact in any order.
+    """
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet").where("vec_id IS NOT NULL AND embedding IS NOT NULL")
+    whole = F.transform("embedding", lambda x: F.floor(x.cast("double") * 256).cast("float"))
+    factors = vectors.select(F.col("vec_id").cast("int").alias("id"), whole.alias("features"))
+    users, items = factors.where("id % 2 = 0"), factors.where("id % 2 = 1")
+    model = als.model_of_factors(users, items, staged_path(spark, sf_dir, "given-factors"))
+    user = users.select(F.col("id").alias("user_id"))
+    near = F.transform(F.sequence(F.lit(1), F.lit(39), F.lit(2)), lambda step: F.col("user_id") + step)
+    return model, user, user.select("user_id", F.explode(near).alias("item_id"))
+
+
+def factor_topk(spark, sf_dir, k=10):
+    model, users, seen = _given_factors(spark, sf_dir)
+    recs = als.recommend_topk(model, users, seen, k, pool=k + 40)
+    return recs.withColumn("score", F.col("score").cast("long"))
+
+
+def factor_predictions(spark, sf_dir):
+    model, _, seen = _given_factors(spark, sf_dir)
+    return als.predict_ratings(model, seen).withColumn("prediction", F.col("prediction").cast("long"))
+
+
 def ranked_lists(spark, sf_dir):
     return als.to_ranked_lists(popularity.popularity_recs(_train(spark, sf_dir), K)).select(
         "user_id", F.array_join("items", ",").alias("items")
@@ -254,6 +298,13 @@ QUERIES = {
     "als_implicit_metrics": als_metrics_query(IMPLICIT, READ),
     "als_combined_metrics": als_metrics_query(COMBINED, KINDS),
     "als_explicit_rmse": als_explicit_rmse,
+    "als_explicit_list_checks": als_list_checks_query(EXPLICIT, "liked"),
+    "als_implicit_list_checks": als_list_checks_query(IMPLICIT, "read"),
+    "als_combined_list_checks": als_list_checks_query(COMBINED, "liked"),
+    "als_explicit_fit_checks": als_fit_checks_query(EXPLICIT),
+    "als_combined_fit_checks": als_fit_checks_query(COMBINED),
+    "factor_topk": factor_topk,
+    "factor_predictions": factor_predictions,
     "als_grid_leaderboard": als_grid_leaderboard,
     "als_select_and_test": als_select_and_test,
     "als_compare_models": als_compare_models,

@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed value: the prime below 2^31 that bounds the min-hash family.
+# Fixed value: the modulus of the min-hash family in Spark ML, a prime.
 MINHASH_PRIME = 2038074743
 
 
@@ -42,8 +42,8 @@ def minhash_coefficients(tables: int, seed: int) -> list[tuple[int, int]]:
 
 
 def minhash_value(token: Column, a: int, b: int) -> Column:
-    """One hash of the family ((1 + x) a + b) mod p; x must be an int32 that is >= 0."""
-    return ((token.cast("bigint") + 1) * F.lit(a).cast("bigint") + F.lit(b).cast("bigint")) % F.lit(MINHASH_PRIME)
+    """One hash of the family ((1 + x) a + b) mod p, never negative; x is an int32."""
+    return F.pmod((token.cast("bigint") + 1) * F.lit(a).cast("bigint") + F.lit(b).cast("bigint"), F.lit(MINHASH_PRIME))
 
 
 def minhash_signature(token: Column, coefficients: Sequence[tuple[int, int]]) -> list[Column]:

@@ -43,6 +43,19 @@ def fit_als(
     return als.fit(signal)
 
 
+def model_of_factors(users: DataFrame, items: DataFrame, path: str) -> ALSModel:
+    """A model over given factors (id int, features array<float>), saved at ``path``.
+
+    A one-row fit makes the folder; its factor tables are then replaced.
+    """
+    rank = users.select(F.size("features")).first()[0]
+    one = users.sparkSession.createDataFrame([(0, 0, 1.0)], "user_id int, item_id int, score float")
+    fit_als(one, rank, 0.1, max_iter=1, blocks=1).write().overwrite().save(path)
+    for table, name in ((users, "userFactors"), (items, "itemFactors")):
+        table.write.mode("overwrite").parquet(f"{path}/{name}")
+    return ALSModel.load(path)
+
+
 def als_candidates(model: ALSModel, users: DataFrame, pool: int) -> DataFrame:
     """The model's ``pool`` best items for those of the given users that it knows: (user_id, item_id, score)."""
     raw = model.recommendForUserSubset(users, pool)

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from tastemill.functions.hashing import hex_int, md5_bucket, md5_key, xxhash_bucket
 
 SPLITS = ("train", "validation", "test")
+# A user is never hot below this share of all rows, which bounds the broadcasts whatever the table's size.
+HOT_USERS = 100_000
 
 
 def sample_users(df: DataFrame, pct: int, user: str = "user_id", method: str = "xxhash64") -> DataFrame:
@@ -39,15 +41,21 @@ def number_rows(
     """Add ``rn`` (position by ``key`` within the user) and ``n`` (rows of the user).
 
     ``key`` is a uniform hex string, unique within a user. A user with more than
-    ``hot_rows`` rows is cut into key ranges of about that size; each range is
-    numbered on its own and shifted by the size of the ranges before it, so one
-    user with a third of the table is spread over many tasks and numbered exactly.
-    At most rows / hot_rows users can be hot and they have at most
-    2 * rows / hot_rows ranges, which is what the two broadcasts carry. ``sizes``,
-    (user, n), saves the count where ``df`` is costly to scan twice.
+    ``hot_rows`` rows (and more than rows / HOT_USERS) is cut into key ranges of about that
+    size; each range is numbered on its own and shifted by the size of the ranges before
+    it, so one user with a third of the table is spread over many tasks and numbered exactly.
+    Fewer than HOT_USERS users can be hot and they have fewer than twice as many ranges,
+    which bounds the two broadcasts. Two numbers, all rows and the largest user's, are
+    read first: without a hot user the plan scans ``df`` once. ``sizes``, (user, n), saves
+    the count where ``df`` is costly to scan twice.
     """
     if sizes is None:
         sizes = df.groupBy(user).agg(F.count("*").alias("n"))
+    rows, largest = sizes.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.max("n"), F.lit(0))).first()
+    hot_rows = max(hot_rows, rows // HOT_USERS)
+    if largest <= hot_rows:
+        whole = W.partitionBy(user)
+        return df.withColumn("rn", F.row_number().over(whole.orderBy(key))).withColumn("n", F.count("*").over(whole))
     hot = sizes.where(F.col("n") > hot_rows).select(
         user, F.col("n").alias("_total"), F.ceil(F.col("n") / hot_rows).alias("_slices")
     )

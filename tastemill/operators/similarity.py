@@ -17,11 +17,12 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
-from tastemill.functions.hashing import minhash_coefficients, minhash_signature
+from tastemill.functions.hashing import hex_int, minhash_coefficients, minhash_signature
 from tastemill.operators.skew import HOT_ROWS, hot_keys, slice_rows, sliced_join
 from tastemill.sources.tables import write_table
 
@@ -29,8 +30,6 @@ EPS = 1e-9
 # From this floor on prefixes are short, and one common reader with fitting positions is a
 # sharp test; below it prefixes are long, and several common readers are asked for.
 HIGH_FLOOR = 0.5
-# Below this many distinct sets the first floor is good enough.
-TRIAL_SETS = 2000
 SHARED = 3
 
 
@@ -40,6 +39,16 @@ def reader_pairs(df: DataFrame, item: str = "item_id", user: str = "user_id") ->
     return read.select(F.col(item).alias("item_id"), F.col(user).alias("reader")).distinct()
 
 
+def signature_code(readers: DataFrame) -> Column:
+    """The int32 that the min-hash family takes: a reader's id, or 28 bits of a text's md5.
+
+    Only signatures use it; sets, sizes and intersections are of the readers themselves.
+    """
+    if isinstance(readers.schema["reader"].dataType, StringType):
+        return hex_int(F.md5(F.col("reader").cast("binary")), 7)
+    return F.col("reader")
+
+
 def item_reader_sets(
     readers: DataFrame, min_readers: int = 30, tables: int = 5, seed: int = 42
 ) -> DataFrame:
@@ -50,7 +59,7 @@ def item_reader_sets(
             F.count("*").alias("reader_count"),
             F.bit_xor(F.xxhash64(token)).alias("print_1"),
             F.bit_xor(F.xxhash64(token, F.lit("set"))).alias("print_2"),
-            *minhash_signature(token, minhash_coefficients(tables, seed)),
+            *minhash_signature(signature_code(readers), minhash_coefficients(tables, seed)),
         )
         .where(F.col("reader_count") >= min_readers)
     )
@@ -136,13 +145,13 @@ def similarity_floor(known: DataFrame, k: int, lowest: float) -> float:
     return max(best[-1], lowest) if len(best) == k else lowest
 
 
-def trial_floors(floor: float, sets: int) -> list[float]:
+def trial_floors(floor: float) -> list[float]:
     """Bars to try, highest first, ending at the known floor.
 
     A bar that at least k pairs reach is a floor too. Among many near copies a higher
     one leaves far fewer pairs to count, and failing it costs little.
     """
-    if floor < HIGH_FLOOR or sets < TRIAL_SETS:
+    if floor < HIGH_FLOOR:
         return [floor]
     return [1 - (1 - floor) / 4, 1 - (1 - floor) / 2, floor]
 
@@ -284,7 +293,7 @@ def similar_pairs(
     lowest = 1.0 - max_distance
     near = neighbour_pairs(classes, hs, 10 * k, hot_rows, known.sets)
     floor = similarity_floor(overlaps(near, readers, hot), k - int(known.copies), lowest)
-    for bar in trial_floors(floor, known.sets):
+    for bar in trial_floors(floor):
         candidates = candidate_pairs(classes, readers, hs, bar, collide, hot, hot_rows, known.sets)
         scored = overlaps(candidates, readers, hot)
         close = scored.where((1.0 - F.col("jaccard") < max_distance) & (F.col("jaccard") >= bar))

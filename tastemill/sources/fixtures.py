@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tastemill.functions.hashing import hex_int, md5_key
+from tastemill.functions.hashing import md5_key
 
 
 def order_interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -28,15 +28,12 @@ def order_interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def word_readers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Texts as items and their words as readers: sets that really overlap.
-
-    A word becomes an int32 by the first seven hex digits of its md5.
-    """
+    """Texts as items and their whole words as readers: sets that really overlap."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     words = F.array_distinct(F.split(F.lower(F.trim("text")), r"[ \t\n\r]+"))
     per_doc = docs.select(F.col("doc_id").cast("int").alias("item_id"), F.explode(words).alias("word"))
     return per_doc.where(F.col("word") != "").select(
         "item_id",
-        hex_int(F.md5(F.col("word").cast("binary")), 7).cast("int").alias("user_id"),
+        F.col("word").alias("user_id"),
         F.lit(1).alias("is_read"),
     )

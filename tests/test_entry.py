@@ -11,6 +11,12 @@ def test_entry(spark):
     assert rows[("validation", "liked")] == (128, 0.026937, 0.131135, 0.012734, 0.49042)
 
 
+def test_split_scans_its_source_once(spark, capsys):
+    QUERIES["split_train"](spark, "/root/testdata/sf0.001").explain()
+    plan = capsys.readouterr().out
+    assert plan.count("FileScan parquet") == 2  # the lines and the orders
+
+
 def test_factor_model_queries(spark):
     for key in sorted(set(QUERIES) - set(ORACLES)):
         assert QUERIES[key](spark, "/root/testdata/sf0.001").limit(5).count() > 0, key

@@ -1,9 +1,9 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
-from tastemill.functions.hashing import MINHASH_PRIME, minhash_coefficients
-from tastemill.operators import similarity
+from tastemill.functions.hashing import MINHASH_PRIME, minhash_coefficients, minhash_value
 from tastemill.operators.similarity import reader_pairs, similar_pairs
 
 KEYS = ("item_id_1", "item_id_2", "reader_count_1", "reader_count_2", "intersection_size", "union_size")
@@ -71,11 +71,6 @@ CASES = {
 }
 
 
-@pytest.fixture(autouse=True)
-def try_higher_floors(monkeypatch):
-    monkeypatch.setattr(similarity, "TRIAL_SETS", 0)
-
-
 @pytest.mark.parametrize("name", CASES)
 @pytest.mark.parametrize("k,hot_rows,collide", [(10, 10**6, True), (25, 20, True), (5, 15, False), (3000, 20, False)])
 def test_pairs_equal_brute_force(spark, tmp_path, name, k, hot_rows, collide):
@@ -103,3 +98,17 @@ def test_published_shapes(spark, tmp_path):
     got = [(r.reader_count_1, r.reader_count_2, r.intersection_size, r.union_size, round(r.jaccard_similarity, 6))
            for r in rows]
     assert got == known
+
+
+def test_words_with_equal_codes_stay_apart(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("tastemill.operators.similarity.signature_code", lambda readers: F.lit(1))
+    words = {1: "abcd", 2: "abce", 3: "wxyz"}
+    rows = [(item, word, 1) for item, text in words.items() for word in text]
+    readers = reader_pairs(spark.createDataFrame(rows, "item_id int, user_id string, is_read int"))
+    got = similar_pairs(readers, str(tmp_path), 10, 1, 0.9).collect()
+    assert [tuple(r[c] for c in KEYS) for r in got] == [(1, 2, 4, 4, 3, 5)]
+
+
+def test_negative_ids_hash_into_the_family(spark):
+    row = spark.range(1).select(minhash_value(F.lit(-5), 2 * 10**9, 3).alias("h")).first()
+    assert row.h == (-4 * 2 * 10**9 + 3) % MINHASH_PRIME
