@@ -9,14 +9,14 @@ CHUNKS = 250_000  # of each generation
 SLICE_CHARS = 1 << 21  # of the texts that are cut at once
 
 
-def slices(texts: list[str]) -> Iterator[list[str]]:
-    """The texts in order, in lists of about SLICE_CHARS."""
+def slices(texts: list[str], chars: int = SLICE_CHARS) -> Iterator[list[str]]:
+    """The texts in order, in lists of about ``chars`` characters."""
     held: list[str] = []
     size = 0
     for text in texts:
         held.append(text)
         size += len(text)
-        if size >= SLICE_CHARS:
+        if size >= chars:
             yield held
             held, size = [], 0
     if held:

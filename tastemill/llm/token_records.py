@@ -24,6 +24,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,6 +41,27 @@ INDEX = np.dtype([("doc_id", "<i8"), ("has_id", "u1"), ("offset", "<u8"), ("toke
 FRAME = HEADER.itemsize + 4
 FLUSH_BYTES = 8 << 20
 SPACES = re.compile(r"\s\s")
+SPACE = re.compile(r"\s")
+LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
+MARKS = r"!-&(-/:-@\[-`{-~"  # no apostrophe: it can take letters with it
+WORD = re.compile(f"[{LETTERS}]+")
+GROUP = re.compile(f"[{LETTERS}]+|[{MARKS}]+|\\n")
+BREAK = rf"(?:[{MARKS}]|\n(?=[{LETTERS}{MARKS}]))"
+WORD_AND_MORE = re.compile(rf"([{LETTERS}]+)({BREAK}(?:[{LETTERS}]|{BREAK})*)")
+TOGETHER = 2000  # new chunks in one text
+TEXT_CHARS = 1 << 23  # of the texts that are looked up at once
+
+
+def byte_letters() -> dict[int, str]:
+    """The letters that byte-level vocabularies write for each byte: visible Latin-1 as is, the others from 256 on."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = sorted(set(range(256)).difference(shown))
+    return {b: chr(b) for b in shown} | {b: chr(256 + n) for n, b in enumerate(hidden)}
+
+
+BYTE_LETTERS = byte_letters()
+SPACE_BYTE = BYTE_LETTERS[32]
+BY_BYTES = {c: "".join(BYTE_LETTERS[b] for b in chr(c).encode()) for c in range(128, 256)}
 
 
 def file_system(uri: str):
@@ -52,8 +74,11 @@ class ChunkEncoder:
     """Ids of whole texts by the tokenizers library, looked up per space-separated chunk.
 
     With a byte-level pre-tokenizer a lone space between two non-space characters always
-    opens a token group, so chunks cut there encode as they do inside the text. Texts with
-    an added token's string, and other tokenizers, are encoded whole.
+    opens a token group, so chunks cut there encode as they do inside the text; for the same
+    reason new chunks are encoded many at a time and told apart by the ids that begin with a
+    space; plain words go to the same model as groups that are cut already. Letters, runs of
+    marks and single line ends are groups of their own inside a chunk, so these are what is
+    remembered. Texts with an added token's string, and other tokenizers, are encoded whole.
     """
 
     def __init__(self, path: str):
@@ -61,6 +86,7 @@ class ChunkEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.of_groups = Tokenizer(self.tokenizer.model)
         spec = json.loads(self.tokenizer.to_str())
         pre = spec.get("pre_tokenizer") or {}
         self.added = [t["content"] for t in spec["added_tokens"]]
@@ -68,31 +94,91 @@ class ChunkEncoder:
             pre.get("type") == "ByteLevel" and pre.get("use_regex") and not pre.get("add_prefix_space")
             and not spec.get("normalizer") and not spec["model"].get("dropout")
         )
-        self.code = "H" if self.tokenizer.get_vocab_size() <= 1 << 16 else "I"
+        vocabulary = self.tokenizer.get_vocab()
+        self.code = "H" if len(vocabulary) <= 1 << 16 else "I"
+        self.spaced = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
+        self.spaced[[i for text, i in vocabulary.items() if text.startswith(SPACE_BYTE)]] = True
         self.opening = ChunkCache(self._whole)
-        self.following = ChunkCache(lambda chunks: self._whole([" " + c for c in chunks]))
+        self.following = ChunkCache(self._after_space)
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         made = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [array(self.code, e.ids).tobytes() for e in made]
 
-    def _pieces(self, text: str) -> list[str] | None:
-        """The chunks of a text, or None if it has to be encoded whole."""
-        if not self.chunked or any(a in text for a in self.added):
+    def _apart(self, made: list, count: int) -> list[bytes] | None:
+        """Ids of chunks that were encoded together, cut where a token begins with a space."""
+        ids = np.frombuffer(b"".join(array(self.code, e.ids).tobytes() for e in made), self.code)
+        starts = np.flatnonzero(self.spaced[ids])
+        if len(starts) != count:
             return None
-        pieces = text.split(" ")
-        if SPACES.search(text) or text[:1].isspace() or text[-1:].isspace():
-            pieces = self._merged(pieces)
-        return pieces
+        raw, bounds = ids.tobytes(), (np.append(starts, len(ids)) * ids.itemsize).tolist()
+        return [raw[a:b] for a, b in zip(bounds, bounds[1:])]
+
+    def _after_space(self, chunks: list[str]) -> list[bytes]:
+        """Ids of each chunk behind a space."""
+        words, lone, others = [], [], []
+        for chunk in chunks:
+            kind = words if WORD.fullmatch(chunk) else lone if chunk and not SPACE.search(chunk) else others
+            kind.append(chunk)
+        groups = [SPACE_BYTE + (w if w.isascii() else w.translate(BY_BYTES)) for w in words]
+        of_words = self._apart(self.of_groups.encode_batch_fast(
+            [groups[i:i + TOGETHER] for i in range(0, len(groups), TOGETHER)], is_pretokenized=True, add_special_tokens=False,
+        ), len(words))
+        of_lone = self._apart(self.tokenizer.encode_batch_fast(
+            [" " + " ".join(lone[i:i + TOGETHER]) for i in range(0, len(lone), TOGETHER)], add_special_tokens=False,
+        ), len(lone))
+        if of_words is None or of_lone is None:
+            return self._whole([" " + c for c in chunks])
+        known = dict(zip([*words, *lone], [*of_words, *of_lone]))
+        known.update(zip(others, self._whole([" " + c for c in others])))
+        return [known[c] for c in chunks]
+
+    def _values(self, cache: ChunkCache, chunks: list[str]) -> list[bytes]:
+        """Ids of each chunk, of its first word and the groups behind it apart."""
+        heads, places, groups = list(chunks), [], []
+        for i, chunk in enumerate(chunks):
+            met = WORD_AND_MORE.fullmatch(chunk)
+            if met:
+                heads[i], more = met.groups()
+                more = GROUP.findall(more)
+                places += [i] * len(more)
+                groups += more
+        out = cache.values(heads)
+        for i, ids in zip(places, self.opening.values(groups)):
+            out[i] += ids
+        return out
+
+    def _cut(self, texts: list[str]) -> pa.ListArray:
+        """The chunks of each text."""
+        odd = [bool(SPACES.search(t)) or t[:1].isspace() or t[-1:].isspace() for t in texts]
+        if not any(odd):
+            return pc.split_pattern(pa.array(texts, pa.string()), " ")
+        return pa.array([self._merged(t.split(" ")) if o else t.split(" ") for t, o in zip(texts, odd)], pa.list_(pa.string()))
+
+    def _encode_cut(self, pieces: pa.ListArray) -> list[bytes]:
+        """Look up every distinct chunk once and put the ids of all texts together by place."""
+        coded = pieces.flatten().dictionary_encode()
+        distinct = coded.dictionary.to_pylist()
+        entry = coded.indices.to_numpy().astype(np.int64)
+        last = np.cumsum(pieces.value_lengths().to_numpy().astype(np.int64)) - 1
+        first = np.append(0, last[:-1] + 1)
+        opens, place = np.unique(entry[first], return_inverse=True)
+        entry[first] = len(distinct) + place
+        known = self._values(self.following, distinct) + self._values(self.opening, [distinct[i] for i in opens])
+        ids = np.frombuffer(b"".join(known), self.code)
+        size = np.fromiter(map(len, known), np.int64, len(known)) // ids.itemsize
+        start, length = (np.cumsum(size) - size)[entry], size[entry]
+        end = np.cumsum(length)
+        raw = ids[np.repeat(start - (end - length), length) + np.arange(end[-1])].tobytes()
+        bounds = (np.append(0, end[last]) * ids.itemsize).tolist()
+        return [raw[a:b] for a, b in zip(bounds, bounds[1:])]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text; chunks that are new to the batch are encoded at once."""
-        cut = [self._pieces(t) for t in texts]
-        self.following.prepare(pieces[1:] for pieces in cut if pieces)
-        return [
-            b"".join([*self.opening.values(p[:1]), *self.following.values(p[1:])]) if p else self._whole([t])[0]
-            for t, p in zip(texts, cut)
-        ]
+        """The ids of each text."""
+        whole = [not self.chunked or any(a in t for a in self.added) for t in texts]
+        cut = [t for t, one in zip(texts, whole) if not one]
+        by_chunks = iter(self._encode_cut(self._cut(cut)) if cut else [])
+        return [self._whole([t])[0] if one else next(by_chunks) for t, one in zip(texts, whole)]
 
     @staticmethod
     def _merged(pieces: list[str]) -> list[str]:
@@ -195,7 +281,7 @@ class TokenWriter(DataSourceArrowWriter):
         out = None
         for batch in batches:
             out = out or RecordFile(self.path, f"part-{part:06d}-{uuid.uuid4().hex[:12]}", end.itemsize)
-            made = (ids for texts in slices(batch.column(1).to_pylist()) for ids in encoder.encode(texts))
+            made = (ids for texts in slices(batch.column(1).to_pylist(), TEXT_CHARS) for ids in encoder.encode(texts))
             for doc_id, ids in zip(batch.column(0).to_pylist(), made):
                 out.add(doc_id, ids + end.tobytes())
         if out is None:

@@ -55,6 +55,8 @@ def test_chunks_encode_as_in_the_text():
 
     encoder, draw = token_records.ChunkEncoder(BPE), random.Random(1)
     texts = ["".join(draw.choice(" \n\ta1.,'s²é ́") for _ in range(draw.randint(0, 14))) for _ in range(3000)]
+    parts = ["und", "größe", "Ñora", "l", "'s", ".", "***", "(", "\n", "\n", " ", " ", " ", "12", "日本", "Ġ", "×", "\x85", "<|endoftext|>"]
+    texts += ["".join(draw.choice(parts) for _ in range(draw.randint(0, 16))) for _ in range(6000)]
     got = [np.frombuffer(b, "<u2").tolist() for b in encoder.encode(texts)]
     assert got == [e.ids for e in encoder.tokenizer.encode_batch(texts, add_special_tokens=False)]
 
