@@ -4,6 +4,8 @@ Every page scores its containers: text outside boilerplate, less what menus, for
 and links add. The best container's generalised path of tags and classes is the page's vote.
 Votes are summed per host in Spark, and each page is then extracted from the containers at the
 best path of its host that it has; a page that has none, or has no host, uses its own best one.
+An inner container gets a page's vote in place of the best one only where what it leaves outside has
+no clean text, or a little that most such pages of the host have word for word beside other texts.
 
 Null html is empty html and gives an empty text. Rows that repeat a page_id are pages of
 their own. Markup may be broken or cut short: open elements end with the page. An empty table
@@ -12,6 +14,7 @@ gives no rows.
 
 from __future__ import annotations
 
+import hashlib
 import html as entities
 import re
 from collections.abc import Iterator
@@ -26,7 +29,7 @@ from tastemill.llm.common import join_counted, stage, table
 RANKED_PATHS = 3  # winning paths of a host that its pages try in turn
 PATH_LEVELS = 32  # deeper elements belong to the container above them
 LEAST_VOTES = 2
-NEARLY_ALL = 0.9
+NEARLY_ALL = 0.9  # share of the best container's text from which an inner one can take its place
 HOST_BROADCAST = 100_000  # rows of (host, path) that a broadcast may hold
 
 # Tag names of HTML and words of boilerplate classes.
@@ -160,34 +163,59 @@ def _containers(runs: list[tuple[Node, str]]) -> dict[str, list[int]]:
     """Clean and wasted characters of the containers, by path."""
     found: dict[str, list[int]] = {}
     for node, text in runs:
-        size = len(text) if len(text) > 1 else 0
-        if not size or text.isspace():
+        if not text or text.isspace():
             continue
         holder = node.container
         while holder is not None:
             sums = found.setdefault(holder.path, [0, 0, holder.level, holder.tag in ("article", "main")])
-            sums[1 if node.junk or node.link else 0] += size
+            sums[1 if node.junk or node.link else 0] += len(text)
             holder = holder.above
     return found
 
 
+def _best(sums: dict[str, list[int]]) -> tuple[str, int]:
+    score, _, path = max(
+        ((clean - 2 * waste) * (5 if main else 4), level, path) for path, (clean, waste, level, main) in sums.items()
+    )
+    return path, max(score // 4, 0)
+
+
 def best_container(page: str) -> tuple[str, int] | None:
     """The path and score of the page's best container; ties go to the deeper one.
 
-    Unless it is an article by its tag, a container inside that holds nearly all its text is better.
+    So a container inside that holds all its clean text is better, and none that holds less.
     """
     sums = _containers(parse(page))
+    return _best(sums) if sums else None
+
+
+def _digest(texts: list[str]) -> str:
+    return hashlib.blake2b(" ".join("".join(texts).split()).encode("utf-8", "replace"), digest_size=16).hexdigest()
+
+
+def vote_of(page: str) -> dict | None:
+    """The best container's path and score and, if an inner one holds nearly all its text, that one's path and score.
+
+    Then ``rest`` and ``body`` stand for the clean text outside and inside the inner one.
+    """
+    runs = parse(page)
+    sums = _containers(runs)
     if not sums:
         return None
-    score, _, path = max(
-        ((clean - 2 * waste) * (5 if main else 4), level, path) for path, (clean, waste, level, main) in sums.items()
-    )
-    while not sums[path][3]:
-        inside = [(-v[2], v[0], p) for p, v in sums.items() if p.startswith(path + ">") and v[0] >= NEARLY_ALL * sums[path][0]]
-        if not inside:
-            break
-        path = max(inside)[2]
-    return path, max(score // 4, 0)
+    path, score = _best(sums)
+    vote = {"path": path, "score": score}
+    clean, _, _, main = sums[path]
+    near = [(v[0], v[2], p) for p, v in sums.items() if p.startswith(path + ">") and NEARLY_ALL * clean <= v[0] < clean]
+    if near and not main:
+        inner = max(near)[2]
+        rest, body = [], []
+        for node, text in runs:
+            if not node.junk and not node.link and _within(node, path):
+                (body if _within(node, inner) else rest).append(text)
+        size, waste, _, main = sums[inner]
+        vote |= {"inner": inner, "inner_score": max((size - 2 * waste) * (5 if main else 4) // 4, 0)}
+        vote |= {"rest": _digest(rest), "body": _digest(body)}
+    return vote
 
 
 def main_text(page: str, paths: list[str]) -> str:
@@ -214,19 +242,49 @@ def _within(node: Node, path: str) -> bool:
     return node.path == path or node.path.startswith(path + ">")
 
 
-def votes(pages: DataFrame) -> DataFrame:
-    """(host, path, votes, score) over all pages that have a container with text."""
+def seen(pages: DataFrame) -> DataFrame:
+    """What every page with a host and a container with text votes for, staged."""
 
     def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ("host", "path", "inner", "rest", "body")
+        kinds = pa.schema([*((n, pa.string()) for n in names), ("score", pa.int64()), ("inner_score", pa.int64())])
         for batch in batches:
-            found = [(h.as_py(), *(best_container(p.as_py()) or ("", 0))) for h, p in zip(*batch.columns)]
-            yield pa.RecordBatch.from_pylist(
-                [{"host": h, "path": p, "score": s} for h, p, s in found if p],
-                schema=pa.schema([("host", pa.string()), ("path", pa.string()), ("score", pa.int64())]),
-            )
+            found = [(h.as_py(), vote_of(p.as_py())) for h, p in zip(*batch.columns)]
+            yield pa.RecordBatch.from_pylist([{"host": h, **v} for h, v in found if v], schema=kinds)
+
+    return stage(
+        pages.where(F.col("host").isNotNull()).select("host", "html").mapInArrow(
+            vote, "host string, path string, inner string, rest string, body string, score long, inner_score long"
+        ), "host-pages",
+    )
+
 
-    cast = pages.where(F.col("host").isNotNull()).select("host", "html").mapInArrow(vote, "host string, path string, score long")
-    return cast.groupBy("host", "path").agg(F.count(F.lit(1)).alias("votes"), F.sum("score").alias("score"))
+def templates(cast: DataFrame) -> DataFrame:
+    """(host, path, inner, rest): where most pages leave the same text outside the inner container.
+
+    A page counts once however often it is repeated, so copies don't make their title a template's text.
+    """
+    by_rest = cast.where("inner IS NOT NULL").groupBy("host", "path", "inner", "rest").agg(
+        F.count(F.lit(1)).alias("votes"), F.count_distinct("body").alias("bodies")
+    )
+    most = F.max(F.struct("bodies", "rest")).alias("most")
+    by_inner = by_rest.groupBy("host", "path", "inner").agg(F.sum("bodies").alias("pages"), most)
+    same = (F.col("most.bodies") >= LEAST_VOTES) & (2 * F.col("most.bodies") > F.col("pages"))
+    return by_inner.where(same).select("host", "path", "inner", F.col("most.rest").alias("rest"))
+
+
+def votes(cast: DataFrame) -> DataFrame:
+    """(host, path, votes, score) over all pages that were seen."""
+    keys = ["host", "path", "inner", "rest"]
+    sums = cast.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("votes"), F.sum("score").alias("score"), F.sum("inner_score").alias("inner_score")
+    )
+    met = sums.join(templates(cast).withColumn("same", F.lit(True)), keys, "left")
+    own = met.select(
+        "host", F.when(F.col("same"), F.col("inner")).otherwise(F.col("path")).alias("path"), "votes",
+        F.when(F.col("same"), F.col("inner_score")).otherwise(F.col("score")).alias("score"),
+    )
+    return own.groupBy("host", "path").agg(F.sum("votes").alias("votes"), F.sum("score").alias("score"))
 
 
 def winners(cast: DataFrame) -> DataFrame:
@@ -243,7 +301,7 @@ def extract(pages: DataFrame) -> DataFrame:
     """(page_id, url, text, n_chars) of every page."""
     host = F.nullif(F.lower(F.regexp_extract("url", r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1)), F.lit(""))
     rows = pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("html"), host.alias("host"))
-    chosen = stage(winners(stage(votes(rows), "host-votes")), "host-paths")
+    chosen = stage(winners(stage(votes(seen(rows)), "host-votes")), "host-paths")
     hosts, voted = chosen.agg(F.count(F.lit(1)), F.coalesce(F.sum("pages"), F.lit(0))).first()
     if hosts <= HOST_BROADCAST:  # a checked size; the joins give the same rows
         met = rows.join(F.broadcast(chosen), "host", "left")

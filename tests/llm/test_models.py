@@ -45,6 +45,20 @@ def test_hosts_agree_on_a_path(spark):
     assert host_paths.extract(pages.limit(0)).count() == 0
 
 
+def test_title_and_lead_stay_with_the_body(spark):
+    """Short texts beside the body are kept unless the host's pages share them."""
+    def page(i):
+        return (
+            f"<body><div class=post><h1>Title {i}</h1><p>Lead {i}</p><div class=part><div class=by>By {i}</div>"
+            f'<div class=text>{"long body, " * 30}{i}</div></div></div><div class=top>To the top</div></body>'
+        )
+
+    pages = spark.createDataFrame([(i, "http://a.example/x", page(i % 6)) for i in range(8)], "page_id long, url string, html string")
+    for r in host_paths.extract(pages).collect():
+        i = r.page_id % 6
+        assert r.text == f"Title {i} Lead {i} By {i} " + "long body, " * 30 + str(i)
+
+
 def test_pages_equal_their_articles(spark):
     import html
 
