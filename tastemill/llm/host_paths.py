@@ -2,8 +2,10 @@
 
 Every page scores its containers: text outside boilerplate, less what menus, forms, notices
 and links add. The best container's generalised path of tags and classes is the page's vote.
-Votes are summed per host in Spark, and each page is then extracted from the containers at the
-best path of its host that it has; a page that has none, or has no host, uses its own best one.
+Votes are summed per host in Spark. A page is extracted from the containers at the path it votes for
+if another page of its host does so too. A page that stands alone with its path follows its host: of
+all voted paths that it has, it takes the one with the most votes times its clean text there; a page
+that has none, or has no host, uses its own best one.
 An inner container gets a page's vote in place of the best one only where what it leaves outside has
 no clean text, or a little that most such pages of the host have word for word beside other texts.
 
@@ -21,16 +23,15 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tastemill.llm.common import join_counted, stage, table
 
-RANKED_PATHS = 3  # winning paths of a host that its pages try in turn
 PATH_LEVELS = 32  # deeper elements belong to the container above them
-LEAST_VOTES = 2
+LEAST_VOTES = 2  # a path with fewer has one page only
 NEARLY_ALL = 0.9  # share of the best container's text from which an inner one can take its place
-HOST_BROADCAST = 100_000  # rows of (host, path) that a broadcast may hold
+HOST_BROADCAST = 100_000  # rows of (host, page, path) that a broadcast may hold
 
 # Tag names of HTML and words of boilerplate classes.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -194,7 +195,7 @@ def _digest(texts: list[str]) -> str:
 
 
 def vote_of(page: str) -> dict | None:
-    """The best container's path and score and, if an inner one holds nearly all its text, that one's path and score.
+    """The best container's path and, if an inner one holds nearly all its text, that one's path.
 
     Then ``rest`` and ``body`` stand for the clean text outside and inside the inner one.
     """
@@ -202,8 +203,8 @@ def vote_of(page: str) -> dict | None:
     sums = _containers(runs)
     if not sums:
         return None
-    path, score = _best(sums)
-    vote = {"path": path, "score": score}
+    path, _ = _best(sums)
+    vote = {"path": path}
     clean, _, _, main = sums[path]
     near = [(v[0], v[2], p) for p, v in sums.items() if p.startswith(path + ">") and NEARLY_ALL * clean <= v[0] < clean]
     if near and not main:
@@ -212,9 +213,7 @@ def vote_of(page: str) -> dict | None:
         for node, text in runs:
             if not node.junk and not node.link and _within(node, path):
                 (body if _within(node, inner) else rest).append(text)
-        size, waste, _, main = sums[inner]
-        vote |= {"inner": inner, "inner_score": max((size - 2 * waste) * (5 if main else 4) // 4, 0)}
-        vote |= {"rest": _digest(rest), "body": _digest(body)}
+        vote |= {"inner": inner, "rest": _digest(rest), "body": _digest(body)}
     return vote
 
 
@@ -223,9 +222,8 @@ def main_text(page: str, paths: list[str]) -> str:
     runs = parse(page)
     sizes = _containers(runs)
     path = next((p for p in paths if sizes.get(p, [0])[0]), None)
-    if path is None:
-        best = best_container(page)
-        path = best[0] if best else None
+    if path is None and sizes:
+        path, _ = _best(sizes)
     inside: list[str] = []
     last = None
     for node, text in runs:
@@ -243,76 +241,100 @@ def _within(node: Node, path: str) -> bool:
 
 
 def seen(pages: DataFrame) -> DataFrame:
-    """What every page with a host and a container with text votes for, staged."""
+    """What every page with a host votes for, staged; a page without text in a container has null paths."""
 
     def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ("host", "path", "inner", "rest", "body")
-        kinds = pa.schema([*((n, pa.string()) for n in names), ("score", pa.int64()), ("inner_score", pa.int64())])
+        kinds = pa.schema([(n, pa.string()) for n in ("host", "page", "path", "inner", "rest", "body")])
         for batch in batches:
-            found = [(h.as_py(), vote_of(p.as_py())) for h, p in zip(*batch.columns)]
-            yield pa.RecordBatch.from_pylist([{"host": h, **v} for h, v in found if v], schema=kinds)
+            found = [{"host": h.as_py(), "page": k.as_py()} | (vote_of(p.as_py()) or {}) for h, k, p in zip(*batch.columns)]
+            yield pa.RecordBatch.from_pylist(found, schema=kinds)
 
     return stage(
-        pages.where(F.col("host").isNotNull()).select("host", "html").mapInArrow(
-            vote, "host string, path string, inner string, rest string, body string, score long, inner_score long"
+        pages.where(F.col("host").isNotNull()).select("host", "page", "html").mapInArrow(
+            vote, "host string, page string, path string, inner string, rest string, body string"
         ), "host-pages",
     )
 
 
 def templates(cast: DataFrame) -> DataFrame:
-    """(host, path, inner, rest): where most pages leave the same text outside the inner container.
+    """(host, path, inner, rest, votes): where most pages leave the same text outside the inner container.
 
     A page counts once however often it is repeated, so copies don't make their title a template's text.
     """
     by_rest = cast.where("inner IS NOT NULL").groupBy("host", "path", "inner", "rest").agg(
         F.count(F.lit(1)).alias("votes"), F.count_distinct("body").alias("bodies")
     )
-    most = F.max(F.struct("bodies", "rest")).alias("most")
+    most = F.max(F.struct("bodies", "rest", "votes")).alias("most")
     by_inner = by_rest.groupBy("host", "path", "inner").agg(F.sum("bodies").alias("pages"), most)
     same = (F.col("most.bodies") >= LEAST_VOTES) & (2 * F.col("most.bodies") > F.col("pages"))
-    return by_inner.where(same).select("host", "path", "inner", F.col("most.rest").alias("rest"))
+    return by_inner.where(same).select("host", "path", "inner", "most.rest", "most.votes")
 
 
-def votes(cast: DataFrame) -> DataFrame:
-    """(host, path, votes, score) over all pages that were seen."""
+def votes(cast: DataFrame, same: DataFrame) -> DataFrame:
+    """(host, path, votes, page) over all pages that have a container with text; page is one of the voters."""
     keys = ["host", "path", "inner", "rest"]
-    sums = cast.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("votes"), F.sum("score").alias("score"), F.sum("inner_score").alias("inner_score")
-    )
-    met = sums.join(templates(cast).withColumn("same", F.lit(True)), keys, "left")
-    own = met.select(
-        "host", F.when(F.col("same"), F.col("inner")).otherwise(F.col("path")).alias("path"), "votes",
-        F.when(F.col("same"), F.col("inner_score")).otherwise(F.col("score")).alias("score"),
-    )
-    return own.groupBy("host", "path").agg(F.sum("votes").alias("votes"), F.sum("score").alias("score"))
+    sums = cast.where("path IS NOT NULL").groupBy(*keys).agg(F.count(F.lit(1)).alias("votes"), F.min("page").alias("page"))
+    met = sums.join(same.select(*keys, F.lit(True).alias("same")), keys, "left")
+    own = met.withColumn("path", F.when(F.col("same"), F.col("inner")).otherwise(F.col("path")))
+    return own.groupBy("host", "path").agg(F.sum("votes").alias("votes"), F.min("page").alias("page"))
 
 
-def winners(cast: DataFrame) -> DataFrame:
-    """(host, paths, pages): each host's paths by votes, then score, then name."""
-    by_votes = Window.partitionBy("host").orderBy(F.desc("votes"), F.desc("score"), "path")
-    of_host = Window.partitionBy("host")
-    placed = cast.withColumns({"place": F.row_number().over(by_votes), "pages": F.sum("votes").over(of_host)})
-    top = placed.where((F.col("place") <= RANKED_PATHS) & (F.col("votes") >= LEAST_VOTES))
-    paths = F.transform(F.array_sort(F.collect_list(F.struct("place", "path"))), lambda x: x["path"])
-    return top.groupBy("host").agg(paths.alias("paths"), F.first("pages").alias("pages"))
+def _meet(rows: DataFrame, keyed: DataFrame, cast: DataFrame) -> DataFrame:
+    """The rows with what a staged table says of their (host, page), nulls where it has none."""
+    keys = ["host", "page"]
+    if keyed.count() <= HOST_BROADCAST:  # a checked size; the joins give the same rows
+        return rows.join(F.broadcast(keyed), keys, "left")
+    copies = cast.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies")).join(keyed, keys, "left")
+    met = join_counted(rows, copies, keys, "copies", cast.count()).drop("copies")
+    return met.unionByName(rows.where("host IS NULL"), allowMissingColumns=True)
+
+
+def followers(rows: DataFrame, cast: DataFrame, voted: DataFrame) -> DataFrame:
+    """(host, page, path): the host's path for each page that stands alone with its own and has another's."""
+
+    def hold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = pa.schema([("host", pa.string()), ("page", pa.string()), ("path", pa.string()), ("clean", pa.int64())])
+        for batch in batches:
+            for h, k, p in zip(*batch.columns):
+                found = [(path, v[0]) for path, v in _containers(parse(p.as_py())).items() if v[0]]
+                yield pa.RecordBatch.from_pylist(
+                    [{"host": h.as_py(), "page": k.as_py(), "path": path, "clean": clean} for path, clean in found], schema=kinds
+                )
+
+    common = voted.where(F.col("votes") >= LEAST_VOTES)
+    alone = voted.where(F.col("votes") < LEAST_VOTES).select("host", "page")
+    hosts = voted.groupBy("host").agg(
+        F.count_if(F.col("votes") < LEAST_VOTES).alias("lone"), F.count_if(F.col("votes") >= LEAST_VOTES).alias("shared")
+    ).where("lone > 0 AND shared > 0")
+    alone = join_counted(alone, hosts, ["host"], "lone", alone.count()).select("host", "page", F.lit(True).alias("alone"))
+    lone = _meet(rows, stage(alone, "host-alone"), cast).where("alone").select("host", "page", "html")
+    held = stage(lone.mapInArrow(hold, "host string, page string, path string, clean long"), "host-held")
+    met = held.groupBy("host", "path").agg(F.count(F.lit(1)).alias("held")).join(common.drop("page"), ["host", "path"])
+    met = join_counted(held, met, ["host", "path"], "held", held.count())
+    best = F.max(F.struct(F.col("votes") * F.col("clean"), "votes", "path"))
+    return met.groupBy("host", "page").agg(best["path"].alias("path"))
+
+
+def choices(rows: DataFrame, cast: DataFrame) -> DataFrame:
+    """(host, page, path) of the pages that are not read from their own best container, staged."""
+    same = stage(templates(cast), "host-templates")
+    voted = stage(votes(cast, same), "host-votes")
+    inward = join_counted(cast, same, ["host", "path", "inner", "rest"], "votes", cast.count())
+    inward = inward.select("host", "page", F.col("inner").alias("path")).distinct()
+    return stage(inward.unionByName(followers(rows, cast, voted)), "host-choices")
 
 
 def extract(pages: DataFrame) -> DataFrame:
     """(page_id, url, text, n_chars) of every page."""
     host = F.nullif(F.lower(F.regexp_extract("url", r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1)), F.lit(""))
     rows = pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("html"), host.alias("host"))
-    chosen = stage(winners(stage(votes(seen(rows)), "host-votes")), "host-paths")
-    hosts, voted = chosen.agg(F.count(F.lit(1)), F.coalesce(F.sum("pages"), F.lit(0))).first()
-    if hosts <= HOST_BROADCAST:  # a checked size; the joins give the same rows
-        met = rows.join(F.broadcast(chosen), "host", "left")
-    else:
-        met = join_counted(rows, chosen, ["host"], "pages", voted).unionByName(
-            rows.join(chosen, rows["host"] == chosen["host"], "left_anti"), allowMissingColumns=True
-        )
+    rows = rows.withColumn("page", F.sha2("html", 256))  # what is chosen depends on the host and the html only
+    cast = seen(rows)
+    met = _meet(rows, choices(rows, cast), cast)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [main_text(page.as_py(), paths.as_py() or []) for page, paths in zip(batch.column(2), batch.column(3))]
+            texts = [main_text(p.as_py(), [path.as_py()]) for p, path in zip(batch.column(2), batch.column(3))]
             sizes = [len(t) for t in texts]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array(sizes, pa.int64())],
@@ -320,7 +342,7 @@ def extract(pages: DataFrame) -> DataFrame:
             )
 
     ids = pages.schema["page_id"].dataType.simpleString()
-    return met.select("page_id", "url", "html", "paths").mapInArrow(read, f"page_id {ids}, url string, text string, n_chars long")
+    return met.select("page_id", "url", "html", "path").mapInArrow(read, f"page_id {ids}, url string, text string, n_chars long")
 
 
 def op3_host_paths(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -59,6 +59,26 @@ def test_title_and_lead_stay_with_the_body(spark):
         assert r.text == f"Title {i} Lead {i} By {i} " + "long body, " * 30 + str(i)
 
 
+def test_templates_of_a_host_keep_their_own_path(spark, monkeypatch):
+    """Five templates, each with the first one's container as a small card; and pages that stand alone."""
+    def page(kind, i):
+        card = f'<div class="t0">{"card" if kind else "first text, " * 20} {i}</div>'
+        body = f'<div class="t{"abcde"[kind]}">{"own text, " * 20}{kind} {i}</div>' if kind else ""
+        return f"<body>{card}{'<a href=x>many links here</a>' * 9}{body}</body>"
+
+    html = {(k, i): page(k, i) for k in range(5) for i in range(9 - k)}
+    html |= {(9, 9): f'<body><div class=t0>one</div><div class=tb>two {"words " * 9}</div><p>{"odd " * 99}</p></body>'}
+    rows = [(k, f"http://a.example/{i}", p) for (k, i), p in html.items()] + [(7, None, page(2, 7))]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    want = {(k, f"http://a.example/{i}"): ("first text, " * 20 + f" {i}" if not k else "own text, " * 20 + f"{k} {i}") for k, i in html}
+    want[(7, None)] = "own text, " * 20 + "2 7"
+    want[(9, "http://a.example/9")] = "two " + "words " * 9
+    for most in (100_000, 0):
+        monkeypatch.setattr(host_paths, "HOST_BROADCAST", most)
+        got = {(r.page_id, r.url): r.text for r in host_paths.extract(pages).collect()}
+        assert got == {k: " ".join(v.split()) for k, v in want.items()}
+
+
 def test_pages_equal_their_articles(spark):
     import html
 
