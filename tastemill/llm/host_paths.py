@@ -28,14 +28,16 @@ from pyspark.sql import functions as F
 
 from tastemill.llm.common import join_counted, stage, table
 
-PATH_LEVELS = 32  # deeper elements belong to the container above them
+PLAIN_LEVELS = 32  # deeper elements have a hash of their path
 LEAST_VOTES = 2  # a path with fewer has one page only
 NEARLY_ALL = 0.9  # share of the best container's text from which an inner one can take its place
 HOST_BROADCAST = 100_000  # rows of (host, page, path) that a broadcast may hold
 
 # Tag names of HTML and words of boilerplate classes.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template textarea title iframe svg math object select option".split())
+# What these hold is no markup, up to their end tag or the page's end.
+RAW = {t: re.compile(rf"</{t}(?![^\s/>])", re.I | re.A) for t in "script style textarea title iframe".split()}
+HIDDEN = frozenset("noscript template svg math object select option datalist".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark q ruby s samp small span strike strong "
     "sub sup time tt u var label".split()
@@ -57,7 +59,11 @@ ENDED_BY = {
     ),
     "li": frozenset(["li"]), "dt": frozenset(["dt", "dd"]), "dd": frozenset(["dt", "dd"]),
     "tr": frozenset(["tr"]), "td": frozenset(["td", "th", "tr"]), "th": frozenset(["td", "th", "tr"]),
+    "option": frozenset(["option", "select", "datalist"]),
 }
+# These hold no blocks; an opening block ends them.
+WITHOUT_BLOCKS = ("svg", "math", "select", "datalist", "option")
+HTML_INSIDE = ("foreignobject", "annotation-xml", "desc")  # elements of svg and math that do hold them
 PIECE = re.compile(
     r"<!--(?P<comment>.*?)(?:-->|\Z)|<(?:!|\?)[^>]*(?:>|\Z)|</(?P<close>[a-zA-Z][^\s/>]*)[^>]*(?:>|\Z)"
     r"|<(?P<open>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>"
@@ -75,6 +81,7 @@ class Node:
     tag: str
     path: str
     level: int
+    at: int  # in the stack of open elements
     junk: bool
     link: bool
     container: Node | None  # the nearest container, itself included
@@ -101,11 +108,43 @@ def _described(attrs: str) -> tuple[str, bool]:
     return classes, junk
 
 
+def _step(above: str, level: int, tag: str, classes: str) -> str:
+    path = f"{above}>{tag}{classes}"
+    if level <= PLAIN_LEVELS:
+        return path
+    return "#" + hashlib.blake2b(path.encode("utf-8", "replace"), digest_size=16).hexdigest()
+
+
+class _Open:
+    """The open elements, with the places of each tag and of the blocks among them."""
+
+    def __init__(self):
+        self.stack = [Node("", "", 0, 0, False, False, None)]
+        self.places: dict[str, list[int]] = {}
+        self.blocks: list[int] = []
+
+    def last(self, *tags: str) -> int:
+        """The place of the last open element with one of the tags, 0 without any."""
+        return max((p[-1] for t in tags if (p := self.places.get(t))), default=0)
+
+    def push(self, node: Node) -> None:
+        self.places.setdefault(node.tag, []).append(node.at)
+        if node.tag not in INLINE:
+            self.blocks.append(node.at)
+        self.stack.append(node)
+
+    def cut(self, at: int) -> None:
+        """Close all elements from a place on."""
+        while len(self.stack) > at:
+            self.places[self.stack.pop().tag].pop()
+        while self.blocks and self.blocks[-1] >= at:
+            self.blocks.pop()
+
+
 def parse(page: str) -> list[tuple[Node, str]]:
     """The page's text runs in order, each with its element; breaks between blocks are runs of one space."""
-    root = Node("", "", 0, False, False, None)
-    stack, runs, at, end = [root], [], 0, len(page)
-    lower = None
+    opened, runs, at, end = _Open(), [], 0, len(page)
+    stack = opened.stack
     while at < end:
         found = PIECE.search(page, at)
         start = found.start() if found else end
@@ -116,13 +155,13 @@ def parse(page: str) -> list[tuple[Node, str]]:
         at = found.end()
         if found["close"]:
             tag = found["close"].lower()
-            depth = next((i for i in range(len(stack) - 1, max(0, len(stack) - 200), -1) if stack[i].tag == tag), 0)
+            depth = opened.last(tag)
             if tag not in INLINE:
                 runs.append((stack[-1], " "))
-            elif depth and any(n.tag not in INLINE for n in stack[depth + 1:]):
+            elif depth and opened.blocks and opened.blocks[-1] > depth:
                 depth = 0  # a stray end of an inline element doesn't end the blocks inside it
             if depth:
-                del stack[depth:]
+                opened.cut(depth)
             continue
         tag = (found["open"] or found["loose"] or "").lower()
         if not tag:
@@ -134,43 +173,69 @@ def parse(page: str) -> list[tuple[Node, str]]:
         attrs = found["attrs"] or found["loose_attrs"] or ""
         if tag in RAW:
             if not attrs.endswith("/"):
-                lower = lower or page.lower()
-                close = lower.find(f"</{tag}", at)
-                at = end if close < 0 else close
+                close = RAW[tag].search(page, at)
+                at = close.start() if close else end
+            continue
+        if tag in HIDDEN and attrs.endswith("/"):
             continue
-        for i in range(len(stack) - 1, max(0, len(stack) - 50), -1):
-            if tag in ENDED_BY.get(stack[i].tag, ()):
-                del stack[i:]
-                break
-            if stack[i].tag not in INLINE:
-                break
+        if tag in ENDED_BY["p"]:
+            least = opened.last(*HTML_INSIDE)
+            outer = min((next(p for p in opened.places[t] if p > least) for t in WITHOUT_BLOCKS if opened.last(t) > least), default=0)
+            if outer:
+                opened.cut(outer)
+        if opened.blocks and tag in ENDED_BY.get(stack[opened.blocks[-1]].tag, ()):
+            opened.cut(opened.blocks[-1])
         above = stack[-1]
         classes, junk = _described(attrs) if attrs else ("", False)
         main = tag in ("html", "body", "main", "article")
-        junk = above.junk or tag in BOILERPLATE_TAGS or (junk and not main)
+        junk = above.junk or tag in BOILERPLATE_TAGS or tag in HIDDEN or (junk and not main)
         level = above.level + 1
         node = Node(
-            tag, f"{above.path}>{tag}{classes}" if level <= PATH_LEVELS else above.path, level, junk,
-            above.link or tag == "a", above.container,
+            tag, _step(above.path, level, tag, classes), level, len(stack), junk, above.link or tag == "a", above.container
         )
-        if tag in CONTAINERS and level <= PATH_LEVELS and not junk:
+        if tag in CONTAINERS and not junk:
             node.container = node
             node.above = above.container
-        stack.append(node)
+        opened.push(node)
     return runs
 
 
+def _holders(runs: list[tuple[Node, str]]) -> list[Node]:
+    """The containers that hold the runs, outer ones first."""
+    found: dict[int, Node] = {}
+    for node, _ in runs:
+        holder = node.container
+        while holder is not None and id(holder) not in found:
+            found[id(holder)] = holder
+            holder = holder.above
+    return sorted(found.values(), key=lambda n: n.level)
+
+
 def _containers(runs: list[tuple[Node, str]]) -> dict[str, list[int]]:
     """Clean and wasted characters of the containers, by path."""
+    own: dict[int, list[int]] = {}
+    texts = [(node, text) for node, text in runs if node.container is not None and text and not text.isspace()]
+    for node, text in texts:
+        own.setdefault(id(node.container), [0, 0])[node.junk or node.link] += len(text)
     found: dict[str, list[int]] = {}
-    for node, text in runs:
-        if not text or text.isspace():
-            continue
-        holder = node.container
-        while holder is not None:
-            sums = found.setdefault(holder.path, [0, 0, holder.level, holder.tag in ("article", "main")])
-            sums[1 if node.junk or node.link else 0] += len(text)
-            holder = holder.above
+    for holder in reversed(_holders(texts)):
+        clean, waste = own.get(id(holder), (0, 0))
+        sums = found.setdefault(holder.path, [0, 0, holder.level, holder.tag in ("article", "main")])
+        sums[0] += clean
+        sums[1] += waste
+        if holder.above is not None:
+            outer = own.setdefault(id(holder.above), [0, 0])
+            outer[0] += clean
+            outer[1] += waste
+    return found
+
+
+def _inside(runs: list[tuple[Node, str]], path: str) -> set[int]:
+    """The ids of the containers at a path and inside those."""
+    found: set[int] = set()
+    for holder in _holders(runs):
+        if holder.path == path or id(holder.above) in found:
+            found.add(id(holder))
     return found
 
 
@@ -206,13 +271,17 @@ def vote_of(page: str) -> dict | None:
     path, _ = _best(sums)
     vote = {"path": path}
     clean, _, _, main = sums[path]
-    near = [(v[0], v[2], p) for p, v in sums.items() if p.startswith(path + ">") and NEARLY_ALL * clean <= v[0] < clean]
-    if near and not main:
+    near = []
+    if not main:
+        within = _inside(runs, path)
+        inner = {n.path for n in _holders(runs) if id(n) in within and n.path != path}
+        near = [(v[0], v[2], p) for p, v in sums.items() if p in inner and NEARLY_ALL * clean <= v[0] < clean]
+    if near:
         inner = max(near)[2]
-        rest, body = [], []
+        rest, body, deeper = [], [], _inside(runs, inner)
         for node, text in runs:
-            if not node.junk and not node.link and _within(node, path):
-                (body if _within(node, inner) else rest).append(text)
+            if not node.junk and not node.link and id(node.container) in within:
+                (body if id(node.container) in deeper else rest).append(text)
         vote |= {"inner": inner, "rest": _digest(rest), "body": _digest(body)}
     return vote
 
@@ -224,22 +293,19 @@ def main_text(page: str, paths: list[str]) -> str:
     path = next((p for p in paths if sizes.get(p, [0])[0]), None)
     if path is None and sizes:
         path, _ = _best(sizes)
+    within = None if path is None else _inside(runs, path)
     inside: list[str] = []
     last = None
     for node, text in runs:
         if node.junk:
             if last is not node:
                 inside.append(" ")
-        elif path is None or _within(node, path):
+        elif within is None or id(node.container) in within:
             inside.append(text)
         last = node
     return " ".join("".join(inside).split())
 
 
-def _within(node: Node, path: str) -> bool:
-    return node.path == path or node.path.startswith(path + ">")
-
-
 def seen(pages: DataFrame) -> DataFrame:
     """What every page with a host votes for, staged; a page without text in a container has null paths."""
 

@@ -31,6 +31,32 @@ def test_main_text():
     assert host_paths.main_text("<div>" * 5000 + "deep", []) == "deep"
 
 
+def test_markup_without_its_end_loses_no_text():
+    text = "The article's text, of some length."
+    article = f"<article>{text}</article>"
+    for page in (
+        f"<datalist><option value=a><option value=b></datalist>{article}",
+        f"<div><select><option>a<option>b</div>{article}",
+        f"<select><option>a{article}",
+        f"<div><svg><path d=x><title>no</title></div>{article}",
+        f"<svg><g><text>no</text>{article}",
+        f"<svg><foreignObject><p>no</p></foreignObject></svg>{article}",
+        f"<noscript><p>no</noscript><template><div>no</div></template><object data=x>no</object>{article}",
+        f"<script>'{'İ' * 9}</scripts>'</SCRIPT >{article}",
+        f"<p>{'İ' * 9}</p><script>no</script>{article}",
+        f"<nav>{'<b>x' * 300}</nav>{article}",
+        f"<nav>{'<div>' * 300}x</nav>{article}",
+        "<section>" * 60 + "<p class=x>" + article,
+        "<div>" * 60 + f"<div class=share>no</div><div class=text>{text}</div><div><a href=x>{'a link ' * 9}</a></div>",
+    ):
+        assert host_paths.main_text(page, []) == text, page
+    deep = "<div>" * 40 + "<div class=a>{}</div><div class=b>" + "other " * 9 + "</div>"
+    path = host_paths.best_container(deep.format("own " * 99 + "<a>" + "x" * 9 + "</a>"))[0]
+    assert host_paths.main_text(deep.format("own"), [path]).startswith("own")
+    nested = "<div>x" * 20_000
+    assert len(host_paths.main_text(nested, [])) == 39_999
+
+
 def test_hosts_agree_on_a_path(spark):
     """A page whose comment-like block is the longest follows its host."""
     def page(i, extra):
