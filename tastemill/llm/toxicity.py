@@ -7,7 +7,8 @@ predictions, so a later model never sees an earlier one's fit to its own rows. F
 likely near copies (one min-hash over a text's word triples) together, and such a group weighs as one.
 
 Training takes at most POSITIVES and NEGATIVES labelled documents, those with the least hash of
-their id. Scoring covers every document and its whole text. Null texts are empty texts. A
+their id; a class cut to that counts with the weight of all its labels, so that the chain, its threshold
+and the share of toxic labels follow the whole table. Scoring covers every document and its whole text. Null texts are empty texts. A
 label with a null id or value is none; of repeated labels any toxic one counts. Without
 labels of both classes nothing is toxic and all probabilities are the share of toxic labels (0
 without any). Rows with null or repeated doc_ids are scored like any other.
@@ -96,10 +97,13 @@ class Chain:
         return np.stack(out, axis=1).astype(np.float64)
 
 
-def fit_chain(x: np.ndarray, labels: np.ndarray, groups: np.ndarray, terms: list[str]) -> Chain:
-    """Fit the links in order on out-of-fold probabilities of those before."""
+def fit_chain(
+    x: np.ndarray, labels: np.ndarray, groups: np.ndarray, terms: list[str], stands_for: np.ndarray | None = None
+) -> Chain:
+    """Fit the links in order on out-of-fold probabilities of those before; a row stands for so many labels."""
     _, member, sizes = np.unique(groups, return_inverse=True, return_counts=True)
-    weight, fold = 1 / sizes[member], member % FOLDS
+    stands_for = np.ones(len(x)) if stands_for is None else stands_for
+    weight, fold = stands_for / sizes[member], member % FOLDS
     earlier: list[np.ndarray] = []
     weights = []
     for link in range(labels.shape[1]):
@@ -112,7 +116,8 @@ def fit_chain(x: np.ndarray, labels: np.ndarray, groups: np.ndarray, terms: list
                 held_out[away] = predict(fit_linear(inputs[~away], y[~away], weight[~away]), inputs[away])
         earlier.append(held_out)
         weights.append(fit_linear(inputs, y, weight))
-    return Chain(terms, weights, best_threshold(earlier[-1], labels[:, -1], weight), float(labels[:, -1].mean()))
+    base = float(np.average(labels[:, -1], weights=stands_for))
+    return Chain(terms, weights, best_threshold(earlier[-1], labels[:, -1], weight), base)
 
 
 def best_threshold(p: np.ndarray, y: np.ndarray, weight: np.ndarray) -> float:
@@ -130,15 +135,19 @@ def best_threshold(p: np.ndarray, y: np.ndarray, weight: np.ndarray) -> float:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(id, text, words, toxic, group) of the labelled sample, staged."""
+    """(id, text, words, toxic, stands_for, group) of the labelled sample, staged."""
     truth = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull()).groupBy(
         F.col("doc_id").cast("long").alias("id")
     ).agg(F.max("toxic").cast("int").alias("toxic"))
     known = truth.join(docs.select(F.col("doc_id").cast("long").alias("id")).distinct(), "id", "left_semi")
+    known = stage(known, "toxicity-labels")
+    counts = {r.toxic: r["count"] for r in known.groupBy("toxic").count().collect()}
     order = [F.xxhash64("id"), F.col("id")]
     taken = known.where("toxic = 1").orderBy(*order).limit(POSITIVES).unionByName(
         known.where("toxic = 0").orderBy(*order).limit(NEGATIVES)
     )
+    share = [max(1.0, counts.get(c, 0) / most) for c, most in ((1, POSITIVES), (0, NEGATIVES))]
+    taken = taken.withColumn("stands_for", F.when(F.col("toxic") == 1, share[0]).otherwise(share[1]))
     taken = stage(taken, "toxicity-sample")  # at most POSITIVES + NEGATIVES rows
     texts = docs.select(F.col("doc_id").cast("long").alias("id"), F.coalesce("text", F.lit("")).alias("text"))
     met = texts.join(F.broadcast(taken), "id").dropDuplicates(["id"])
@@ -174,16 +183,16 @@ def fit(docs: DataFrame, labels: DataFrame) -> Chain:
     """The chain from the labelled sample; what reaches the driver is bounded by its rows and TERMS."""
     rows = training_rows(docs, labels)
     terms = choose_terms(rows)
-    base = rows.agg(F.avg("toxic")).first()[0] or 0.0
+    base = rows.agg(F.sum(F.col("toxic") * F.col("stands_for")) / F.sum("stands_for")).first()[0] or 0.0
     if not terms:
         return Chain([], [], 1.0, base)
     seeds = [F.arrays_overlap("words", F.array(*map(F.lit, CATEGORIES[c].split()))).alias(c) for c in CATEGORIES]
     found = rows.select("id", "text").mapInArrow(_feature_batches(terms), "id long, features array<float>")
-    sample = rows.select("id", "group", "toxic", *seeds).join(found, "id").orderBy("id").toPandas()
+    sample = rows.select("id", "group", "toxic", "stands_for", *seeds).join(found, "id").orderBy("id").toPandas()
     x = np.stack(sample["features"].to_list())
     toxic = sample["toxic"].to_numpy(int)
     truth = np.stack([*[sample[c].to_numpy(int) * toxic for c in CATEGORIES], toxic], axis=1)
-    return fit_chain(x, truth, sample["group"].fillna(0).to_numpy(), terms)
+    return fit_chain(x, truth, sample["group"].fillna(0).to_numpy(), terms, sample["stands_for"].to_numpy())
 
 
 def _automaton(terms: Sequence[str]):

@@ -141,6 +141,30 @@ def test_toxicity_edge_cases(spark, edge_docs, edge_rows, no_docs):
     assert toxicity.score(no_docs, toxicity.fit(no_docs, none)).count() == 0
 
 
+def test_toxicity_threshold_follows_the_whole_table(spark, monkeypatch):
+    """With clean labels cut to a tenth, base and precision still are those of all labels."""
+    import numpy as np
+
+    monkeypatch.setattr(toxicity, "NEGATIVES", 60)
+    draw = random.Random(3)
+    rows = [(i, " ".join(draw.choice("one two three four five six".split()) for _ in range(12)) + " idiot" * (i < 40)) for i in range(640)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i < 40)) for i, _ in rows], "doc_id long, toxic int")
+    sample = toxicity.training_rows(docs, labels).toPandas()
+    assert Counter(zip(sample["toxic"], sample["stands_for"])) == {(1, 1.0): 40, (0, 10.0): 60}
+    assert abs(toxicity.fit(docs, labels).base - 40 / 640) < 1e-9
+    alone = toxicity.fit(docs, labels.where("toxic = 0"))
+    assert not alone.weights and alone.base == 0
+    x = np.array([[float(n < 40 or n == 60)] for n in range(100)], np.float32)
+    toxic = (np.arange(100) < 40).astype(int)
+    truth = np.stack([toxic] * 4, axis=1)
+    assert toxicity.best_threshold(x[:, 0], toxic, np.where(toxic, 1.0, 0.1)) == 0.2
+    chain = toxicity.fit_chain(x, truth, np.arange(100), [], np.where(toxic, 1.0, 10.0))
+    assert abs(chain.base - 40 / 640) < 1e-9
+    lean, even = (toxicity.fit_chain(x, truth, np.arange(100), [], w).scores(x)[60, -1] for w in (np.where(toxic, 1.0, 10.0), None))
+    assert lean < even
+
+
 def test_later_links_see_earlier_ones():
     import numpy as np
 
