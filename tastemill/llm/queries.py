@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from tastemill.llm import (
-    block_names, host_paths, mixing, packing, sentencepieces, simhash, skip_chain, token_records, topk, toxicity,
+    block_names, filter_audit, host_paths, mixing, packing, periodic_runs, sentencepieces, simhash, skip_chain, token_records,
+    topk, toxicity,
 )
 
 QUERIES = {
@@ -17,10 +18,13 @@ QUERIES = {
     "op8_simhash": simhash.op8_simhash,
     "op9_mixing": mixing.op9_mixing,
     "op10_skip_chain": skip_chain.op10_skip_chain,
+    "op12_periodic_runs": periodic_runs.op12_periodic_runs,
+    "op13_filter_audit": filter_audit.op13_filter_audit,
 }
 
 ORACLES = {
     "op6_topk": topk.ORACLE,
     "op7_exact_dedup": block_names.ORACLE,
     "op9_mixing": mixing.ORACLE,
+    "op13_filter_audit": filter_audit.ORACLE,
 }
