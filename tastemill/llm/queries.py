@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 from tastemill.llm import (
-    block_names, filter_audit, host_paths, mixing, packing, periodic_runs, sentencepieces, simhash, skip_chain, token_records,
-    topk, toxicity,
+    block_names, filter_audit, host_paths, mixing, packing, periodic_runs, quality_machine, sentencepieces, simhash, skip_chain,
+    token_records, topk, toxicity,
 )
 
 QUERIES = {
@@ -18,6 +18,7 @@ QUERIES = {
     "op8_simhash": simhash.op8_simhash,
     "op9_mixing": mixing.op9_mixing,
     "op10_skip_chain": skip_chain.op10_skip_chain,
+    "op11_quality_machine": quality_machine.op11_quality_machine,
     "op12_periodic_runs": periodic_runs.op12_periodic_runs,
     "op13_filter_audit": filter_audit.op13_filter_audit,
 }
