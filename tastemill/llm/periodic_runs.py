@@ -14,7 +14,8 @@ A tile starts every 16 s words and is 24 s long. A run that goes on in the next
 overlaps it by 8 s, more than four periods, so no fragment of a run is too short to be found, and a run has one period
 in all its tiles. Exact for every length; work is n log n words, also for texts of one repeated word.
 
-Null texts have no words. Rows with a null or repeated doc_id are documents of their own. Repeated rows each give their row, of
+Texts are cut into words, numbered and solved as Arrow columns; no word becomes a Python object unless a run drops
+neighbours of it. Null texts have no words. Rows with a null or repeated doc_id are documents of their own. Repeated rows each give their row, of
 runs with the same length the one that starts first and then has the smaller period is named. Only the named id
 and text columns are read, whatever else a table has. An empty table gives no rows.
 """
@@ -36,8 +37,7 @@ LEAST_REPEATS = 4
 LEAST_WORDS = 6
 TILE = 1 << 14  # words of a document that one row may hold, and words between the starts of two tiles
 STARTS, OVERLAP = 16, 8  # a tile of octave s starts every STARTS * s words and has OVERLAP * s more
-BATCH_WORDS = 1 << 21  # words that are solved at a time
-SPACES = r"[\x20\x09-\x0D]+"
+BATCH_BYTES = 1 << 23  # bytes of text that are solved at a time
 FRAGMENT = "struct<period:int,start:long,stop:long>"
 
 
@@ -152,38 +152,77 @@ def solve(codes: np.ndarray, offsets: np.ndarray, wanted: Callable[[int], list[i
             yield int(order[row]), q, start - int(starts[row]), stop - int(starts[row])
 
 
-def _pieces(words: pa.ListArray) -> Iterator[tuple[int, pa.ListArray]]:
-    """Slices of a batch with BATCH_WORDS words or one row each."""
-    low = 0
-    ends = np.cumsum(pc.fill_null(pc.list_value_length(words), 0).to_numpy(zero_copy_only=False))
-    while low < len(words):
-        before = int(ends[low - 1]) if low else 0
-        high = max(low + 1, int(np.searchsorted(ends, before + BATCH_WORDS, "right")))
-        yield low, words.slice(low, high - low)
-        low = high
+def split_words(texts: pa.Array) -> pa.ListArray:
+    """The words of each text, parted by ASCII white space; null texts have none."""
+    split = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
+    sizes = pc.list_value_length(split).to_numpy(zero_copy_only=False)
+    words = split.flatten()
+    real = pc.not_equal(words, "")
+    before = np.concatenate([[0], np.cumsum(real.to_numpy(zero_copy_only=False))])
+    ends = before[np.concatenate([[0], np.cumsum(sizes)])]
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), words.filter(real))
+
+
+def repeat_words(words: pa.ListArray, seeds: pa.Array) -> pa.ListArray:
+    """Rows with a seed g and n words repeat from word a = g % n on with period 1 + (n - a) // (3 + g % 8)."""
+    ends = words.offsets.to_numpy()
+    places = np.arange(ends[-1])
+    for row in np.flatnonzero(seeds.is_valid().to_numpy(zero_copy_only=False)).tolist():
+        n, g = int(ends[row + 1] - ends[row]), seeds[row].as_py()
+        if n:
+            a = g % n
+            first = int(ends[row]) + a
+            places[first : ends[row + 1]] = first + np.arange(n - a) % (1 + (n - a) // (3 + g % 8))
+    return pa.ListArray.from_arrays(words.offsets, words.values.take(pa.array(places)))
 
 
 def _codes(words: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
     """Words as numbers, equal where the words are, and the ends of the rows."""
-    lengths = pc.fill_null(pc.list_value_length(words), 0).to_numpy(zero_copy_only=False)
+    lengths = pc.list_value_length(words).to_numpy(zero_copy_only=False)
     codes = words.flatten().dictionary_encode().indices.to_numpy(zero_copy_only=False)
     return codes, np.concatenate([[0], np.cumsum(lengths)]).astype(np.int64)
 
 
-def scan_whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc_id, n, whole, words) rows with all their fragments; words stay only where there are any."""
+def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch with BATCH_BYTES bytes of text or one row each."""
+    low, ends = 0, np.cumsum(pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    while low < batch.num_rows:
+        before = int(ends[low - 1]) if low else 0
+        high = max(low + 1, int(np.searchsorted(ends, before + BATCH_BYTES, "right")))
+        yield batch.slice(low, high - low)
+        low = high
+
+
+def _scan_texts(tile: int):
+    """Rows with all their fragments; of up to ``tile`` words, and without any, only a digest of the words stays.
+
+    Longer rows keep their words and have null for fragments.
+    """
     kind = pa.list_(pa.struct([("period", pa.int32()), ("start", pa.int64()), ("stop", pa.int64())]))
-    for batch in batches:
-        words = batch.column("words")
-        found: list[list] = [[] for _ in range(len(words))]
-        for low, piece in _pieces(words):
-            for row, q, start, stop in solve(*_codes(piece)):
-                found[low + row].append({"period": q, "start": start, "stop": stop})
-        kept = pc.if_else(pa.array([bool(f) for f in found], pa.bool_()), words, pa.scalar(None, words.type))
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), batch.column("n"), batch.column("whole"), kept, pa.array(found, kind)],
-            ["doc_id", "n", "whole", "words", "fragments"],
-        )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for piece in _slices(batch):
+                words = repeat_words(split_words(piece.column("text")), piece.column("seed"))
+                n = pc.list_value_length(words).to_numpy(zero_copy_only=False)
+                codes, ends = _codes(words)
+                short = np.flatnonzero(n <= tile)
+                if len(short) < len(n):
+                    codes, ends = codes[np.repeat(n <= tile, n)], np.concatenate([[0], np.cumsum(n[short])]).astype(np.int64)
+                found: list[list | None] = [None] * len(n)
+                for row in short.tolist():
+                    found[row] = []
+                for row, q, start, stop in solve(codes, ends):
+                    found[short[row]].append({"period": q, "start": start, "stop": stop})
+                keep = pa.array([f is None or bool(f) for f in found], pa.bool_())
+                joined = pc.binary_join(words, " ")
+                whole = [None if k else hashlib.sha256(t.as_buffer()).hexdigest() for k, t in zip(keep.to_pylist(), joined)]
+                yield pa.RecordBatch.from_arrays([
+                    piece.column("doc_id"), pa.array(n, pa.int32()), pa.array(whole, pa.string()),
+                    pc.if_else(keep, words, pa.scalar(None, words.type)), pa.array(found, kind),
+                ], ["doc_id", "n", "whole", "words", "fragments"])
+
+    return run
 
 
 def long_tiles(rows: DataFrame, tile: int) -> DataFrame:
@@ -252,20 +291,17 @@ def _collapsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def periodic_runs(rows: DataFrame, tile: int = TILE) -> DataFrame:
-    """(doc_id, runs, collapsed_sha256) for rows of (doc_id, words): runs as structs of start, length and period, in order."""
+    """(doc_id, runs, collapsed_sha256) for rows of (doc_id, text, seed): runs as structs of start, length and period, in order.
+
+    The seed is null, or a number by which the words are repeated first, see ``repeat_words``.
+    """
     if tile % STARTS or tile < STARTS:
         raise ValueError(f"tile must be a multiple of {STARTS}")
-    sized = rows.select("doc_id", "words", F.size("words").alias("n"))
-    whole = F.sha2(F.array_join("words", " "), 256).alias("whole")
-    short = sized.where(F.col("n") <= tile).select("doc_id", "n", whole, "words")
-    scanned = short.mapInArrow(
-        scan_whole, f"doc_id long, n int, whole string, words array<string>, fragments array<{FRAGMENT}>"
-    )
-    unsolved = sized.where(F.col("n") > tile).select(
-        "doc_id", "n", whole, "words", F.lit(None).cast(f"array<{FRAGMENT}>").alias("fragments")
+    scanned = rows.select("doc_id", "text", "seed").mapInArrow(
+        _scan_texts(tile), f"doc_id long, n int, whole string, words array<string>, fragments array<{FRAGMENT}>"
     )
     # Written once, so that a row's number stays its own.
-    docs = stage(scanned.unionByName(unsolved).withColumn("uid", F.monotonically_increasing_id()), "runs-documents")
+    docs = stage(scanned.withColumn("uid", F.monotonically_increasing_id()), "runs-documents")
     tiles = long_tiles(docs.where("fragments IS NULL"), tile).repartition("uid", "level", "offset")
     fragments = docs.where("size(fragments) > 0").select("uid", F.inline("fragments")).unionByName(
         tiles.mapInArrow(_scan_tiles(tile), "uid long, period int, start long, stop long")
@@ -283,23 +319,13 @@ def periodic_runs(rows: DataFrame, tile: int = TILE) -> DataFrame:
     return solved.unionByName(plain)
 
 
-def planted_words(docs: DataFrame) -> DataFrame:
-    """(doc_id, words): the words of each text; by its id's checksum a tenth of the documents repeats from some word on."""
-    words = F.array_remove(F.split(F.coalesce("text", F.lit("")), SPACES), "")
-    read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), words.alias("words"))
-    read = read.select(
-        "*", F.size("words").cast("long").alias("n"), F.crc32(F.col("doc_id").cast("string")).alias("h")
-    ).withColumn("g", F.floor(F.col("h") / 10))
-    chosen = F.coalesce((F.col("h") % 10 == 0) & (F.col("n") > 0), F.lit(False))
-    read = read.withColumn("a", F.when(chosen, F.col("g") % F.col("n")))
-    read = read.withColumn("p", F.when(chosen, 1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8))))
-    rest = (F.col("n") - F.col("a")).cast("int")
-    unit = F.slice("words", F.col("a").cast("int") + 1, F.col("p").cast("int"))
-    times = F.ceil(rest / F.col("p")).cast("int")
-    repeated = F.concat(
-        F.slice("words", F.lit(1), F.col("a").cast("int")), F.slice(F.flatten(F.array_repeat(unit, times)), F.lit(1), rest)
+def seeded_texts(docs: DataFrame) -> DataFrame:
+    """(doc_id, text, seed): by its id's checksum a tenth of the documents has a seed."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    return docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
+        F.when(h % 10 == 0, F.floor(h / 10)).cast("long").alias("seed"),
     )
-    return read.select("doc_id", F.when(F.col("a").isNotNull(), repeated).otherwise(F.col("words")).alias("words"))
 
 
 def digest_rows(found: DataFrame) -> DataFrame:
@@ -315,4 +341,4 @@ def digest_rows(found: DataFrame) -> DataFrame:
 
 
 def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return digest_rows(periodic_runs(planted_words(table(spark, sf_dir, "documents"))))
+    return digest_rows(periodic_runs(seeded_texts(table(spark, sf_dir, "documents"))))

@@ -197,7 +197,7 @@ def run_digests(doc_id, text, find=runs_by_period):
 @pytest.mark.parametrize("tile", [16, 48, periodic_runs.TILE])
 def test_runs_of_documents(spark, edge_docs, edge_rows, no_docs, tile):
     def run(docs):
-        return periodic_runs.digest_rows(periodic_runs.periodic_runs(periodic_runs.planted_words(docs), tile))
+        return periodic_runs.digest_rows(periodic_runs.periodic_runs(periodic_runs.seeded_texts(docs), tile))
 
     def find(w):
         return [(0, 40_000, 1)] if len(w) == 40_000 else runs_by_period(w)
@@ -216,7 +216,7 @@ def test_runs_meet_across_tiles(spark):
         texts.append((i, " ".join(parts)))
     docs = spark.createDataFrame(texts, "doc_id long, text string")
     for tile in (16, 64):
-        got = periodic_runs.digest_rows(periodic_runs.periodic_runs(periodic_runs.planted_words(docs), tile))
+        got = periodic_runs.digest_rows(periodic_runs.periodic_runs(periodic_runs.seeded_texts(docs), tile))
         assert Counter(tuple(r) for r in got.collect()) == Counter(run_digests(*t) for t in texts)
 
 
