@@ -161,11 +161,37 @@ COMPARE = RUNS + " SELECT a.label, 'popularity_' || a.pool AS model, a.pool, a.u
 ) + """ FROM runs a JOIN runs b ON b.label = a.label AND b.split = a.split AND b.pool = 1000
 WHERE a.split = 'test' AND a.pool IN (100, 1000)"""
 
+# The users whom all pools score; pool 1000 is the base.
+COHORT_POOLS = (1, 20, 1000)
+COMMON = f"WITH {SPLIT}, {LABELS}, {COHORT}, {TOP}, " + ", ".join(
+    f"{recs_sql(pool, f'recs_{pool}')}, {metrics_sql(f'recs_{pool}', f'metrics_{pool}')}" for pool in COHORT_POOLS
+) + ", scored AS (" + " UNION ALL ".join(
+    f"""SELECT CAST({pool} AS INTEGER) AS pool, user_id, label, psum / n_labels AS map, dcg / idcg AS ndcg_at_k,
+  hits / 100.0::DOUBLE AS precision_at_k, hits / CAST(n_labels AS DOUBLE) AS recall_at_k
+  FROM metrics_{pool}_users WHERE split = 'test'""" for pool in COHORT_POOLS
+) + """), kept AS (
+  SELECT s.*, max(ndcg_at_k) FILTER (WHERE pool = 1000) OVER (PARTITION BY user_id, label) AS base_ndcg,
+         count(*) OVER (PARTITION BY user_id, label) AS pools FROM scored s), means AS (
+  SELECT label, pool, count(*) AS users, count_if(round(ndcg_at_k, 9) > round(base_ndcg, 9)) AS better,
+         count_if(round(ndcg_at_k, 9) < round(base_ndcg, 9)) AS worse, """ + ", ".join(
+    f"avg({m}) AS {m}" for m in METRIC_NAMES
+) + f""" FROM kept WHERE pools = {len(COHORT_POOLS)} GROUP BY label, pool)
+SELECT a.label, 'popularity_' || a.pool AS model, a.pool, a.users, a.better, a.worse, """ + ", ".join(
+    f"round(a.{m}, 6) AS {m}, round((a.{m} / b.{m} - 1) * 100, 6) AS lift_{m}" for m in METRIC_NAMES
+) + " FROM means a JOIN means b ON b.label = a.label AND b.pool = 1000"
+
 
 ORACLES = {
     "interactions": f"WITH {INTER} SELECT * FROM inter",
     "csv_roundtrip": f"WITH {INTER} SELECT user_id, item_id, is_read, rating, is_reviewed FROM inter",
     "csv_malformed": f"""WITH {INTER} SELECT count(*) AS "rows", count_if(rating = 0) AS malformed FROM inter""",
+    "csv_rejected": f"""WITH {INTER} SELECT concat_ws(',', user_id, item_id, is_read, 'none', is_reviewed) AS line,
+  'rating' AS reason FROM inter WHERE rating = 0""",
+    "id_map": """SELECT CAST(p_partkey AS INTEGER) AS id, CAST(p_partkey AS VARCHAR) || ':' || p_brand AS raw_id FROM part""",
+    "ingest_profile": f"""WITH {INTER} SELECT count(*) AS row_count, CAST(sum(is_read) AS BIGINT) AS total_read,
+  CAST(sum(is_reviewed) AS BIGINT) AS total_reviewed, 0 AS incomplete, count_if(rating = 0) AS rating_0,
+  count_if(rating = 1) AS rating_1, count_if(rating = 2) AS rating_2, count_if(rating = 3) AS rating_3,
+  count_if(rating = 4) AS rating_4, count_if(rating = 5) AS rating_5, 0 AS rating_other FROM inter""",
     "encode_ids": """WITH raw AS (SELECT DISTINCT o_orderkey AS raw_id FROM orders)
 SELECT raw_id, CAST(row_number() OVER (
     ORDER BY CAST('0x' || substr(md5(CAST(raw_id AS VARCHAR)), 1, 8) AS BIGINT) % 1024, raw_id) - 1 AS INTEGER) AS id
@@ -182,6 +208,8 @@ UNION ALL SELECT split, count(*), count(DISTINCT user_id) FROM dealt GROUP BY sp
 WHERE CAST('0x' || substr(md5(CAST(user_id AS VARCHAR)), 1, 8) AS BIGINT) % 100 < 3""",
     "sample_users_xxhash64": f"""WITH {INTER}, {XXHASH_INT}
 SELECT inter.* FROM inter JOIN buckets USING (user_id) WHERE bucket < 3""",
+    "sample_users_bucketed": f"""WITH {INTER}, {XXHASH_INT}
+SELECT user_id, item_id, is_read, rating, is_reviewed FROM inter JOIN buckets USING (user_id) WHERE bucket < 3""",
     "eligible_users": f"WITH {INTER} SELECT user_id, count(*) AS n FROM inter GROUP BY user_id HAVING count(*) >= 5",
     **{
         f"split_{name}": f"WITH {SPLIT} SELECT * FROM dealt WHERE split = '{name}'"
@@ -215,15 +243,16 @@ FROM dealt CROSS JOIN mean WHERE split <> 'train' AND rating > 0 GROUP BY split"
     "csv_export": f"{RUNS} SELECT * FROM board",
     "best_config": f"{RUNS} SELECT * FROM board ORDER BY ndcg_at_k DESC, pool LIMIT 1",
     "compare_models": COMPARE,
+    "compare_models_common": COMMON,
     **{f"als_{name}_list_checks": list_checks_sql(*SIGNALS[name]) for name in SIGNALS},
     **{
         f"als_{name}_fit_checks": f"""WITH {SPLIT} SELECT count(DISTINCT user_id) AS users, 0 AS unsolved
-FROM train WHERE {SIGNALS[name][0]}""" for name in ("explicit", "combined")
+FROM train WHERE {SIGNALS[name][0]}""" for name in SIGNALS
     },
-    "factor_topk": f"""WITH {GIVEN} SELECT u.id AS user_id, i.id AS item_id,
+    **dict.fromkeys(("factor_topk", "factor_topk_full"), f"""WITH {GIVEN} SELECT u.id AS user_id, i.id AS item_id,
   CAST(list_dot_product(u.v, i.v) AS BIGINT) AS score,
   CAST(row_number() OVER (PARTITION BY u.id ORDER BY list_dot_product(u.v, i.v) DESC, i.id) AS INTEGER) AS "rank"
-FROM u CROSS JOIN i WHERE i.id < u.id OR i.id > u.id + 39 QUALIFY "rank" <= 10""",
+FROM u CROSS JOIN i WHERE i.id < u.id OR i.id > u.id + 39 QUALIFY "rank" <= 10"""),
     "factor_predictions": f"""WITH {GIVEN} SELECT u.id AS user_id, i.id AS item_id,
   CAST(list_dot_product(u.v, i.v) AS BIGINT) AS prediction
 FROM u JOIN i ON i.id > u.id AND i.id <= u.id + 39""",

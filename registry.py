@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tastemill.operators import als, checks, popularity, profile, sampling, signals, similarity
-from tastemill.operators.evaluate import evaluate_ranking, rmse
+from tastemill.operators.evaluate import evaluate_ranking, mean_metrics, rmse, user_metrics
 from tastemill.plans import experiments as ex
 from tastemill.plans.staging import splits, staged_path
 from tastemill.schemas import INTERACTIONS, METRICS
@@ -40,7 +42,8 @@ def csv_roundtrip(spark, sf_dir):
     return tables.read_interactions_csv(spark, path)
 
 
-def csv_malformed(spark, sf_dir):
+def _marked_csv(spark, sf_dir):
+    """The interactions as CSV with a word in place of each rating of 0."""
     path = staged_path(spark, sf_dir, "marked-csv")
     marked = order_interactions(spark, sf_dir).select(
         "user_id", "item_id", "is_read",
@@ -48,7 +51,42 @@ def csv_malformed(spark, sf_dir):
         "is_reviewed",
     )
     tables.write_csv(marked, path)
-    return tables.malformed_rows(spark, path, INTERACTIONS)
+    return path
+
+
+def csv_malformed(spark, sf_dir):
+    return tables.malformed_rows(spark, _marked_csv(spark, sf_dir), INTERACTIONS)
+
+
+def csv_rejected(spark, sf_dir):
+    """The lines that don't fit, each with the column that is at fault."""
+    return tables.rejected_rows(spark, _marked_csv(spark, sf_dir), INTERACTIONS)
+
+
+def id_map(spark, sf_dir):
+    """An identifier map of the parts, from a CSV file."""
+    path = staged_path(spark, sf_dir, "id-map-csv")
+    parts = spark.read.parquet(f"{sf_dir}/part.parquet")
+    tables.write_csv(parts.select(
+        F.col("p_partkey").alias("id"), F.concat_ws(":", F.col("p_partkey").cast("string"), "p_brand").alias("raw_id")
+    ), path)
+    return tables.read_id_map(spark, path)
+
+
+def _ingested(spark, sf_dir):
+    rows = order_interactions(spark, sf_dir).drop("row_key")
+    path = staged_path(spark, sf_dir, "ingested")
+    return tables.write_bucketed(rows, path, profile.observed_metrics()), path
+
+
+def ingest_profile(spark, sf_dir):
+    """Counts of all rows, taken while they are written."""
+    return tables.read_table(spark, _ingested(spark, sf_dir)[1] + "-observed")
+
+
+def sample_users_bucketed(spark, sf_dir):
+    """The sample of ``sample_users_xxhash64`` from a table that lies by bucket."""
+    return sampling.sample_users(_ingested(spark, sf_dir)[0], SAMPLE_PCT, bucket="bucket")
 
 
 def encode_ids(spark, sf_dir):
@@ -129,7 +167,10 @@ def als_fit_checks_query(config):
     """Whether the fitted user factors solve their normal equations."""
     def run(spark, sf_dir):
         signal = ex.training_signal(config, _train(spark, sf_dir))
-        return checks.fit_checks(_model(spark, sf_dir, config), signal, config.reg_param)
+        model = _model(spark, sf_dir, config)
+        if config.model == "implicit":
+            return checks.implicit_fit_checks(model, signal, config.reg_param, config.alpha)
+        return checks.fit_checks(model, signal, config.reg_param)
     return run
 
 
@@ -148,10 +189,12 @@ def _given_factors(spark, sf_dir):
     return model, user, user.select("user_id", F.explode(near).alias("item_id"))
 
 
-def factor_topk(spark, sf_dir, k=10):
-    model, users, seen = _given_factors(spark, sf_dir)
-    recs = als.recommend_topk(model, users, seen, k, pool=k + 40)
-    return recs.withColumn("score", F.col("score").cast("long"))
+def factor_topk_query(k=10, pool=50, full=False):
+    def run(spark, sf_dir):
+        model, users, seen = _given_factors(spark, sf_dir)
+        recs = als.recommend_topk(model, users, seen, k, pool, full)
+        return recs.withColumn("score", F.col("score").cast("long"))
+    return run
 
 
 def factor_predictions(spark, sf_dir):
@@ -185,12 +228,21 @@ def mean_rating_rmse(spark, sf_dir):
     return rounded(rmse(rated.withColumn("prediction", mean.scalar()), ["split"]), ["rmse"])
 
 
+def popularity_user_metrics(spark, sf_dir, pools, kinds=KINDS):
+    """Every user's metrics for all pool sizes, labels placed once in the largest pool."""
+    train = _train(spark, sf_dir)
+    labels = signals.build_labels(_held_out(spark, sf_dir), sorted({l for _, l in kinds}))
+    hits = popularity.popularity_hits(train, labels, K, max(pools))
+    return user_metrics(hits, labels, kinds, signals.popularity_cohort(train), K, pools=pools)
+
+
 def popularity_runs(spark, sf_dir):
     """The popularity family over its pool sizes, logged in a run table."""
     path = staged_path(spark, sf_dir, "popularity-runs")
-    for pool in POOLS:
-        metrics = rounded(popularity_metrics(spark, sf_dir, K, pool))
-        ex.log_runs(ex.as_runs(ex.popularity_config(pool), metrics), path)
+    means = mean_metrics(popularity_user_metrics(spark, sf_dir, POOLS), ["split", "label", "pool"])
+    means = tables.write_table(rounded(means), staged_path(spark, sf_dir, "popularity-means"))
+    rows = [ex.as_runs(ex.popularity_config(pool), means.where(F.col("pool") == pool)) for pool in POOLS]
+    ex.log_runs(reduce(DataFrame.unionByName, rows), path)
     return ex.read_runs(spark, path)
 
 
@@ -215,18 +267,40 @@ def best_config(spark, sf_dir):
 
 def compare_models(spark, sf_dir):
     """A short pool beside the full one, with the change in percent."""
-    runs = popularity_runs(spark, sf_dir)
-    named = runs.where(F.col("pool").isin(100, 1000)).withColumn(
-        "model", F.concat_ws("_", "model", "pool")
-    )
-    lifts = [f"lift_{m}" for m in METRICS]
-    return rounded(ex.compare_models(named, "popularity_1000"), [*METRICS, *lifts])
+    runs = popularity_runs(spark, sf_dir).where(F.col("pool").isin(100, 1000))
+    return _compared(ex.compare_models(runs, ex.popularity_config(1000).run_id))
+
+
+def _compared(rows):
+    named = rows.withColumn("model", F.concat_ws("_", "model", "pool"))
+    return rounded(named, [*METRICS, *[f"lift_{m}" for m in METRICS]])
+
+
+COHORT_POOLS = (1, 20, 1000)
+
+
+def compare_models_common(spark, sf_dir):
+    """Pools over their common cohort: a pool of one item leaves those without a list who have met it."""
+    per_user = popularity_user_metrics(spark, sf_dir, COHORT_POOLS, [("test", "read"), ("test", "liked")])
+    per_user = tables.write_table(per_user, staged_path(spark, sf_dir, "cohort-metrics"))
+    runs, users = (staged_path(spark, sf_dir, f"cohort-{name}") for name in ("runs", "users"))
+    for pool in COHORT_POOLS:
+        config = ex.popularity_config(pool)
+        own = ex.log_user_runs(config, per_user.where(F.col("pool") == pool).drop("pool"), users)
+        ex.log_runs(ex.as_runs(config, mean_metrics(own)), runs)
+    base = ex.popularity_config(1000).run_id
+    return _compared(ex.compare_models(
+        ex.read_runs(spark, runs), base, common_cohort=True, users=ex.read_user_runs(spark, users)
+    ))
 
 
 def _explicit_grid(spark, sf_dir):
     paths = [staged_path(spark, sf_dir, name) for name in ("models", "explicit-runs")]
     kinds = [("validation", "liked")]
-    return ex.run_grid(EXPLICIT_GRID, _train(spark, sf_dir), _held_out(spark, sf_dir), kinds, *paths, K, load_saved=True)
+    train, held_out = _train(spark, sf_dir), _held_out(spark, sf_dir)
+    return ex.run_grid(
+        EXPLICIT_GRID, train, held_out, kinds, *paths, K, load_saved=True, skip_logged=True, side_by_side=2
+    )
 
 
 def als_grid_leaderboard(spark, sf_dir):
@@ -254,6 +328,9 @@ QUERIES = {
     "interactions": interactions,
     "csv_roundtrip": csv_roundtrip,
     "csv_malformed": csv_malformed,
+    "csv_rejected": csv_rejected,
+    "id_map": id_map,
+    "ingest_profile": ingest_profile,
     "encode_ids": encode_ids,
     "profile_row_count": lambda s, d: profile.row_count(order_interactions(s, d)),
     "profile_rating_histogram": lambda s, d: profile.rating_histogram(order_interactions(s, d)),
@@ -261,6 +338,7 @@ QUERIES = {
     "profile_split": lambda s, d: profile.split_profile(order_interactions(s, d), splits(s, d)),
     "sample_users_md5": lambda s, d: sampling.sample_users(order_interactions(s, d), SAMPLE_PCT, method="md5"),
     "sample_users_xxhash64": lambda s, d: sampling.sample_users(order_interactions(s, d), SAMPLE_PCT),
+    "sample_users_bucketed": sample_users_bucketed,
     "eligible_users": lambda s, d: sampling.eligible_users(order_interactions(s, d)),
     **{f"split_{name}": split_query(name) for name in sampling.SPLITS},
     "signal_explicit": lambda s, d: signals.explicit_signal(_train(s, d)),
@@ -291,6 +369,7 @@ QUERIES = {
     "csv_export": csv_export,
     "best_config": best_config,
     "compare_models": compare_models,
+    "compare_models_common": compare_models_common,
     "als_explicit_recs": als_recs_query(EXPLICIT, "liked"),
     "als_implicit_recs": als_recs_query(IMPLICIT, "read"),
     "als_combined_recs": als_recs_query(COMBINED, "liked"),
@@ -303,7 +382,9 @@ QUERIES = {
     "als_combined_list_checks": als_list_checks_query(COMBINED, "liked"),
     "als_explicit_fit_checks": als_fit_checks_query(EXPLICIT),
     "als_combined_fit_checks": als_fit_checks_query(COMBINED),
-    "factor_topk": factor_topk,
+    "als_implicit_fit_checks": als_fit_checks_query(IMPLICIT),
+    "factor_topk": factor_topk_query(),
+    "factor_topk_full": factor_topk_query(pool=10, full=True),
     "factor_predictions": factor_predictions,
     "als_grid_leaderboard": als_grid_leaderboard,
     "als_select_and_test": als_select_and_test,

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+from functools import reduce
+
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tastemill.session import ensure_checkpoints
+from tastemill.session import ensure_checkpoints, shared_dir
 
 # Blocks of factors, as the library deals them by default.
 BLOCKS = 10
@@ -79,10 +82,47 @@ def top_per_user(scored: DataFrame, k: int) -> DataFrame:
     return ranked.where(F.col("rank") <= k).select("user_id", "item_id", "rank", "score")
 
 
-def recommend_topk(model: ALSModel, users: DataFrame, seen: DataFrame, k: int = 100, pool: int = 250) -> DataFrame:
+def recommend_topk(
+    model: ALSModel, users: DataFrame, seen: DataFrame, k: int = 100, pool: int = 250, full: bool = False
+) -> DataFrame:
     """Up to k unseen items per user. The pool is cut before seen items go, so a short
-    pool can leave a list shorter than k."""
-    return top_per_user(exclude_seen(als_candidates(model, users, pool), seen), k)
+    pool can leave a list shorter than k; ``full`` fills those lists from a deeper pool."""
+    recs = top_per_user(exclude_seen(als_candidates(model, users, pool), seen), k)
+    return fill_lists(model, users, seen, recs, k, pool) if full else recs
+
+
+def fill_lists(model: ALSModel, users: DataFrame, seen: DataFrame, recs: DataFrame, k: int, pool: int) -> DataFrame:
+    """Make the lists anew that are shorter than k although unseen items are left.
+
+    A user's k best unseen items are among the k + (items seen) best of all, a depth of the user's own. Users
+    go in rounds by the next power of two of their depth, so that there are at most as many rounds as the
+    catalogue has binary digits, each with about as deep a pool as its users need. Only short lists' users
+    take part; their items come once, by an anti-join on the user.
+    """
+    spark = recs.sparkSession
+    items = model.itemFactors.count()
+    known = users.join(model.userFactors.select(F.col("id").alias("user_id")), "user_id", "left_semi").select("user_id").distinct()
+    sizes = recs.groupBy("user_id").agg(F.count(F.lit(1)).alias("listed"))
+    met = seen.join(model.itemFactors.select(F.col("id").alias("item_id")), "item_id", "left_semi")
+    met = met.groupBy("user_id").agg(F.count_distinct("item_id").alias("met"))
+    zero = F.lit(0).cast("bigint")
+    wanting = known.join(sizes, "user_id", "left").join(met, "user_id", "left").select(
+        "user_id", F.coalesce("listed", zero).alias("listed"), F.coalesce("met", zero).alias("met")
+    ).where(F.col("listed") < F.least(F.lit(k).cast("bigint"), F.lit(items) - F.col("met")))
+    depth = F.least(F.col("met") + k, F.lit(items))
+    wanting = wanting.where(depth > pool).select("user_id", F.ceil(F.log2(depth.cast("double"))).cast("int").alias("digits"))
+    path = f"{shared_dir(spark)}/short-lists-{uuid.uuid4().hex}"
+    wanting.write.parquet(path)
+    wanting = spark.read.schema(wanting.schema).parquet(path)
+    rounds = sorted(r.digits for r in wanting.select("digits").distinct().collect())
+    if not rounds:
+        return recs
+    deeper = [
+        als_candidates(model, wanting.where(F.col("digits") == digits).select("user_id"), min(1 << digits, items))
+        for digits in rounds
+    ]
+    filled = top_per_user(exclude_seen(reduce(DataFrame.unionByName, deeper), seen), k)
+    return recs.join(wanting.select("user_id"), "user_id", "left_anti").unionByName(filled)
 
 
 def to_ranked_lists(recs: DataFrame) -> DataFrame:

@@ -36,6 +36,7 @@ def user_metrics(
     cohort: DataFrame | None = None,
     k: int = 100,
     missing: str = "drop",
+    pools: Sequence[int] = (),
 ) -> DataFrame:
     """Per (user, split, label): MAP part, NDCG@k, precision@k and recall@k.
 
@@ -47,40 +48,59 @@ def user_metrics(
     second aggregate, by user, carries counts and at most one rank per list entry.
 
     ``missing='drop'`` leaves out users without any recommendation, ``'zero'`` scores them 0.
+
+    With ``pools`` the lists of several pool sizes are scored at once, with a column ``pool``: recs then have
+    ``pool_rank``, the item's place in the pool. A pool of p leaves the places with pool_rank <= p,
+    whose ranks don't depend on p, so labels are placed once, in the largest pool.
     """
     if missing not in ("drop", "zero"):
         raise ValueError("missing must be 'drop' or 'zero'")
     bit = F.lit(0)
     for i, (split, label) in enumerate(kinds):
         bit = F.when((F.col("split") == split) & (F.col("label") == label), F.lit(1 << i)).otherwise(bit)
-    stacked = recs.select("user_id", "item_id", "rank", F.lit(0).alias("bits")).unionByName(
-        labels.select("user_id", "item_id", F.lit(None).cast("int").alias("rank"), bit.alias("bits"))
+    none = F.lit(None).cast("int")
+    in_pool = (F.col("pool_rank") if pools else F.lit(0)).cast("int").alias("in_pool")
+    stacked = recs.select("user_id", "item_id", "rank", in_pool, F.lit(0).alias("bits")).unionByName(
+        labels.select("user_id", "item_id", none.alias("rank"), none.alias("in_pool"), bit.alias("bits"))
     )
     pairs = stacked.groupBy("user_id", "item_id").agg(
-        F.min("rank").alias("rank"), F.bit_or("bits").alias("bits")
+        F.min("rank").alias("rank"), F.min("in_pool").alias("in_pool"), F.bit_or("bits").alias("bits")
     )
     # A list has a first place if it has any: other unlabelled places decide nothing.
     pairs = pairs.where((F.col("bits") != 0) | (F.col("rank") == 1))
-    aggs = [F.count_if(F.col("rank") == 1).alias("lists")]
+    aggs = [F.min(F.when(F.col("rank") == 1, F.col("in_pool"))).alias("first")]
     for i in range(len(kinds)):
         is_label = F.col("bits").bitwiseAND(F.lit(1 << i)) != 0
+        placed = is_label & F.col("rank").isNotNull()
         aggs.append(F.count_if(is_label).alias(f"n{i}"))
-        aggs.append(F.collect_list(F.when(is_label, F.col("rank"))).alias(f"hits{i}"))
+        aggs.append(F.collect_list(F.when(placed, F.struct("rank", "in_pool"))).alias(f"hits{i}"))
     users = pairs.groupBy("user_id").agg(*aggs)
-    if missing == "drop":
-        users = users.where(F.col("lists") > 0)
-    per_kind = F.array(*[
-        F.struct(
-            F.lit(split).alias("split"), F.lit(label).alias("label"),
-            F.col(f"n{i}").alias("n_labels"), F.array_sort(f"hits{i}").alias("hits"),
+
+    def scored_kind(i: int, pool: int) -> Column:
+        split, label = kinds[i]
+        hits = F.filter(f"hits{i}", lambda hit: hit.in_pool <= pool)
+        return F.struct(
+            F.lit(split).alias("split"), F.lit(label).alias("label"), F.lit(pool).alias("pool"),
+            F.col(f"n{i}").alias("n_labels"), F.array_sort(F.transform(hits, lambda hit: hit.rank)).alias("hits"),
+            F.coalesce(F.col("first") <= pool, F.lit(False)).alias("listed"),
         )
-        for i, (split, label) in enumerate(kinds)
-    ])
+
+    per_kind = F.array(*[scored_kind(i, pool) for i in range(len(kinds)) for pool in (pools or (0,))])
     scored = users.select("user_id", F.inline(per_kind)).where(F.col("n_labels") > 0)
+    if missing == "drop":
+        scored = scored.where("listed")
     if cohort is not None:
         on = [c for c in ("user_id", "label") if c in cohort.columns]
         scored = scored.join(cohort, on, "left_semi")
-    return scored.select("user_id", "split", "label", *_user_metrics(k))
+    return scored.select("user_id", "split", "label", *(["pool"] if pools else []), *_user_metrics(k))
+
+
+def mean_metrics(per_user: DataFrame, by: Sequence[str] = ("split", "label")) -> DataFrame:
+    """Means over users with the number of users, one row per group."""
+    return per_user.groupBy(*by).agg(
+        F.count("*").alias("users"),
+        *[F.avg(m).alias(m) for m in ("map", "ndcg_at_k", "precision_at_k", "recall_at_k")],
+    )
 
 
 def evaluate_ranking(
@@ -90,13 +110,11 @@ def evaluate_ranking(
     cohort: DataFrame | None = None,
     k: int = 100,
     missing: str = "drop",
+    pools: Sequence[int] = (),
 ) -> DataFrame:
-    """Means over users, one row per (split, label) in ``kinds``, with the cohort size."""
-    per_user = user_metrics(recs, labels, kinds, cohort, k, missing)
-    return per_user.groupBy("split", "label").agg(
-        F.count("*").alias("users"),
-        *[F.avg(m).alias(m) for m in ("map", "ndcg_at_k", "precision_at_k", "recall_at_k")],
-    )
+    """Means over users, one row per (split, label) in ``kinds`` and pool, with the cohort size."""
+    per_user = user_metrics(recs, labels, kinds, cohort, k, missing, pools)
+    return mean_metrics(per_user, ["split", "label", *(["pool"] if pools else [])])
 
 
 def rmse(predictions: DataFrame, by: Sequence[str] = ()) -> DataFrame:

@@ -50,7 +50,7 @@ def popularity_hits(train: DataFrame, labels: DataFrame, k: int = 100, pool: int
     """The rows of ``popularity_recs`` that can decide a metric, without making the lists.
 
     A label's place in its user's list is its pool rank less the met items ranked above
-    it, so only labels inside the pool are ranked: (user_id, item_id, rank). A row with
+    it, so only labels inside the pool are ranked: (user_id, item_id, rank, pool_rank). A row with
     no item and rank 1 stands for the first place of every user who has a list.
     Per user both sides are bounded by the pool, and they meet in the layout
     that their own aggregates left.
@@ -67,12 +67,16 @@ def popularity_hits(train: DataFrame, labels: DataFrame, k: int = 100, pool: int
     )
     def place(label: Column) -> Column:
         above = F.size(F.filter("met", lambda rank: rank < label.pop_rank))
-        return F.struct(label.item_id.alias("item_id"), (label.pop_rank - above).alias("rank"))
+        return F.struct(
+            label.item_id.alias("item_id"), (label.pop_rank - above).alias("rank"), label.pop_rank.alias("pool_rank")
+        )
     unseen = F.filter("wanted", lambda label: ~F.array_contains("met", label.pop_rank))
     placed = F.filter(F.transform(unseen, place), lambda hit: hit.rank <= k)
-    first = F.array(F.struct(F.lit(None).cast("int").alias("item_id"), F.lit(1).alias("rank")))
+    # Pool ranks met without a gap from 1 on come before the first place.
+    gapless = F.size(F.filter(F.array_sort("met"), lambda rank, i: rank == i + 1))
+    first = F.array(F.struct(F.lit(None).cast("int").alias("item_id"), F.lit(1).alias("rank"), (gapless + 1).alias("pool_rank")))
     return (
         met.where(F.size("met") < size.scalar())
         .join(wanted, "user_id", "left")
-        .select("user_id", F.inline(F.concat(F.coalesce(placed, F.array().cast("array<struct<item_id:int,rank:int>>")), first)))
+        .select("user_id", F.inline(F.concat(F.coalesce(placed, F.array().cast("array<struct<item_id:int,rank:int,pool_rank:int>>")), first)))
     )

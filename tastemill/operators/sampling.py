@@ -13,16 +13,21 @@ SPLITS = ("train", "validation", "test")
 HOT_USERS = 100_000
 
 
-def sample_users(df: DataFrame, pct: int, user: str = "user_id", method: str = "xxhash64") -> DataFrame:
+def sample_users(
+    df: DataFrame, pct: int, user: str = "user_id", method: str = "xxhash64", bucket: str | None = None
+) -> DataFrame:
     """Keep whole users whose hash bucket (of 100) is below ``pct``; a filter, no shuffle.
 
     Samples are nested: the 1 % users are among the 3 % users. The id type is
-    part of the 64-bit hash, so cast ids to int first.
+    part of the 64-bit hash, so cast ids to int first. ``bucket`` names the partition column of a table
+    by ``write_bucketed``: only the sampled buckets' files are then read, and the column goes.
     """
     if not 1 <= pct <= 100:
         raise ValueError("pct must be between 1 and 100")
-    bucket = {"xxhash64": xxhash_bucket, "md5": md5_bucket}[method]
-    return df.where(bucket(user) < pct)
+    if bucket is not None:
+        return df.where(F.col(bucket) < pct).drop(bucket)
+    hashed = {"xxhash64": xxhash_bucket, "md5": md5_bucket}[method]
+    return df.where(hashed(user) < pct)
 
 
 def eligible_users(df: DataFrame, min_rows: int = 5, user: str = "user_id") -> DataFrame:

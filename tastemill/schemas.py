@@ -33,6 +33,7 @@ RUNS = T.StructType([
     T.StructField("k", T.IntegerType()),
     T.StructField("seed", T.IntegerType()),
     T.StructField("blocks", T.IntegerType()),
+    T.StructField("dedupe", T.BooleanType()),
     T.StructField("train_tag", T.StringType()),
     T.StructField("split", T.StringType(), False),
     T.StructField("label", T.StringType(), False),
@@ -45,3 +46,12 @@ RUNS = T.StructType([
 ])
 
 METRICS = ("map", "ndcg_at_k", "precision_at_k", "recall_at_k")
+
+# Metrics of one user in one run.
+USER_RUNS = T.StructType([
+    T.StructField("run_id", T.StringType(), False),
+    T.StructField("split", T.StringType(), False),
+    T.StructField("label", T.StringType(), False),
+    T.StructField("user_id", T.IntegerType()),
+    *[T.StructField(m, T.DoubleType()) for m in METRICS],
+])

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
 from tastemill import schemas
-from tastemill.functions.hashing import hex_int
+from tastemill.functions.hashing import hex_int, xxhash_bucket
 
 INT_MAX = 2147483647
 
@@ -38,11 +40,11 @@ def read_id_map(spark: SparkSession, path: str, schema: T.StructType = schemas.I
     return read_csv(spark, path, schema)
 
 
-def malformed_rows(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """How many lines of a CSV do not fit the schema (one row: rows, malformed).
+def _text_lines(spark: SparkSession, path: str, schema: T.StructType) -> tuple[DataFrame, Column]:
+    """The lines of a CSV with cells as text, and why a line is malformed (null for a good one).
 
-    A line is malformed if it has the wrong number of cells or a cell that its
-    declared type cannot hold; PERMISSIVE reading turns such cells into nulls.
+    A line is malformed if it has the wrong number of cells (``cells``) or a cell that its declared type
+    cannot hold (the first such column's name); PERMISSIVE reading turns such cells into nulls.
     """
     text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
     lines = (
@@ -53,10 +55,23 @@ def malformed_rows(spark: SparkSession, path: str, schema: T.StructType) -> Data
         .schema(text.add("_bad", T.StringType()))
         .csv(path)
     )
-    bad = F.col("_bad").isNotNull()
+    reason = F.when(F.col("_bad").isNotNull(), F.lit("cells"))
     for f in schema.fields:
-        bad = bad | (F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull())
-    return lines.agg(F.count("*").alias("rows"), F.count_if(bad).alias("malformed"))
+        reason = reason.when(F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull(), F.lit(f.name))
+    return lines, reason
+
+
+def malformed_rows(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """How many lines of a CSV do not fit the schema (one row: rows, malformed)."""
+    lines, reason = _text_lines(spark, path, schema)
+    return lines.agg(F.count("*").alias("rows"), F.count_if(reason.isNotNull()).alias("malformed"))
+
+
+def rejected_rows(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """(line, reason): the malformed lines; a line with the right number of cells is put together from these."""
+    lines, reason = _text_lines(spark, path, schema)
+    cells = F.concat_ws(",", *[F.coalesce(F.col(f.name), F.lit("")) for f in schema.fields])
+    return lines.select(F.coalesce("_bad", cells).alias("line"), reason.alias("reason")).where("reason IS NOT NULL")
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
@@ -73,6 +88,27 @@ def write_table(df: DataFrame, path: str, partition_by: str | list[str] | None =
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def write_observed(df: DataFrame, path: str, metrics: Sequence[Column], partition_by: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """Replace a Parquet table; the aggregates are taken of the rows as they are written, without another scan.
+
+    Returns the table as read back and the metrics as a one-row table, which is kept beside it at ``path``-observed.
+    """
+    spark, seen = df.sparkSession, Observation()
+    table = write_table(df.observe(seen, *metrics), path, partition_by)
+    row = spark.createDataFrame([tuple(seen.get.values())], ", ".join(f"{name} bigint" for name in seen.get))
+    return table, write_table(row, f"{path}-observed")
+
+
+def write_bucketed(df: DataFrame, path: str, metrics: Sequence[Column] = (), user: str = "user_id") -> DataFrame:
+    """Write rows by the hash bucket of their user as folders, so that a sample of users reads its folders only.
+
+    Rows are dealt by bucket first, so a bucket is a few files; one that a hot user swells is split
+    by the adaptive plan. The column ``bucket`` comes with the table.
+    """
+    rows = df.withColumn("bucket", xxhash_bucket(user).cast("int")).hint("rebalance", "bucket")
+    return write_observed(rows, path, metrics, "bucket")[0] if metrics else write_table(rows, path, "bucket")
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     """CSV with a header, one file per partition."""
     df.write.mode("overwrite").option("header", True).csv(path)

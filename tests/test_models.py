@@ -4,7 +4,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tastemill.operators import als, signals
+from tastemill.operators import als, checks, signals
 from tastemill.operators.evaluate import rmse
 from tastemill.operators.sampling import split_per_user, with_row_key
 from tastemill.plans import experiments as ex
@@ -166,3 +166,126 @@ def test_models_and_runs_know_their_split_and_k(parts, tmp_path):
     assert sorted(r.k for r in rows.collect()) == [5, 10]
     with pytest.raises(ValueError, match="another split"):
         ex.select_and_test(runs, models, CONFIG.model, other, held_out, k=5)
+
+
+def given_model(spark, path, users=30, items=300, rank=4, hot_seen=250):
+    """Random factors; user 0 has seen the 250 items that suit them best, others a few."""
+    rng = random.Random(3)
+    of = [[[float(rng.randint(-9, 9)) for _ in range(rank)] for _ in range(n)] for n in (users, items)]
+    tables = [spark.createDataFrame(list(enumerate(f)), "id int, features array<float>") for f in of]
+    model = als.model_of_factors(*tables, str(path))
+    score = lambda u, i: sum(a * b for a, b in zip(of[0][u], of[1][i]))
+    best = sorted(range(items), key=lambda i: (-score(0, i), i))
+    seen = {0: set(best[:hot_seen]), 1: set(range(items)) - {5, 6}, 2: set()}
+    for u in range(3, users):
+        seen[u] = set(rng.sample(range(items), rng.randint(0, 30)))
+    pairs = spark.createDataFrame([(u, i) for u, s in seen.items() for i in s], "user_id int, item_id int")
+    return model, pairs, seen, score, items
+
+
+@pytest.mark.parametrize("pool", [1, 10, 60])
+def test_full_lists(spark, tmp_path, pool):
+    model, pairs, seen, score, items = given_model(spark, tmp_path)
+    users = spark.createDataFrame([(u,) for u in [*seen, 999]], "user_id int")
+    got = {}
+    for r in als.recommend_topk(model, users, pairs, 10, pool, full=True).collect():
+        got.setdefault(r.user_id, []).append((r["rank"], r.item_id))
+    for u, met in seen.items():
+        want = sorted((score(u, i) for i in set(range(items)) - met), reverse=True)[:10]
+        listed = [i for _, i in sorted(got[u])]
+        assert [score(u, i) for i in listed] == want and len(set(listed) - met) == len(want), u
+        assert [rank for rank, _ in sorted(got[u])] == list(range(1, len(want) + 1))
+    assert set(got) == set(seen)
+
+
+def test_short_pool_leaves_short_lists(spark, tmp_path):
+    model, pairs, seen, _, _ = given_model(spark, tmp_path)
+    users = spark.createDataFrame([(0,)], "user_id int")
+    assert als.recommend_topk(model, users, pairs, 10, 20).count() == 0
+
+
+@pytest.mark.parametrize("config", [CONFIG, ex.implicit_config(4, max_iter=4), ex.combined_config(1.0, 2.0, rank=3)])
+def test_fits_solve_their_equations_and_moved_ones_do_not(spark, parts, tmp_path, config):
+    train = parts[0]
+    fitted, signal = ex.fit_model(config, train), ex.training_signal(config, train)
+    def check(model):
+        if config.model == "implicit":
+            return checks.implicit_fit_checks(model, signal, config.reg_param, config.alpha).first()
+        return checks.fit_checks(model, signal, config.reg_param).first()
+    row = check(fitted)
+    assert row.users > 0 and row.unsolved == 0
+    path = str(tmp_path / "moved")
+    fitted.write().save(path)
+    moved = fitted.userFactors.withColumn("features", F.transform("features", lambda x: (x * 1.05 + 0.02).cast("float")))
+    moved.write.mode("overwrite").parquet(f"{path}/userFactors")
+    row = check(type(fitted).load(path))
+    assert row.unsolved > row.users * 0.9
+
+
+def test_gram_matrix(spark):
+    rows = [(i, [float(i), 1.0, float(-i % 3)]) for i in range(7)]
+    got = checks.gram_matrix(spark.createDataFrame(rows, "id int, features array<float>").repartition(3), 3)
+    assert got == [[sum(f[d] * f[e] for _, f in rows) for e in range(3)] for d in range(3)]
+
+
+def test_repeated_pairs_once(parts):
+    train = parts[0].unionAll(parts[0])
+    plain, once = CONFIG, ex.explicit_config(rank=3, reg_param=0.01, dedupe=True)
+    signal = ex.training_signal(once, train)
+    assert signal.count() == signal.select("user_id", "item_id").distinct().count() < ex.training_signal(plain, train).count()
+    assert once.run_id != ex.explicit_config(rank=3, reg_param=0.01).run_id
+
+
+def test_grid_side_by_side_equals_the_loop(spark, parts, tmp_path):
+    train, held = parts
+    configs = [ex.explicit_config(rank, 0.05, max_iter=2, pool=40) for rank in (1, 2, 3)]
+    tables = []
+    for n in (1, 3):
+        base = tmp_path / str(n)
+        table = ex.run_grid(
+            configs, train, held, [("validation", "liked")], str(base / "models"), str(base / "runs"), k=10, side_by_side=n
+        )
+        rows = [r.asDict() for r in table.collect()]
+        tables.append(sorted([{k: round(v, 9) if isinstance(v, float) else v for k, v in r.items()} for r in rows], key=lambda r: r["run_id"]))
+    assert len(tables[0]) == 3 and tables[0] == tables[1]
+
+
+def test_logged_cells_are_left_out(spark, parts, tmp_path, monkeypatch):
+    train, held = parts
+    models, runs = str(tmp_path / "models"), str(tmp_path / "runs")
+    kinds = [("validation", "liked")]
+    ex.run_grid([CONFIG], train, held, kinds, models, runs, k=10)
+    monkeypatch.setattr(ex, "fit_model", lambda *a, **o: pytest.fail("fitted again"))
+    assert ex.run_grid([CONFIG], train, held, kinds, models, runs, k=10, skip_logged=True).count() == 1
+
+
+def test_selection_takes_the_best_logged_run(spark, tmp_path):
+    path = str(tmp_path / "runs")
+    schema = "split string, label string, users bigint, map double, ndcg_at_k double, precision_at_k double, recall_at_k double"
+    rows = [(20, 0.01, 0.011), (20, 0.1, 0.010), (100, 0.01, 0.020), (100, 0.1, 0.020), (50, 0.1, 0.019)]
+    for rank, reg, ndcg in rows:
+        metrics = spark.createDataFrame([(s, "liked", 9, 0.1, v, 0.1, 0.1) for s, v in (("validation", ndcg), ("test", 1 - ndcg))], schema)
+        ex.log_runs(ex.as_runs(ex.explicit_config(rank, reg), metrics), path)
+    best = ex.best_run(ex.read_runs(spark, path), "explicit").collect()
+    assert [(r["rank"], r.reg_param) for r in best] == [(100, 0.01)]  # a tie goes to the smaller configuration
+    board = ex.leaderboard(ex.read_runs(spark, path), "explicit").collect()
+    assert [r.ndcg_at_k for r in board] == sorted((v for *_, v in rows), reverse=True)
+
+
+def test_comparison_over_common_users(spark, tmp_path):
+    users, runs = str(tmp_path / "users"), str(tmp_path / "runs")
+    schema = "user_id int, split string, label string, map double, ndcg_at_k double, precision_at_k double, recall_at_k double"
+    scores = {100: {1: 0.2, 2: 0.4, 3: 0.9}, 1000: {1: 0.1, 2: 0.4, 4: 0.0}}
+    for pool, values in scores.items():
+        config = ex.popularity_config(pool)
+        rows = spark.createDataFrame([(u, "test", "read", v, v, v, v) for u, v in values.items()], schema)
+        own = ex.log_user_runs(config, rows, users)
+        ex.log_runs(ex.as_runs(config, ex.mean_metrics(own)), runs)
+    table, base = ex.read_runs(spark, runs), ex.popularity_config(1000).run_id
+    got = {r.pool: r for r in ex.compare_models(table, base, common_cohort=True, users=ex.read_user_runs(spark, users)).collect()}
+    assert {p: (r.users, round(r.ndcg_at_k, 9), r.better, r.worse) for p, r in got.items()} == {100: (2, 0.3, 1, 0), 1000: (2, 0.25, 0, 0)}
+    assert round(got[100].lift_ndcg_at_k, 6) == 20.0
+    plain = {r.pool: r.users for r in ex.compare_models(table, base).collect()}
+    assert plain == {100: 3, 1000: 3}
+    with pytest.raises(ValueError, match="user metrics"):
+        ex.compare_models(table, base, common_cohort=True)

@@ -83,6 +83,23 @@ def test_hits_score_like_the_lists(spark, missing):
         assert flat(lists) == flat(hits)
 
 
+@pytest.mark.parametrize("missing", ["drop", "zero"])
+def test_pools_at_once_score_like_one_by_one(spark, missing):
+    rng = random.Random(6)
+    pairs = [(u, i) for u in range(40) for i in rng.sample(range(30), rng.randint(1, 29))]
+    pairs += [(99, i) for i in range(30)] + [(98, i) for i in range(7)]
+    train = spark.createDataFrame([(u, i, 1) for u, i in pairs], "user_id int, item_id int, is_read int")
+    held = [(u, rng.randrange(35), s, "read") for u in (*range(45), 98) for s in ("validation", "test") for _ in range(6)]
+    labels = spark.createDataFrame(held, "user_id int, item_id int, split string, label string")
+    kinds, pools = [("validation", "read"), ("test", "read")], (1, 4, 9, 40)
+    flat = lambda df: sorted((r.split, r.users, *(round(r[m], 9) for m in ("map", "ndcg_at_k", "precision_at_k", "recall_at_k"))) for r in df.collect())
+    hits = popularity_hits(train, labels, 5, 40)
+    table = evaluate_ranking(hits, labels, kinds, k=5, missing=missing, pools=pools)
+    for pool in pools:
+        one = evaluate_ranking(popularity_recs(train, 5, pool), labels, kinds, k=5, missing=missing)
+        assert flat(table.where(F.col("pool") == pool)) == flat(one), pool
+
+
 def test_ranked_lists(spark):
     recs, _ = frames(spark, {1: [9, 3, 7], 2: [5]}, {1: [1]})
     got = {r.user_id: r["items"] for r in to_ranked_lists(recs.orderBy(F.rand(1))).collect()}
