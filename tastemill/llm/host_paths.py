@@ -6,6 +6,12 @@ Votes are summed per host in Spark. A page is extracted from the containers at t
 if another page of its host does so too. A page that stands alone with its path follows its host: of
 all voted paths that it has, it takes the one with the most votes times its clean text there; a page
 that has none, or has no host, uses its own best one.
+What marks boilerplate are tags, roles and names (classes and ids). A name counts by its last word, past words
+such as list or wrapper, unless a word such as has or without turns it round; on headings, paragraphs and
+other text only plain names of adverts and the like count, on inline elements none. An article or main element
+inside a marked element is clean again. Marks are doubted where little else is left: if they cover three quarters of a
+page's text, the outermost that holds half of all is void, reader comments only if there is next to nothing
+else, and the page is looked at again.
 An inner container gets a page's vote in place of the best one only where what it leaves outside has
 no clean text, or a little that most such pages of the host have word for word beside other texts.
 
@@ -31,6 +37,7 @@ from tastemill.llm.common import join_counted, stage, table
 PLAIN_LEVELS = 32  # deeper elements have a hash of their path
 LEAST_VOTES = 2  # a path with fewer has one page only
 NEARLY_ALL = 0.9  # share of the best container's text from which an inner one can take its place
+MOST, HALF, HARDLY = 0.75, 0.5, 0.02  # shares of a page's text at which marks are doubted, an element is void, comments too
 HOST_BROADCAST = 100_000  # rows of (host, page, path) that a broadcast may hold
 
 # Tag names of HTML and words of boilerplate classes.
@@ -44,13 +51,30 @@ INLINE = frozenset(
 )
 CONTAINERS = frozenset("article main section div td body".split())
 BOILERPLATE_TAGS = frozenset("nav header footer aside form menu dialog button fieldset".split())
-BOILERPLATE_WORDS = frozenset(
-    "ad ads adv advert advertisement advertising adverts banner breadcrumb breadcrumbs comment comments consent cookie "
-    "cookies disqus dialog discussion footer form gdpr header login masthead menu modal nav navbar navigation newsletter "
-    "notice notification notices overlay pagination popup promo promotion replies reply related search share sharing "
-    "sidebar signup skip social sponsor sponsored subscribe toolbar widget".split()
+FIRM_TAGS = frozenset("nav menu dialog button".split())
+COMMENT_WORDS = frozenset("comment comments discussion disqus replies reply".split())
+ADVERT_WORDS = frozenset(
+    "ad ads adv advert advertisement advertising adverts breadcrumb breadcrumbs consent cookie cookies gdpr newsletter "
+    "pagination promo promotion share sharing signup sponsor sponsored subscribe".split()
+)
+BOILERPLATE_WORDS = COMMENT_WORDS | ADVERT_WORDS | frozenset(
+    "banner dialog footer form header login masthead menu modal nav navbar navigation notice notification notices overlay "
+    "popup related search sidebar skip social toolbar widget".split()
 )
 BOILERPLATE_ROLES = frozenset("navigation banner contentinfo complementary search form alert dialog menu menubar".split())
+# Words behind the one that says what an element is, words that turn it round, and words before a header that is content.
+TAIL_WORDS = frozenset(
+    "area bar block body bottom box button buttons col column container content count group heading holder icons inner item "
+    "items label left link links list message outer panel posts region right row section slot text thread title top unit "
+    "widget widgets wrap wrapper zone".split()
+)
+TURNING_WORDS = frozenset("has have hide is no not show with without".split())
+CONTENT_WORDS = frozenset("article content entry main page post section story title".split())
+TOPICS = frozenset("dialog discussion form notice related reply search social".split())  # of a section of an article
+# Elements of running text, where words such as dialog or notice are about the text.
+TEXT_TAGS = frozenset(
+    "p h1 h2 h3 h4 h5 h6 blockquote pre li dt dd figure figcaption table tr td th address hr".split()
+)
 # An opening tag on the left is ended by any of those on the right.
 ENDED_BY = {
     "p": frozenset(
@@ -76,36 +100,78 @@ CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 DIGITS = re.compile(r"[0-9]+")
 
 
+@dataclass
+class Mark:
+    """A marked element; ``firm`` is the nearest mark at or above it that an article inside doesn't end."""
+
+    kind: str  # hidden, firm, comment or doubtful
+    above: Mark | None
+    firm: Mark | None = None
+    junk: bool = True
+    size: int = 0  # characters inside
+
+    def __post_init__(self):
+        if self.kind != "doubtful":
+            self.firm = self
+        elif self.above is not None:
+            self.firm = self.above.firm
+
+
 @dataclass
 class Node:
     tag: str
     path: str
     level: int
     at: int  # in the stack of open elements
-    junk: bool
+    mark: Mark | None  # the nearest mark at or above
     link: bool
     container: Node | None  # the nearest container, itself included
     above: Node | None = None  # the next container above it
-
-
-def _described(attrs: str) -> tuple[str, bool]:
-    """The generalised classes and whether class, id or role mark boilerplate."""
-    classes, junk = "", False
+    content: bool = False  # an article or main element is open
+
+    @property
+    def junk(self) -> bool:
+        return self.mark is not None and self.mark.junk
+
+
+def _marked_by(name: str, tag: str, inside: bool) -> str:
+    """The word by which a class or id marks boilerplate, or an empty one."""
+    words = [w for w in SPLIT.split(CAMEL.sub(" ", name).lower()) if w]
+    last = len(words) - 1
+    while last > 0 and words[last] in TAIL_WORDS:
+        last -= 1
+    if last < 0 or not TURNING_WORDS.isdisjoint(words[:last]):
+        return ""
+    word = words[last]
+    if word not in (ADVERT_WORDS if tag in TEXT_TAGS else BOILERPLATE_WORDS):
+        return ""
+    if tag == "section" and inside and word in TOPICS:
+        return ""
+    # The header of an article is its title; a body of content is none.
+    if word == "header" and (inside or not CONTENT_WORDS.isdisjoint(words[:last])):
+        return ""
+    return word
+
+
+def _described(attrs: str, tag: str, inside: bool) -> tuple[str, str]:
+    """The generalised classes and what kind of boilerplate class, id or role mark: hidden, comment, doubtful or none."""
+    classes, kind = "", ""
     for name, *values in ATTRIBUTE.findall(attrs):
         value = entities.unescape(next((v for v in values if v), ""))
         name = name.lower()
         if name in ("class", "id"):
-            words = SPLIT.split(CAMEL.sub(" ", value).lower())
-            junk = junk or not BOILERPLATE_WORDS.isdisjoint(words)
+            if tag not in INLINE and kind not in ("hidden", "comment"):
+                for word in (_marked_by(n, tag, inside) for n in value.split()):
+                    if word:
+                        kind = "comment" if word in COMMENT_WORDS else kind or "doubtful"
             if name == "class":
                 classes = ".".join(["", *sorted({DIGITS.sub("0", c.lower()) for c in value.split()})])
         elif name == "role":
-            junk = junk or value.lower() in BOILERPLATE_ROLES
-        elif name == "hidden":
-            junk = True
-        elif value.lower() == "true":
-            junk = True
-    return classes, junk
+            if value.lower() in BOILERPLATE_ROLES:
+                kind = kind or "doubtful"
+        elif name == "hidden" or value.lower() == "true":
+            kind = "hidden"
+    return classes, kind
 
 
 def _step(above: str, level: int, tag: str, classes: str) -> str:
@@ -119,7 +185,7 @@ class _Open:
     """The open elements, with the places of each tag and of the blocks among them."""
 
     def __init__(self):
-        self.stack = [Node("", "", 0, 0, False, False, None)]
+        self.stack = [Node("", "", 0, 0, None, False, None)]
         self.places: dict[str, list[int]] = {}
         self.blocks: list[int] = []
 
@@ -144,7 +210,7 @@ class _Open:
 def parse(page: str) -> list[tuple[Node, str]]:
     """The page's text runs in order, each with its element; breaks between blocks are runs of one space."""
     opened, runs, at, end = _Open(), [], 0, len(page)
-    stack = opened.stack
+    stack, marks = opened.stack, []
     while at < end:
         found = PIECE.search(page, at)
         start = found.start() if found else end
@@ -186,20 +252,58 @@ def parse(page: str) -> list[tuple[Node, str]]:
         if opened.blocks and tag in ENDED_BY.get(stack[opened.blocks[-1]].tag, ()):
             opened.cut(opened.blocks[-1])
         above = stack[-1]
-        classes, junk = _described(attrs) if attrs else ("", False)
-        main = tag in ("html", "body", "main", "article")
-        junk = above.junk or tag in BOILERPLATE_TAGS or tag in HIDDEN or (junk and not main)
+        main = tag in ("article", "main")
+        classes, kind = _described(attrs, tag, above.content) if attrs else ("", "")
+        if tag in HIDDEN:
+            kind = "hidden"
+        elif tag in FIRM_TAGS:
+            kind = kind or "firm"
+        elif tag in BOILERPLATE_TAGS:
+            titled = tag == "header" and (above.content or not CONTENT_WORDS.isdisjoint(SPLIT.split(classes)))
+            kind = kind or ("" if titled else "doubtful")
+        elif tag in ("html", "body") or main and kind == "doubtful":
+            kind = kind if kind == "hidden" and tag not in ("html", "body") else ""
+        mark = above.mark
+        if main and mark is not None and mark.kind != "hidden":
+            mark = mark.firm
+        if kind:
+            mark = Mark(kind, mark)
+            marks.append(mark)
         level = above.level + 1
         node = Node(
-            tag, _step(above.path, level, tag, classes), level, len(stack), junk, above.link or tag == "a", above.container
+            tag, _step(above.path, level, tag, classes), level, len(stack), mark, above.link or tag == "a", above.container,
+            content=above.content or main,
         )
-        if tag in CONTAINERS and not junk:
+        if tag in CONTAINERS:
             node.container = node
             node.above = above.container
         opened.push(node)
+    _doubt(runs, marks)
     return runs
 
 
+def _doubt(runs: list[tuple[Node, str]], marks: list[Mark]) -> None:
+    """Void the marks of elements that hold what the page is about; marks come outer ones first."""
+    total = clean = 0
+    for node, text in runs:
+        firm = node.mark.firm if node.mark is not None else None
+        if not node.link and not text.isspace() and (firm is None or firm.kind != "hidden"):
+            total += len(text)
+            if node.mark is None:
+                clean += len(text)
+            else:
+                node.mark.size += len(text)
+    for mark in reversed(marks):
+        if mark.above is not None:
+            mark.above.size += mark.size
+    doubted = clean < (1 - MOST) * total
+    for mark in marks:
+        if mark.above is not None and mark.above.junk:
+            continue
+        bar = {"doubtful": HALF * total, "comment": max(HALF, 1 - HARDLY) * total}.get(mark.kind)
+        mark.junk = not (doubted and bar is not None and mark.size >= bar)
+
+
 def _holders(runs: list[tuple[Node, str]]) -> list[Node]:
     """The containers that hold the runs, outer ones first."""
     found: dict[int, Node] = {}
@@ -220,6 +324,11 @@ def _containers(runs: list[tuple[Node, str]]) -> dict[str, list[int]]:
     found: dict[str, list[int]] = {}
     for holder in reversed(_holders(texts)):
         clean, waste = own.get(id(holder), (0, 0))
+        if holder.junk:
+            if holder.above is not None:
+                own.setdefault(id(holder.above), [0, 0])[0] += clean
+                own[id(holder.above)][1] += waste
+            continue
         sums = found.setdefault(holder.path, [0, 0, holder.level, holder.tag in ("article", "main")])
         sums[0] += clean
         sums[1] += waste
@@ -234,7 +343,7 @@ def _inside(runs: list[tuple[Node, str]], path: str) -> set[int]:
     """The ids of the containers at a path and inside those."""
     found: set[int] = set()
     for holder in _holders(runs):
-        if holder.path == path or id(holder.above) in found:
+        if (holder.path == path and not holder.junk) or id(holder.above) in found:
             found.add(id(holder))
     return found
 
@@ -274,7 +383,7 @@ def vote_of(page: str) -> dict | None:
     near = []
     if not main:
         within = _inside(runs, path)
-        inner = {n.path for n in _holders(runs) if id(n) in within and n.path != path}
+        inner = {n.path for n in _holders(runs) if id(n) in within and n.path != path and not n.junk}
         near = [(v[0], v[2], p) for p, v in sums.items() if p in inner and NEARLY_ALL * clean <= v[0] < clean]
     if near:
         inner = max(near)[2]

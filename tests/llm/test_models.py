@@ -6,6 +6,7 @@ import struct
 from collections import Counter
 
 import public_tokenizers
+import pytest
 import sentencepiece
 
 from tastemill.llm import host_paths, sentencepieces, skip_chain, topk, toxicity
@@ -57,6 +58,73 @@ def test_markup_without_its_end_loses_no_text():
     assert len(host_paths.main_text(nested, [])) == 39_999
 
 
+BODY = "".join(f"<p>Paragraph {i} of the story goes on for a while.</p>" for i in range(9))
+STORY = " ".join(f"Paragraph {i} of the story goes on for a while." for i in range(9))
+FRAME = '<body><nav><a href=a>Home</a> <a href=b>News</a></nav><header><b>Site</b></header>{}<footer>Imprint &copy; us</footer></body>'
+WRAPPERS = (
+    "has-sidebar no-sidebar content-with-sidebar elementor-widget-container widget-content comments-open article-header-image "
+    "post-share-enabled form-page search-result social-science has-header page-with-menu page-header-offset promo-free "
+    "td-ad-enabled is-login-required article__body--with-newsletter comment-on-law entry-content post-content wp-block-group"
+).split()
+
+
+@pytest.mark.parametrize("name", WRAPPERS)
+def test_wrappers_named_after_boilerplate_keep_their_article(name):
+    for attribute in ("class", "id"):
+        page = FRAME.format(f'<div {attribute}="{name}"><h1>Title</h1>{BODY}</div>')
+        assert host_paths.main_text(page, [host_paths.best_container(page)[0]]) == f"Title {STORY}"
+    page = FRAME.format(f'<div class="page {name}"><div class="text">{BODY}</div></div>')
+    assert host_paths.main_text(page, []) == STORY
+
+
+def test_marks_that_cover_the_page_are_void():
+    for page in (
+        FRAME.format(f'<div class="layout-with-sidebar"><article>{BODY}</article></div>'),
+        FRAME.format(f'<div class="sidebar"><article>{BODY}</article></div>'),
+        FRAME.format(f'<form method=post action=x><div class="widget"><div>{BODY}</div></div></form>'),
+        f"<body><form class=form id=aspnetForm><nav>menu</nav><div>{BODY}</div><footer>end</footer></form></body>",
+        FRAME.format(f'<div class="sidebar"><div class="widget form"><div>{BODY}</div></div></div>'),
+        FRAME.format(f'<div class="comments"><div>{BODY}</div></div>'.replace("Site", "")).replace("Imprint &copy; us", "").replace("Site", ""),
+    ):
+        assert host_paths.main_text(page, []) == STORY, page
+
+
+def test_words_of_an_article_are_no_marks():
+    inner = (
+        '<header class="entry-header"><h1>Title</h1></header><p class="dialog">He said no.</p><h2 id="related-work">Related work</h2>'
+        '<pre><code>x = 1 <span class="hljs-comment"># note</span></code></pre>'
+    )
+    want = f"Title He said no. Related work x = 1 # note {STORY}"
+    for tag in ("article", 'div class="post"', "main"):
+        page = FRAME.format(f"<{tag}>{inner}{BODY}</{tag.split()[0]}>")
+        assert host_paths.main_text(page, []) == want
+    for tag in ("article", "main"):
+        page = FRAME.format(f'<{tag}>{BODY}<section id="discussion"><p>We discuss.</p></section></{tag}>')
+        assert host_paths.main_text(page, []) == f"{STORY} We discuss."
+
+
+@pytest.mark.parametrize("name", (
+    "sidebar left-sidebar sidebar-left comments comment-list ad ad-slot top-ad related-posts share-buttons cookie-banner "
+    "newsletter-signup search-form site-footer main-menu breadcrumbs widget notice social-links popup".split()
+))
+def test_boilerplate_stays_out(name):
+    extra = f'<div class="{name}"><p>Something else here.</p><p>And more of it.</p></div>'
+    for page in (
+        FRAME.format(f"<div class=post>{BODY}{extra}</div>"), FRAME.format(f"<article>{BODY}</article>{extra}"),
+        FRAME.format(f"{extra}<article>{BODY}{extra}</article>"),
+    ):
+        assert host_paths.main_text(page, []) == STORY
+
+
+def test_long_comments_stay_out():
+    comments = "".join(f'<article class="comment-body"><p>Opinion {i} of a reader, at some length.</p></article>' for i in range(60))
+    for page in (
+        FRAME.format(f"<article>{BODY}</article><div id=comments>{comments}</div>"),
+        FRAME.format(f"<div class=post>{BODY}</div><section class=comments-area>{comments}</section>"),
+    ):
+        assert host_paths.main_text(page, []) == STORY
+
+
 def test_hosts_agree_on_a_path(spark):
     """A page whose comment-like block is the longest follows its host."""
     def page(i, extra):
