@@ -1,18 +1,22 @@
 """Personal data by base patterns and a skip-chain conditional random field.
 
 The base patterns find emails, IPs, cards and phones. The field's nodes are a document's
-candidates: runs around an @ and numbers as written, in text order. Neighbours form the
-chain; occurrences of the same or a similar value, however distant, are tied by skip edges
-from one occurrence to the next, so a group of n has n - 1 edges. Loopy message passing runs over all documents of a
-batch at once, and what a candidate is taken for follows its shape, its neighbours
-and its other occurrences. Spans that the field adds never replace base spans.
-
-Weights come from pseudo-likelihood on at most TRAINING documents (those with the least hash of
-their id among documents with a base span). Each candidate with a base span also gives a broken
-copy, which is nothing when it stands alone and the entity when it repeats one.
-
-Null texts are empty texts; null and repeated doc_ids are rows like any other. Without
-training documents the base spans are all. An empty table gives no rows.
+candidates: runs around an @ and numbers as written, in text order. Neighbours form the chain. Occurrences of
+the same or a similar value, however distant, are tied through one hub node of their group, so what one
+of them proves is two hops from any other. They share their potentials: the hub has the shapes that any
+occurrence shows, and a group's neighbourhood counts as that of one node, so that any number of bare repeats can't
+outvote a proved one. Loopy sum-product messages run until a document's own ones come to rest. Spans that the field
+adds never replace base spans.
+
+Weights come from at most TRAINING distinct whole texts with a base span, an equal share for each kind (those with the least
+digests): shapes and chain by the likelihood of a group's label given its neighbours', hub edges by how often
+occurrences of a group that prove something agree. Each proved value also gives groups with broken copies, which
+are the entity beside a proved one and nothing without.
+
+Null texts are empty texts; null and repeated doc_ids are rows like any other, equal texts train once. Whole texts
+of any length are read, other columns are ignored whatever their names. Of overlapping labels base spans stay; ties between
+labels go to the one listed first, nothing before the kinds. Without training texts the base spans are all. An empty
+table gives no rows.
 """
 
 from __future__ import annotations
@@ -21,10 +25,11 @@ import hashlib
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tastemill.llm.common import stage, table
@@ -32,9 +37,10 @@ from tastemill.llm.common import stage, table
 KINDS = ("email", "ip", "card", "phone")
 LABELS = ("", *KINDS)
 TRAINING = 3000
-TRAINING_NODES = 100  # candidates that one training document gives
-ROUNDS = 50
+ROUNDS = 500  # a document's messages come to rest long before
+REST = 1e-4  # change of a document's messages at which they are taken to rest
 DAMPING = 0.3
+AGREEING, OTHERWISE = 50.0, 0.25  # counts that the hub edges start from
 PENALTY = 1e-4
 STEPS = 300
 LEAST_DIGITS = 7
@@ -104,18 +110,20 @@ class Node:
     text: str
     before: str  # the characters next to it
     after: str
-    core: str  # what repeats are known by
-    wide: str  # what similar ones are known by
+    core: str  # what the same values have in common
+    wide: str  # what similar ones have in common
 
 
 def _node(text: str, start: int, end: int) -> Node:
+    """Similar are emails with the same letters and digits, long numbers with the same beginning and others with the same end."""
     own = text[start:end]
     if "@" in own:
         core = own.lower()
-        wide = core
+        wide = "@" + "".join(c for c in core if c.isalnum())
     else:
-        core = NOT_DIGIT.sub("", own) if own.count(".") != 3 else own.lstrip("+")
-        wide = core[-10:] if len(core) >= 10 and "." not in core else core
+        core = own.lstrip("+")
+        digits = NOT_DIGIT.sub("", own)
+        wide = "=" + digits[:12] if len(digits) >= 14 else digits[-10:]
     return Node(start, end, own, text[start - 1:start], text[end:end + 1], core, wide)
 
 
@@ -167,51 +175,95 @@ def shape(node: Node) -> list[float]:
 
 
 SHAPES = len(shape(Node(0, 1, "0", "", "", "0", "0")))
-EDGE_KINDS = 3  # next in the text, same value, similar value
+SAME, SIMILAR = 0, 1  # kinds of hub edges
 
 
-def edges(nodes: list[Node]) -> list[tuple[int, int, int]]:
-    """(earlier, later, kind): the chain, and each occurrence of a value tied to the next one."""
-    out = [(i, i + 1, 0) for i in range(len(nodes) - 1)]
-    same: dict[str, int] = {}
-    similar: dict[str, int] = {}
+@dataclass
+class Graph:
+    """Variables of a document: its candidates, then a hub for each group of two or more."""
+
+    x: list[list[float]]  # shapes that a variable's unary potential sees; none for a tied candidate
+    chain: list[tuple[int, int, float]]  # neighbours, and by how much their potential counts
+    hubs: list[tuple[int, int, int]]  # hub, candidate, kind
+
+
+def grouped(nodes: list[Node]) -> dict[str, list[int]]:
+    groups: dict[str, list[int]] = {}
     for i, node in enumerate(nodes):
-        if node.core in same:
-            out.append((same[node.core], i, 1))
-        elif node.wide in similar:
-            out.append((similar[node.wide], i, 2))
-        same[node.core] = similar[node.wide] = i
-    return out
+        groups.setdefault(node.wide, []).append(i)
+    return groups
+
+
+def any_shape(shapes: list[list[float]]) -> list[float]:
+    return [max(column) for column in zip(*shapes)]
+
+
+def graph_of(nodes: list[Node], skip: bool = True) -> Graph:
+    """The graph of a document; without ``skip`` every candidate stands for itself."""
+    shapes = [shape(n) for n in nodes]
+    x, hubs, size = list(shapes), [], [1] * len(nodes)
+    for members in grouped(nodes).values() if skip else ():
+        if len(members) > 1:
+            cores = [nodes[i].core for i in members]
+            for i in members:
+                hubs.append((len(x), i, SAME if cores.count(nodes[i].core) > 1 or len(set(cores)) == 1 else SIMILAR))
+                x[i], size[i] = [0.0] * SHAPES, len(members)
+            x.append(any_shape([shapes[i] for i in members]))
+    return Graph(x, [(i, i + 1, 1 / max(size[i], size[i + 1])) for i in range(len(nodes) - 1)], hubs)
 
 
 @dataclass
 class Field:
     unary: np.ndarray  # shapes x labels
-    pair: np.ndarray  # edge kinds x labels x labels
-
-
-def infer(field: Field, x: np.ndarray, links: np.ndarray) -> np.ndarray:
-    """The most probable label of each node by loopy sum-product over all edges at once."""
-    score = x @ field.unary
-    if len(links):
-        source = np.concatenate([links[:, 0], links[:, 1]])
-        target = np.concatenate([links[:, 1], links[:, 0]])
-        table_ = field.pair[np.concatenate([links[:, 2]] * 2)]
+    chain: np.ndarray  # labels x labels
+    hub: np.ndarray  # kinds of hub edges x labels of the hub x labels of a candidate
+
+
+def beliefs(field: Field, graphs: list[Graph]) -> list[np.ndarray]:
+    """Marginal log-probabilities (up to a constant per variable) of each graph's variables.
+
+    All graphs' messages are computed side by side, but each graph rests by its own messages, so what comes out doesn't
+    depend on the graphs beside it.
+    """
+    first = np.cumsum([0, *[len(g.x) for g in graphs]])
+    if not first[-1]:
+        return [np.zeros((0, len(LABELS))) for _ in graphs]
+    score = np.array([row for g in graphs for row in g.x]) @ field.unary
+    ends, tables, owner = [], [], []
+    for n, g in enumerate(graphs):
+        for a, b, weight in g.chain:
+            ends.append((first[n] + a, first[n] + b))
+            tables.append(weight * field.chain)
+            owner.append(n)
+        for hub, i, kind in g.hubs:
+            ends.append((first[n] + hub, first[n] + i))
+            tables.append(field.hub[kind])
+            owner.append(n)
+    if ends:
+        links, table_ = np.array(ends), np.stack(tables)
+        source, target = np.concatenate([links[:, 0], links[:, 1]]), np.concatenate([links[:, 1], links[:, 0]])
+        table_ = np.concatenate([table_, table_.transpose(0, 2, 1)])
+        owner_ = np.array(owner * 2)
         back = np.concatenate([np.arange(len(links)) + len(links), np.arange(len(links))])
         message = np.zeros((len(source), len(LABELS)))
+        active = np.arange(len(source))
         for _ in range(ROUNDS):
             belief = score.copy()
-            np.add.at(belief, target, message)
-            sent = (belief[source] - message[back])[:, :, None] + table_
+            for label in range(len(LABELS)):
+                belief[:, label] += np.bincount(target[active], message[active, label], len(score))
+            sent = (belief[source[active]] - message[back[active]])[:, :, None] + table_[active]
             top = sent.max(axis=1)
             fresh = top + np.log(np.exp(sent - top[:, None, :]).sum(axis=1))
             fresh -= fresh.max(axis=1, keepdims=True)
-            step = np.abs(fresh - message).max()
-            message = DAMPING * message + (1 - DAMPING) * fresh
-            if step < 1e-3:
+            change = np.zeros(len(graphs))
+            np.maximum.at(change, owner_[active], np.abs(fresh - message[active]).max(axis=1))
+            message[active] = DAMPING * message[active] + (1 - DAMPING) * fresh
+            active = active[change[owner_[active]] >= REST]
+            if not len(active):
                 break
-        np.add.at(score, target, message)
-    return score.argmax(axis=1)
+        for label in range(len(LABELS)):
+            score[:, label] += np.bincount(target, message[:, label], len(score))
+    return [score[a:b] for a, b in zip(first, first[1:])]
 
 
 def _label(node: Node, spans: list[Span]) -> int:
@@ -229,38 +281,43 @@ def broken(text: str, label: int) -> str:
     if kind == "email":
         return text.partition("@")[0] + "@" + text.partition("@")[2].replace(".", "")
     if kind == "ip":
-        return "9" + text.partition(".")[0] + "9." + text.partition(".")[2]
+        return text.replace(".", "-")
     if kind == "phone":
         return text.lstrip("+")
     last = NOT_DIGIT.sub("", text)[-1]
     return text[:-1] + str((int(last) + 1) % 10)
 
 
-def examples(text: str) -> list[list[float]]:
-    """Training rows: label, own shape, and how many neighbours of each edge kind have each label."""
+def examples(text: str) -> tuple[list[list[float]], list[tuple[int, int, int]]]:
+    """What a whole document teaches: rows of (label, shapes of a group, mean labels around it), and the pairs
+    (kind, label, label) of its proved occurrences with another of their group."""
     spans = base_spans(text)
-    nodes = candidates(text)[:TRAINING_NODES]
+    nodes = candidates(text)
     labels = [_label(n, spans) for n in nodes]
-    around = np.zeros((len(nodes), EDGE_KINDS, len(LABELS)))
-    for a, b, kind in edges(nodes):
-        around[a, kind, labels[b]] += 1
-        around[b, kind, labels[a]] += 1
-    out = []
-    for node, label, near in zip(nodes, labels, around):
-        out.append([label, *shape(node), *near.ravel()])
+    around = np.zeros((len(nodes), len(LABELS)))
+    for i in range(len(nodes) - 1):
+        around[i, labels[i + 1]] += 1
+        around[i + 1, labels[i]] += 1
+    rows, pairs = [], []
+    for members in grouped(nodes).values():
+        shapes = [shape(nodes[i]) for i in members]
+        proved = [i for i in members if labels[i]]
+        label = labels[proved[0]] if proved else 0
+        near = around[members].mean(axis=0).tolist()
+        rows.append([label, *any_shape(shapes), *near])
+        for i, j in zip(proved, proved[1:]):
+            pairs.append((SAME if nodes[i].core == nodes[j].core else SIMILAR, labels[i], labels[j]))
         if label:
-            copy = _node(broken(node.text, label), 0, len(broken(node.text, label)))
-            for kind, truth in ((None, 0), (1, label), (2, label)):
-                tied = np.zeros((EDGE_KINDS, len(LABELS)))
-                tied[0] = near[0]
-                if kind:
-                    tied[kind, label] = 1
-                out.append([truth, *shape(copy), *tied.ravel()])
-    return out
-
-
-def fit(rows: np.ndarray) -> Field | None:
-    """Pseudo-likelihood: each label given the true labels around it, by accelerated gradient descent."""
+            own = nodes[proved[0]].text
+            copy = broken(own, label)
+            copies = [shape(_node(copy, 0, len(copy)))]
+            rows.append([0, *copies[0], *near])
+            rows.append([label, *any_shape([shape(nodes[proved[0]]), *copies]), *near])
+    return rows, pairs
+
+
+def fit(rows: np.ndarray, pairs: np.ndarray) -> Field | None:
+    """The likelihood of each label given its group's shapes and the labels around, by accelerated gradient descent; rows count as often as they come."""
     if not len(rows) or len(set(rows[:, 0])) < 2:
         return None
     distinct, weight = np.unique(rows, axis=0, return_counts=True)
@@ -276,47 +333,57 @@ def fit(rows: np.ndarray) -> Field | None:
         after = ahead - step * (x.T @ (weight[:, None] * (p - truth)) + PENALTY * ahead)
         ahead = after + n / (n + 3) * (after - w)
         w = after
-    pair = w[SHAPES:].reshape(EDGE_KINDS, len(LABELS), len(LABELS))
-    return Field(w[:SHAPES], (pair + pair.transpose(0, 2, 1)) / 2)
+    chain = w[SHAPES:]
+    agree = np.full((2, len(LABELS), len(LABELS)), OTHERWISE) + (AGREEING - OTHERWISE) * np.eye(len(LABELS))
+    for kind, one, other in pairs.tolist():
+        agree[kind, one, other] += 0.5
+        agree[kind, other, one] += 0.5
+    # Rows are distributions: a candidate without evidence of its own tells its hub nothing.
+    return Field(w[:SHAPES], (chain + chain.T) / 2, np.log(agree / agree.sum(axis=2, keepdims=True)))
+
+
+def _digest(text: Column) -> Column:
+    return F.sha2(F.coalesce(text, F.lit("")), 256)
 
 
 def train(docs: DataFrame) -> Field | None:
-    """The field from a bounded sample of documents with a base span; only its examples reach the driver."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    # Cheap signs of a base span choose the documents; the base patterns label them.
-    likely = rows.where(F.col("text").contains("@") | F.col("text").contains("+") | F.col("text").rlike("[0-9]{7}|[0-9][.][0-9]"))
-    sample = stage(likely.select("doc_id", F.xxhash64("text").alias("print")).orderBy(F.xxhash64("doc_id"), "doc_id", "print").limit(TRAINING), "pii-sample")
-    texts = rows.withColumn("print", F.xxhash64("text")).join(F.broadcast(sample.distinct()), ["doc_id", "print"], "left_semi")
+    """The field from a bounded sample of texts with a base span; only its examples reach the driver, counted."""
+
+    def kinds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [{s[2] for s in base_spans(text.as_py())} for text in batch.column(0)]
+            rows = [(d.as_py(), k) for d, own in zip(batch.column(1), found) for k in sorted(own)]
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.string()) for i in (0, 1)], ["digest", "kind"])
+
+    texts = docs.select(F.coalesce("text", F.lit("")).alias("text"), _digest(F.col("text")).alias("digest"))
+    proved = stage(texts.mapInArrow(kinds, "digest string, kind string").distinct(), "pii-proved")
+    shares = [proved.where(F.col("kind") == k).orderBy("digest").limit(TRAINING // len(KINDS)).select("digest") for k in KINDS]
+    sample = stage(reduce(DataFrame.unionByName, shares).distinct(), "pii-sample")  # at most TRAINING rows
+    chosen = texts.join(F.broadcast(sample), "digest").groupBy("digest").agg(F.min("text").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [e for text in batch.column(0) for e in examples(text.as_py())]
-            yield pa.RecordBatch.from_arrays([pa.array(found, pa.list_(pa.float32()))], ["row"])
+            found = [examples(text.as_py()) for text in batch.column(0)]
+            rows = [[0.0, *row] for own, _ in found for row in own] + [[1.0, *map(float, p)] for _, own in found for p in own]
+            yield pa.RecordBatch.from_arrays([pa.array(rows, pa.list_(pa.float64()))], ["row"])
 
-    counted = texts.select("text").mapInArrow(run, "row array<float>").groupBy("row").count()
-    found = counted.orderBy("row").toPandas()
-    if found.empty:
-        return None
-    rows_ = np.repeat(np.stack(found["row"].to_list()), found["count"].to_numpy(), axis=0)
-    return fit(rows_.astype(np.float64))
+    counted = chosen.select("text").mapInArrow(run, "row array<double>").groupBy("row").count()
+    found = counted.orderBy("row").collect()
+    def repeated(which: float, width: int) -> np.ndarray:
+        rows = [(r.row[1:], r["count"]) for r in found if r.row[0] == which]
+        values = np.array([r for r, _ in rows]).reshape(len(rows), width)
+        return np.repeat(values, [n for _, n in rows], axis=0)
+    return fit(repeated(0.0, 1 + SHAPES + len(LABELS)), repeated(1.0, 3).astype(int))
 
 
-def field_spans(field: Field, texts: list[str]) -> list[list[Span]]:
-    """Spans that the field labels, for each text; one graph holds the whole batch."""
+def field_spans(field: Field, texts: list[str], skip: bool = True) -> list[list[Span]]:
+    """Spans that the field labels, for each text."""
     nodes = [candidates(t) for t in texts]
-    x = [shape(n) for own in nodes for n in own]
-    if not x:
-        return [[] for _ in texts]
-    links, first = [], 0
-    for own in nodes:
-        links += [(first + a, first + b, kind) for a, b, kind in edges(own)]
-        first += len(own)
-    labels = infer(field, np.asarray(x), np.asarray(links, int).reshape(-1, 3)).tolist()
-    out, at = [], 0
-    for own in nodes:
-        out.append([(n.start, n.end, LABELS[y]) for n, y in zip(own, labels[at:at + len(own)]) if y])
-        at += len(own)
-    return out
+    found = beliefs(field, [graph_of(own, skip) for own in nodes])
+    return [
+        [(n.start, n.end, LABELS[y]) for n, y in zip(own, b[: len(own)].argmax(axis=1).tolist()) if y]
+        for own, b in zip(nodes, found)
+    ]
 
 
 def merged(base: list[Span], added: list[Span]) -> list[Span]:
