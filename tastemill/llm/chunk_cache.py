@@ -26,8 +26,12 @@ def slices(texts: list[str], chars: int = SLICE_CHARS) -> Iterator[list[str]]:
 class ChunkCache:
     """Two generations: when the young one is full it becomes the old one, and hits there come back."""
 
-    def __init__(self, learn: Callable[[list[str]], list[bytes]], size: int = CHUNKS):
-        self.learn, self.size = learn, size
+    def __init__(
+        self, learn: Callable[[list[str]], list[bytes]], size: int = CHUNKS,
+        dropped: Callable[[Callable[[str], bool]], None] | None = None,
+    ):
+        """``dropped`` is told, each time chunks were forgotten, how to ask which are still known."""
+        self.learn, self.size, self.dropped = learn, size, dropped
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
@@ -40,6 +44,8 @@ class ChunkCache:
             found.update(zip(new, self.learn(new)))
         if len(self.young) + len(found) > self.size:
             self.old, self.young = self.young, {}
+            if self.dropped:
+                self.dropped(lambda chunk: chunk in self.old or chunk in found)
         self.young.update(found)
         return found
 

@@ -4,13 +4,14 @@ The model's protobuf is parsed here and rebuilt: normaliser, metaspace marker, u
 scores or merges in the order of the pieces' scores, and byte fallback. Texts are encoded in
 multithreaded batches of distinct chunks: where no piece has the marker after another
 character, tokens never cross a space that follows a non-space, so a chunk encodes as
-inside its text. Each distinct chunk is verified once: its ids must equal those of the
-sentencepiece library (which wins otherwise, and the row says so) and decode to the chunk.
-Models with a character map or user symbols, and texts that hold the marker itself, are
-encoded and verified whole.
+inside its text. The ids are the rebuilt tokenizer's. ``parity`` says that the sentencepiece library gives
+the same ids, for each distinct chunk of the document or, with a model that has a character map or user symbols and
+for texts that hold the marker itself, for the whole text. ``round_trip`` says that the document's ids decode to its
+normalised text; every document is decoded from the ids that are returned.
 
 Null texts are empty texts and give no ids. Repeated rows and null doc_ids are rows like any
-other. An empty table gives no rows.
+other, and no tie can arise. Texts of any length are encoded whole; chunks are remembered up to a bound. Other columns are
+ignored whatever their names. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -23,6 +24,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -171,26 +173,28 @@ class Codec:
             and not any(k == USER_DEFINED for _, _, k in m.pieces)
             and not any(MARK in t.lstrip(MARK) for t, _, k in m.pieces if k == NORMAL)
         )
-        self.cache = ChunkCache(self._learn)  # a chunk's ids, by what follows its first space
-        self.odd: set[str] = set()  # chunks whose ids differ from the library's
-        self.lossy: set[str] = set()  # chunks that don't decode to themselves
+        self.cache = ChunkCache(self._learn, dropped=self._forget)  # a chunk's ids, by what follows its first space
+        self.odd: set[str] = set()  # remembered chunks whose ids differ from the library's
+        # What each piece decodes to; byte pieces only do so together.
+        self.texts = pa.array(["" if k == BYTE else self.parts.decode([i], skip_special_tokens=False) for i, (_, _, k) in enumerate(m.pieces)])
+        self.bytes = np.array([k == BYTE for _, _, k in m.pieces])
 
     def _learn(self, chunks: list[str]) -> list[bytes]:
         marked = [(" " + c).replace(" ", MARK) for c in chunks]
         made = [e.ids for e in self.parts.encode_batch_fast(marked, add_special_tokens=False)]
         expected = self.judge.encode(chunks, num_threads=1)
-        back = self.parts.decode_batch(made, skip_special_tokens=False)
         out = []
-        for chunk, ids, want, text in zip(chunks, made, expected, back):
+        for chunk, ids, want in zip(chunks, made, expected):
             if not chunk:  # a space at the end: alone it would be an empty text
                 want = [self.judge.piece_to_id(MARK)]
             if ids != want:
                 self.odd.add(chunk)
-            if text != " " + chunk:
-                self.lossy.add(chunk)
-            out.append(np.asarray(want, "<i4").tobytes())
+            out.append(np.asarray(ids, "<i4").tobytes())
         return out
 
+    def _forget(self, known) -> None:
+        self.odd = {c for c in self.odd if known(c)}
+
     @staticmethod
     def _chunks(text: str) -> list[str]:
         pieces = text.split(" ")
@@ -205,29 +209,46 @@ class Codec:
                 spaces += " "
         return out
 
-    def _encode_whole(self, text: str) -> tuple[bytes, bool, bool]:
+    def _encode_whole(self, text: str) -> tuple[bytes, bool]:
         made = self.whole.encode(text, add_special_tokens=False).ids
-        want = self.judge.encode(text)
+        return np.asarray(made, "<i4").tobytes(), made == self.judge.encode(text)
+
+    def _normal(self, text: str) -> str:
+        """What a text should decode to."""
         normal = self.judge.normalize(text).replace(MARK, " ")
-        back = self.whole.decode(want, skip_special_tokens=False)
-        return np.asarray(want, "<i4").tobytes(), made == want, back == (normal[1:] if normal[:1] == " " else normal)
+        return normal[1:] if self.model.dummy_prefix and normal[:1] == " " else normal
 
     def encode(self, texts: list[str]) -> list[tuple[bytes, bool, bool]]:
-        """For each text its ids, whether both libraries agree, and whether it decodes to its normal form."""
+        """For each text its ids, whether both libraries agree, and whether the ids decode to its normal form."""
         cut = [self._chunks(t) if self.chunked and t and MARK not in t else None for t in texts]
         self.cache.prepare(chunks for chunks in cut if chunks)
-        out = []
+        made = []
         for text, chunks in zip(texts, cut):
             if chunks:
-                ids = b"".join(self.cache.values(chunks))
-                out.append((ids, self.odd.isdisjoint(chunks), self.lossy.isdisjoint(chunks)))
+                made.append((b"".join(self.cache.values(chunks)), self.odd.isdisjoint(chunks)))
             else:
-                out.append(self._encode_whole(text) if text else (b"", True, True))
+                made.append(self._encode_whole(text) if text else (b"", True))
+        back = self.decode([ids for ids, _ in made])
+        return [
+            (ids, parity, got == (text if chunks or not text else self._normal(text)))
+            for (ids, parity), text, chunks, got in zip(made, texts, cut, back)
+        ]
+
+    def decode(self, rows: list[bytes]) -> list[str]:
+        """The texts of rows of ids; those without byte pieces are their pieces' texts side by side."""
+        ids = np.frombuffer(b"".join(rows), "<i4")
+        ends = np.concatenate([[0], np.cumsum([len(r) // 4 for r in rows])]).astype(np.int64)
+        before = np.concatenate([[0], np.cumsum(self.bytes[ids])])
+        with_bytes = (before[ends[1:]] > before[ends[:-1]]).tolist()
+        pieces = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), self.texts.take(pa.array(ids)))
+        out = pc.binary_join(pieces, "").to_pylist()
+        for n, fallback in enumerate(with_bytes):
+            if fallback:
+                out[n] = self.whole.decode(ids[ends[n]:ends[n + 1]].tolist(), skip_special_tokens=False)
+            elif self.model.dummy_prefix and out[n][:1] == " ":
+                out[n] = out[n][1:]
         return out
 
-    def decode(self, ids: list[int]) -> str:
-        return self.whole.decode(ids, skip_special_tokens=False)
-
 
 @lru_cache(maxsize=1)
 def codec_of(path: str, threads: int) -> Codec:
@@ -263,7 +284,7 @@ def decode_ids(encoded: DataFrame, path: str, threads: int = THREADS) -> DataFra
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = codec_of(path, threads)
         for batch in batches:
-            texts = codec.whole.decode_batch([ids or [] for ids in batch.column(1).to_pylist()], skip_special_tokens=False)
+            texts = codec.decode([np.asarray(ids or [], "<i4").tobytes() for ids in batch.column(1).to_pylist()])
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], ["doc_id", "text"])
 
     return encoded.select(F.col("doc_id").cast("long").alias("doc_id"), "ids").mapInArrow(run, "doc_id long, text string")

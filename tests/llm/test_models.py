@@ -262,7 +262,38 @@ def test_pieces_of_odd_texts():
     draw = random.Random(5)
     texts = ["".join(draw.choice("  ab▁.é🙂\n<s>") for _ in range(draw.randint(0, 12))) for _ in range(2000)]
     got = codec.encode(texts)
-    assert [list(struct.unpack(f"<{len(ids) // 4}i", ids)) for ids, _, _ in got] == judge.encode(texts)
+    rows = [list(struct.unpack(f"<{len(ids) // 4}i", ids)) for ids, _, _ in got]
+    assert rows == judge.encode(texts) and all(parity for _, parity, _ in got)
+    library = codec.whole.decode_batch(rows, skip_special_tokens=False)
+    assert codec.decode([ids for ids, _, _ in got]) == library
+    assert [back for _, _, back in got] == [t == codec._normal(text) if "▁" in text else t == text for t, text in zip(library, texts)]
+
+
+def test_a_differing_library_is_seen_and_the_ids_stay_ours(monkeypatch):
+    """Parity and round trip are of the document, also after its chunks were forgotten."""
+    codec = sentencepieces.Codec(PIECES)
+    texts = ["one two", "three two", "four"]
+    want = [ids for ids, _, _ in codec.encode(texts)]
+
+    class Other:
+        def __init__(self, judge):
+            self.judge = judge
+
+        def encode(self, texts, **options):
+            return [[1] if t == "two" else ids for t, ids in zip(texts, self.judge.encode(texts, **options))]
+
+        def __getattr__(self, name):
+            return getattr(self.judge, name)
+
+    other = sentencepieces.Codec(PIECES)
+    other.judge, other.cache.size = Other(other.judge), 3
+    for _ in range(3):
+        got = other.encode(texts)
+        assert [ids for ids, _, _ in got] == want
+        assert [parity for _, parity, _ in got] == [False, False, True] and all(back for *_, back in got)
+        assert other.encode([f"w{i}" for i in range(9)]) and len(other.odd) <= 1
+    other.texts = other.texts.take(__import__("pyarrow").array([0] * len(other.texts)))
+    assert not any(back for *_, back in other.encode(texts))
 
 
 def test_unigram_model_with_byte_fallback(tmp_path):
