@@ -1,17 +1,21 @@
 """Toxicity by a chain of linear classifiers.
 
 A text's features are its terms, whole words and beginnings of words: whether it has one, and
-its share of the words. Categories are predicted in order; each later model sees the text's terms and the
-probabilities of all earlier categories. While training, those probabilities are out-of-fold
+its share of the words. Categories are predicted in order: low quality as labelled, then kinds of toxic texts that are found in
+the training texts, then toxicity as labelled. Each later model sees the text's terms and the
+probabilities of all earlier categories. The kinds are clusters of the toxic training texts by the terms that they
+have, larger ones first; the terms are those most uneven between the classes, so no word is given beforehand. While training, those probabilities are out-of-fold
 predictions, so a later model never sees an earlier one's fit to its own rows. Folds keep
 likely near copies (one min-hash over a text's word triples) together, and such a group weighs as one.
 
 Training takes at most POSITIVES and NEGATIVES labelled documents, those with the least hash of
 their id; a class cut to that counts with the weight of all its labels, so that the chain, its threshold
 and the share of toxic labels follow the whole table. Scoring covers every document and its whole text. Null texts are empty texts. A
-label with a null id or value is none; of repeated labels any toxic one counts. Without
+label with a null id or value is none (a null quality says nothing against a text); of repeated labels any toxic or low one
+counts, of several texts with one labelled id the least. Without
 labels of both classes nothing is toxic and all probabilities are the share of toxic labels (0
-without any). Rows with null or repeated doc_ids are scored like any other.
+without any). Rows with null or repeated doc_ids are scored like any other, ties of terms go to the first in order, of texts
+to the least. Other columns are ignored whatever their names. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -37,14 +41,11 @@ FOLDS = 4
 PENALTY = 1e-3
 STEPS = 150
 LEAST_PRECISION = 0.99
+FEED = 0.05  # probabilities go to later links as log-odds between this and 1 less this
 
-# Seed words by which a toxic training text belongs to a category.
-CATEGORIES = {
-    "insult": "idiot moron stupid clown loser fool dumb imbecile",
-    "contempt": "worthless pathetic disgusting useless hopeless",
-    "dehumanising": "trash scum vermin filth garbage subhuman",
-}
-CHAIN = (*CATEGORIES, "toxic")
+KINDS = 3  # of toxic texts
+ROUNDS = 30
+CHAIN = ("low_quality", *[f"kind_{n}" for n in range(1, KINDS + 1)], "toxic")
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:
@@ -52,7 +53,7 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
 
 
 def logit(p: np.ndarray) -> np.ndarray:
-    p = np.clip(p, 1e-4, 1 - 1e-4)
+    p = np.clip(p, FEED, 1 - FEED)
     return np.log(p / (1 - p))
 
 
@@ -109,17 +110,22 @@ def fit_chain(
     for link in range(labels.shape[1]):
         y = labels[:, link].astype(np.float64)
         inputs = np.hstack([x, *[logit(p)[:, None] for p in earlier]])
-        held_out = np.zeros(len(x))
-        for f in range(FOLDS):
-            away = fold == f
-            if away.any() and not away.all():
-                held_out[away] = predict(fit_linear(inputs[~away], y[~away], weight[~away]), inputs[away])
-        earlier.append(held_out)
+        earlier.append(out_of_fold(inputs, y, weight, fold))
         weights.append(fit_linear(inputs, y, weight))
     base = float(np.average(labels[:, -1], weights=stands_for))
     return Chain(terms, weights, best_threshold(earlier[-1], labels[:, -1], weight), base)
 
 
+def out_of_fold(inputs: np.ndarray, y: np.ndarray, weight: np.ndarray, fold: np.ndarray) -> np.ndarray:
+    """Each row's probability by the model of all other folds' rows."""
+    held_out = np.zeros(len(y))
+    for f in range(FOLDS):
+        away = fold == f
+        if away.any() and not away.all():
+            held_out[away] = predict(fit_linear(inputs[~away], y[~away], weight[~away]), inputs[away])
+    return held_out
+
+
 def best_threshold(p: np.ndarray, y: np.ndarray, weight: np.ndarray) -> float:
     """The lowest threshold whose held-out precision reaches LEAST_PRECISION; without one, the most precise."""
     best = (-1.0, 0.5)
@@ -134,11 +140,44 @@ def best_threshold(p: np.ndarray, y: np.ndarray, weight: np.ndarray) -> float:
     return best[1]
 
 
+def find_kinds(x: np.ndarray, weight: np.ndarray, kinds: int = KINDS) -> np.ndarray:
+    """The kind of each row, from 0 in the order of their weights: clusters by the angle between rows of terms.
+
+    The first centre is the direction of all rows, each next one the row farthest from those before, so that
+    the same rows always give the same kinds. Rows without a term are of the first kind.
+    """
+    rows = x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
+    found = np.zeros(len(x), int)
+    if not len(x):
+        return found
+    centres = [(weight[:, None] * rows).sum(axis=0)]
+    centres[0] = centres[0] / max(np.linalg.norm(centres[0]), 1e-12)
+    for _ in range(kinds - 1):
+        nearest = (rows @ np.array(centres).T).max(axis=1)
+        centres.append(rows[np.argmin(np.where(rows.any(axis=1), nearest, np.inf))])
+    middle = np.array(centres)
+    for _ in range(ROUNDS):
+        fresh = (rows @ middle.T).argmax(axis=1)
+        if (fresh == found).all() and _:
+            break
+        found = fresh
+        for kind in range(kinds):
+            total = (weight[:, None] * rows)[found == kind].sum(axis=0)
+            if total.any():
+                middle[kind] = total / np.linalg.norm(total)
+    order = np.argsort([-weight[found == kind].sum() for kind in range(kinds)], kind="stable")
+    return np.argsort(order)[found]
+
+
 def training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(id, text, words, toxic, stands_for, group) of the labelled sample, staged."""
+    """(id, text, words, toxic, low_quality, stands_for, group) of the labelled sample, staged."""
+    low = F.col("quality") == 0 if "quality" in labels.columns else F.lit(False)
     truth = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull()).groupBy(
         F.col("doc_id").cast("long").alias("id")
-    ).agg(F.max("toxic").cast("int").alias("toxic"))
+    ).agg(
+        F.max("toxic").cast("int").alias("toxic"),
+        F.coalesce(F.max(low.cast("int")), F.lit(0)).alias("low_quality"),
+    )
     known = truth.join(docs.select(F.col("doc_id").cast("long").alias("id")).distinct(), "id", "left_semi")
     known = stage(known, "toxicity-labels")
     counts = {r.toxic: r["count"] for r in known.groupBy("toxic").count().collect()}
@@ -150,7 +189,7 @@ def training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
     taken = taken.withColumn("stands_for", F.when(F.col("toxic") == 1, share[0]).otherwise(share[1]))
     taken = stage(taken, "toxicity-sample")  # at most POSITIVES + NEGATIVES rows
     texts = docs.select(F.col("doc_id").cast("long").alias("id"), F.coalesce("text", F.lit("")).alias("text"))
-    met = texts.join(F.broadcast(taken), "id").dropDuplicates(["id"])
+    met = texts.join(F.broadcast(taken), "id").groupBy(*taken.columns).agg(F.min("text").alias("text"))
     met = met.withColumn("words", F.split(F.lower("text"), r"[^\p{L}]+"))
     last = F.greatest(F.size("words") - 2, F.lit(1))
     pieces = F.transform(F.sequence(F.lit(1), last), lambda i: F.xxhash64(F.slice("words", i, F.lit(3))))
@@ -186,13 +225,17 @@ def fit(docs: DataFrame, labels: DataFrame) -> Chain:
     base = rows.agg(F.sum(F.col("toxic") * F.col("stands_for")) / F.sum("stands_for")).first()[0] or 0.0
     if not terms:
         return Chain([], [], 1.0, base)
-    seeds = [F.arrays_overlap("words", F.array(*map(F.lit, CATEGORIES[c].split()))).alias(c) for c in CATEGORIES]
     found = rows.select("id", "text").mapInArrow(_feature_batches(terms), "id long, features array<float>")
-    sample = rows.select("id", "group", "toxic", "stands_for", *seeds).join(found, "id").orderBy("id").toPandas()
+    sample = rows.select("id", "group", "toxic", "low_quality", "stands_for").join(found, "id").orderBy("id").toPandas()
     x = np.stack(sample["features"].to_list())
     toxic = sample["toxic"].to_numpy(int)
-    truth = np.stack([*[sample[c].to_numpy(int) * toxic for c in CATEGORIES], toxic], axis=1)
-    return fit_chain(x, truth, sample["group"].fillna(0).to_numpy(), terms, sample["stands_for"].to_numpy())
+    groups = sample["group"].fillna(0).to_numpy()
+    truth = np.zeros((len(x), len(CHAIN)), int)
+    truth[:, 0], truth[:, -1] = sample["low_quality"].to_numpy(int), toxic
+    mine = np.flatnonzero(toxic)
+    _, member, sizes = np.unique(groups[mine], return_inverse=True, return_counts=True)
+    truth[mine, 1 + find_kinds(x[mine, : len(terms)], 1 / sizes[member])] = 1
+    return fit_chain(x, truth, groups, terms, sample["stands_for"].to_numpy())
 
 
 def _automaton(terms: Sequence[str]):
@@ -248,7 +291,7 @@ class Scorer:
 
 
 def score(docs: DataFrame, chain: Chain) -> DataFrame:
-    """(doc_id, p_insult, p_contempt, p_dehumanising, p_toxic, toxic) of every row."""
+    """(doc_id, one probability per category of CHAIN, toxic) of every row."""
     names = [f"p_{c}" for c in CHAIN]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -198,6 +198,76 @@ def test_toxicity_on_held_out_rows(spark):
     assert kept.columns == docs.columns
 
 
+def test_a_chain_is_no_worse_than_one_model(spark):
+    """On held-out rows of a larger table, by the area under the curve, log loss and errors at a half."""
+    import numpy as np
+
+    sf = "/root/testdata/sf0.1"
+    docs, labels = table(spark, sf, "documents"), table(spark, sf, "labels")
+    rows = toxicity.training_rows(docs, labels)
+    train, rest = rows.where("id % 3 <> 0"), rows.where("id % 3 = 0")
+    terms = toxicity.choose_terms(train)
+    def matrix(part):
+        found = part.select("id", "text").mapInArrow(toxicity._feature_batches(terms), "id long, features array<float>")
+        table_ = part.select("id", "group", "toxic", "low_quality").join(found, "id").orderBy("id").toPandas()
+        return np.stack(table_["features"].to_list()), table_
+    (x, known), (away, truth) = matrix(train), matrix(rest)
+    y, groups = known["toxic"].to_numpy(int), known["group"].fillna(0).to_numpy()
+    chained = np.zeros((len(y), len(toxicity.CHAIN)), int)
+    chained[:, 0], chained[:, -1] = known["low_quality"], y
+    mine = np.flatnonzero(y)
+    kinds = toxicity.find_kinds(x[mine, : len(terms)], np.ones(len(mine)))
+    chained[mine, 1 + kinds] = 1
+    assert (np.bincount(kinds, minlength=toxicity.KINDS) > 0).all()  # the data have that many kinds of toxic texts
+    want = truth["toxic"].to_numpy()
+    def judge(labels):
+        p = toxicity.fit_chain(x, labels, groups, terms).scores(away)[:, -1]
+        above = (p[want == 1][:, None] > p[want == 0]).mean() + (p[want == 1][:, None] == p[want == 0]).mean() / 2
+        return above, ((p >= 0.5) != want).mean(), -np.log(np.where(want == 1, p, 1 - p) + 1e-9).mean()
+    chain, single = judge(chained), judge(chained[:, -1:])
+    print("chain:", chain, "one model:", single)
+    assert chain[0] >= single[0] - 0.002 and chain[1] <= single[1] + 0.001 and chain[2] <= single[2]
+
+
+def test_links_learn_from_out_of_fold_probabilities():
+    import numpy as np
+
+    draw = np.random.default_rng(4)
+    x = draw.normal(size=(120, 3)).astype(np.float32)
+    labels = np.stack([x[:, 0] + draw.normal(size=120) > 0, x[:, 1] + x[:, 0] > 0.5], axis=1).astype(int)
+    groups = draw.integers(0, 50, 120)
+    chain = toxicity.fit_chain(x, labels, groups, [])
+    _, member, sizes = np.unique(groups, return_inverse=True, return_counts=True)
+    weight, fold = 1 / sizes[member], member % toxicity.FOLDS
+    held = np.zeros(120)
+    for n in range(120):  # row by row: the model of the rows outside its fold
+        others = fold != fold[n]
+        w = toxicity.fit_linear(x[others], labels[others, 0].astype(float), weight[others])
+        held[n] = toxicity.predict(w, x[n : n + 1])[0]
+    want = toxicity.fit_linear(np.hstack([x, toxicity.logit(held)[:, None]]), labels[:, 1].astype(float), weight)
+    assert np.allclose(chain.weights[1], want, atol=1e-4)
+
+
+def test_kinds_are_found_in_the_data():
+    import numpy as np
+
+    rows = np.zeros((60, 9))
+    for n in range(60):
+        kind = 0 if n < 30 else 1 if n < 50 else 2
+        rows[n, 3 * kind + n % 3] = rows[n, 3 * kind + (n + 1) % 3] = 1
+    order = np.random.default_rng(1).permutation(60)
+    got = toxicity.find_kinds(rows[order], np.ones(60))
+    assert got.tolist() == [0 if n < 30 else 1 if n < 50 else 2 for n in order]
+    assert toxicity.find_kinds(np.zeros((0, 4)), np.zeros(0)).tolist() == [] and set(toxicity.find_kinds(np.zeros((3, 4)), np.ones(3))) == {0}
+
+
+def test_the_least_text_of_a_repeated_id_trains(spark):
+    docs = spark.createDataFrame([(1, "b text"), (1, "a text"), (1, "c"), (2, "x"), (2, None)], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 0, 1), (2, 1, 0), (2, None, 0)], "doc_id long, quality int, toxic int")
+    rows = toxicity.training_rows(docs, labels).collect()
+    assert sorted((r.id, r.text, r.toxic, r.low_quality) for r in rows) == [(1, "a text", 1, 1), (2, "", 0, 0)]
+
+
 def test_toxicity_edge_cases(spark, edge_docs, edge_rows, no_docs):
     schema = "doc_id long, quality int, toxic int"
     none = spark.createDataFrame([], schema)
