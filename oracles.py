@@ -51,11 +51,13 @@ def recs_sql(pool: int, name: str = "recs", k: int = 100) -> str:
   QUALIFY "rank" <= {k})"""
 
 
-def metrics_sql(recs: str = "recs", out: str = "metrics", k: int = 100) -> str:
+def metrics_sql(recs: str = "recs", out: str = "metrics", k: int = 100, zero: bool = False) -> str:
+    """Means per split and label; users without a list are left out, or score 0."""
+    listed = "true" if zero else f"l.user_id IN (SELECT user_id FROM {recs})"
     return f"""{out}_sizes AS (
   SELECT l.user_id, l.split, l.label, count(*) AS n_labels FROM labels_long l
   JOIN cohort c ON c.user_id = l.user_id AND c.label = l.label
-  WHERE l.user_id IN (SELECT user_id FROM {recs}) GROUP BY ALL), {out}_hits AS (
+  WHERE {listed} GROUP BY ALL), {out}_hits AS (
   SELECT l.user_id, l.split, l.label, r."rank",
          row_number() OVER (PARTITION BY l.user_id, l.split, l.label ORDER BY r."rank") AS pos
   FROM labels_long l JOIN {recs} r ON r.user_id = l.user_id AND r.item_id = l.item_id), {out}_users AS (
@@ -215,6 +217,15 @@ SELECT user_id, item_id, is_read, rating, is_reviewed FROM inter JOIN buckets US
         f"split_{name}": f"WITH {SPLIT} SELECT * FROM dealt WHERE split = '{name}'"
         for name in ("train", "validation", "test")
     },
+    "split_seeded": f"""WITH {INTER}, ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY md5('7|' || row_key)) AS rn,
+         count(*) OVER (PARTITION BY user_id) AS n FROM inter)
+SELECT user_id, item_id, is_read, rating, is_reviewed, row_key,
+  CASE WHEN rn <= CAST(0.6 AS DOUBLE) * n THEN 'train' WHEN rn <= CAST(0.8 AS DOUBLE) * n THEN 'validation' ELSE 'test' END AS split
+FROM ranked WHERE n >= 5""",
+    "signal_combined_once": f"""WITH {SPLIT} SELECT user_id, item_id, max(score) AS score FROM (SELECT user_id, item_id,
+  CAST(CASE WHEN rating > 0 THEN rating WHEN is_reviewed = 1 THEN 2 WHEN is_read = 1 THEN 1 ELSE 0 END AS DOUBLE)
+  AS score FROM train) WHERE score > 0 GROUP BY user_id, item_id""",
     "signal_explicit": f"WITH {SPLIT} SELECT user_id, item_id, rating AS score FROM train WHERE rating > 0",
     "signal_implicit": f"""WITH {SPLIT} SELECT user_id, item_id,
   is_read + CAST(2.0 AS DOUBLE) * is_reviewed AS score FROM train WHERE is_read + 2 * is_reviewed > 0""",
@@ -233,6 +244,8 @@ SELECT user_id, item_id, is_read, rating, is_reviewed FROM inter JOIN buckets US
     "similar_pairs_lsh": pairs_sql(ORDER_READERS, 10, 0.9, True),
     "similar_pairs_words_exact": pairs_sql(WORD_READERS, 30, 0.8, False, WORD_CODE),
     "similar_pairs_words_lsh": pairs_sql(WORD_READERS, 30, 0.8, True, WORD_CODE),
+    "popularity_metrics_zero": f"""WITH {SPLIT}, {LABELS}, {COHORT}, {TOP}, {recs_sql(1)}, {metrics_sql(zero=True)}
+SELECT {ROUNDED} FROM metrics""",
     "ranked_lists": f"""WITH {SPLIT}, {TOP}, {recs_sql(1000)}
 SELECT user_id, string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY "rank") AS items FROM recs GROUP BY user_id""",
     "mean_rating_rmse": f"""WITH {SPLIT}, mean AS (
@@ -253,6 +266,13 @@ FROM train WHERE {SIGNALS[name][0]}""" for name in SIGNALS
   CAST(list_dot_product(u.v, i.v) AS BIGINT) AS score,
   CAST(row_number() OVER (PARTITION BY u.id ORDER BY list_dot_product(u.v, i.v) DESC, i.id) AS INTEGER) AS "rank"
 FROM u CROSS JOIN i WHERE i.id < u.id OR i.id > u.id + 39 QUALIFY "rank" <= 10"""),
+    "factor_missed": f"""WITH {GIVEN}, p AS (
+  SELECT u.id AS user_id, i.id AS item_id, list_dot_product(u.v, i.v) AS score, i.id < u.id OR i.id > u.id + 39 AS unseen,
+         row_number() OVER (PARTITION BY u.id ORDER BY list_dot_product(u.v, i.v) DESC, i.id) AS place
+  FROM u CROSS JOIN i), n AS (
+  SELECT user_id, least(10, count_if(unseen)) AS best_n, count_if(unseen AND place <= 10) AS own_n FROM p GROUP BY user_id)
+SELECT 'cut' AS lists, count(*) AS users, count_if(own_n < best_n) AS short, 0 AS beaten FROM n
+UNION ALL SELECT 'full', count(*), 0, 0 FROM n""",
     "factor_predictions": f"""WITH {GIVEN} SELECT u.id AS user_id, i.id AS item_id,
   CAST(list_dot_product(u.v, i.v) AS BIGINT) AS prediction
 FROM u JOIN i ON i.id > u.id AND i.id <= u.id + 39""",

@@ -91,7 +91,7 @@ def sample_users_bucketed(spark, sf_dir):
 
 def encode_ids(spark, sf_dir):
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
-    return tables.encode_ids(orders, "o_orderkey")
+    return tables.encode_ids(orders, "o_orderkey", work_dir=staged_path(spark, sf_dir, "distinct-ids"))
 
 
 def split_query(name):
@@ -101,12 +101,17 @@ def split_query(name):
     return run
 
 
-def popularity_metrics(spark, sf_dir, k=K, pool=1000, kinds=KINDS):
+def split_seeded(spark, sf_dir):
+    """Another order of the same rows: the split under a seed."""
+    return sampling.split_per_user(order_interactions(spark, sf_dir), seed=7)
+
+
+def popularity_metrics(spark, sf_dir, k=K, pool=1000, kinds=KINDS, missing="drop"):
     train = _train(spark, sf_dir)
     labels = signals.build_labels(_held_out(spark, sf_dir), sorted({l for _, l in kinds}))
     labels = labels.where(F.col("split").isin(*sorted({s for s, _ in kinds})))
     hits = popularity.popularity_hits(train, labels, k, pool)
-    return evaluate_ranking(hits, labels, kinds, signals.popularity_cohort(train), k)
+    return evaluate_ranking(hits, labels, kinds, signals.popularity_cohort(train), k, missing)
 
 
 def popularity_metrics_query(split, label):
@@ -197,6 +202,18 @@ def factor_topk_query(k=10, pool=50, full=False):
     return run
 
 
+def factor_missed(spark, sf_dir, k=10):
+    """What a pool of k misses, and what full lists miss."""
+    model, users, seen = _given_factors(spark, sf_dir)
+    rows = [
+        checks.missed_items(model, als.recommend_topk(model, users, seen, k, k, full), seen, users, k, k + 40).select(
+            F.lit(name).alias("lists"), "*"
+        )
+        for name, full in (("cut", False), ("full", True))
+    ]
+    return rows[0].unionByName(rows[1])
+
+
 def factor_predictions(spark, sf_dir):
     model, _, seen = _given_factors(spark, sf_dir)
     return als.predict_ratings(model, seen).withColumn("prediction", F.col("prediction").cast("long"))
@@ -341,6 +358,8 @@ QUERIES = {
     "sample_users_bucketed": sample_users_bucketed,
     "eligible_users": lambda s, d: sampling.eligible_users(order_interactions(s, d)),
     **{f"split_{name}": split_query(name) for name in sampling.SPLITS},
+    "split_seeded": split_seeded,
+    "signal_combined_once": lambda s, d: signals.combined_signal(_train(s, d), 1.0, 2.0, dedupe=True),
     "signal_explicit": lambda s, d: signals.explicit_signal(_train(s, d)),
     "signal_implicit": lambda s, d: signals.implicit_signal(_train(s, d)),
     "signal_combined": lambda s, d: signals.combined_signal(_train(s, d), 1.0, 2.0),
@@ -363,6 +382,7 @@ QUERIES = {
         ]
     },
     "popularity_metrics": lambda s, d: rounded(popularity_metrics(s, d)),
+    "popularity_metrics_zero": lambda s, d: rounded(popularity_metrics(s, d, pool=1, missing="zero")),
     "ranked_lists": ranked_lists,
     "mean_rating_rmse": mean_rating_rmse,
     "grid_leaderboard": grid_leaderboard,
@@ -385,6 +405,7 @@ QUERIES = {
     "als_implicit_fit_checks": als_fit_checks_query(IMPLICIT),
     "factor_topk": factor_topk_query(),
     "factor_topk_full": factor_topk_query(pool=10, full=True),
+    "factor_missed": factor_missed,
     "factor_predictions": factor_predictions,
     "als_grid_leaderboard": als_grid_leaderboard,
     "als_select_and_test": als_select_and_test,

@@ -119,16 +119,19 @@ def export_csv(df: DataFrame, path: str) -> None:
     df.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
 
 
-def encode_ids(df: DataFrame, col: str, buckets: int = 1024) -> DataFrame:
+def encode_ids(df: DataFrame, col: str, buckets: int = 1024, work_dir: str | None = None) -> DataFrame:
     """Dense int32 ids 0..n-1 for the distinct values of a column: (raw_id, id).
 
     Values fall into hash buckets; each bucket numbers its own values and starts
-    where the buckets before it end, so no task sees more than one bucket.
+    where the buckets before it end, so no task sees more than one bucket. With ``work_dir`` the distinct
+    values are written there once instead of being found twice.
     """
     raw = df.select(F.col(col).alias("raw_id")).where(F.col("raw_id").isNotNull()).distinct()
     tagged = raw.withColumn(
         "bucket", (hex_int(F.md5(F.col("raw_id").cast("string").cast("binary")), 8) % buckets).cast("int")
     )
+    if work_dir is not None:
+        tagged = write_table(tagged, work_dir)
     # One row per bucket, so the unpartitioned window and the broadcast are bounded by `buckets`.
     starts = (
         tagged.groupBy("bucket").agg(F.count("*").alias("c"))
