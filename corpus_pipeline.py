@@ -1,4 +1,12 @@
-"""The corpus pipeline: five operators in a row over the documents, each on what the one before kept."""
+"""The corpus pipeline: five operators in a row over the documents, each on what the one before kept.
+
+Every stage takes whole rows and texts. Null texts are empty texts: they are one group of exact copies, have fingerprint
+0 and no words, so the mix takes none of them. Rows without a doc_id can't be labelled, lose against
+equal texts with one, and otherwise go through like any other. Of repeated rows one passes exact dedup; the mix may take it more
+than once. Ties go by each operator's own rule. Very long texts are neither cut nor dropped. The first four
+stages return the documents' own columns, further ones whatever their names included; the last returns doc_id and ids.
+An empty table of documents gives no rows, and without labels nothing is toxic.
+"""
 
 from __future__ import annotations
 
