@@ -15,7 +15,8 @@ else, and the page is looked at again.
 An inner container gets a page's vote in place of the best one only where what it leaves outside has
 no clean text, or a little that most such pages of the host have word for word beside other texts.
 
-Null html is empty html and gives an empty text. Rows that repeat a page_id are pages of
+Null html is empty html and gives an empty text; html of any length is read whole. Ties between paths go to the greater in
+order. Columns other than page_id, url and html are ignored whatever their names. Rows that repeat a page_id are pages of
 their own. Markup may be broken or cut short: open elements end with the page. An empty table
 gives no rows.
 """

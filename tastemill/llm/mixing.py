@@ -7,8 +7,9 @@ cut again by the next digits, and the last bucket's documents join if that bring
 nearer. Nothing is sorted, and the choice depends on the rows alone, so reruns agree.
 
 Null texts have size 0, a null source is a source of its own. Rows that agree in doc_id and
-text share a hash and are taken together. Sources without words have target 0. An empty
-table gives no rows.
+text share a hash and are taken together, so ties in the hash are taken or left as one. Sources without words have target
+0. Whole texts of any length are counted. Columns other than doc_id, text and source are ignored whatever their names; ``take_mix``
+returns them. An empty table gives no rows.
 """
 
 from __future__ import annotations

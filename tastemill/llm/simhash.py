@@ -16,7 +16,9 @@ however many near copies there are. Pairs that meet are verified by their bit di
 Only distinct fingerprints take part in joins. Components come from label spreading with
 pointer jumping over staged tables. Null texts are empty texts; texts without words have
 fingerprint 0. Rows with null doc_ids take part, and the component's id is the smallest id
-that isn't null. An empty table gives no rows.
+that isn't null. Repeated ids and rows are each fingerprinted, whole texts of any length are read. A bit that exactly half
+of the hashes set is 0. Columns other than doc_id and text are ignored whatever their names; ``drop_near_copies`` returns
+them, and of several rows with the smallest id the least. An empty table gives no rows.
 """
 
 from __future__ import annotations

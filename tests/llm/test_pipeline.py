@@ -35,6 +35,27 @@ def test_stages(spark):
     assert all(r.parity and r.round_trip for r in rows[4])
 
 
+def test_stages_on_edge_cases(spark, edge_docs, edge_rows, no_docs, tmp_path):
+    """Nulls, empty and very long texts, ties, repeated rows and ids, clashing names; then an empty table."""
+    labels = spark.createDataFrame([(1, 1, 0), (5, 0, 1), (None, 1, 1), (2, None, None)], "doc_id long, quality int, toxic int")
+    for name, docs in (("edge", edge_docs), ("none", no_docs)):
+        docs.write.parquet(str(tmp_path / name / "documents.parquet"))
+        labels.write.parquet(str(tmp_path / name / "labels.parquet"))
+    rows = corpus_pipeline.run(spark, str(tmp_path / "edge")).collect()
+    texts = {lowered(r[1]) for r in edge_rows}
+    left = table(spark, str(tmp_path / "edge"), "documents")
+    for _, make in corpus_pipeline.STAGES[:2]:
+        left = stage(make(spark, left, str(tmp_path / "edge")), "edge")
+        assert left.columns == edge_docs.columns
+    assert sorted(lowered(r.text) for r in left.collect()) == sorted(texts)
+    assert 0 < len({r.doc_id for r in rows}) <= len(texts)
+    assert all(r.parity and r.round_trip and r.n_tokens == len(r.ids) for r in rows)
+    assert max(Counter((r.doc_id, tuple(r.ids)) for r in rows).values()) <= 3
+    assert 40_000 <= max(r.n_tokens for r in rows)  # the long text is whole
+    empty = corpus_pipeline.run(spark, str(tmp_path / "none"))
+    assert empty.count() == 0 and empty.columns == ["doc_id", "ids", "n_tokens", "parity", "round_trip"]
+
+
 def test_oracles(spark):
     from tastemill.llm.queries import QUERIES
 
