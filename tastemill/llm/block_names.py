@@ -7,8 +7,9 @@ documents of the same round share a name only if their texts are equal. A hash o
 contents to the tasks that sort them.
 
 Null texts are empty texts, and empty texts are equal. Rows with null doc_ids take part and
-lose against any other id. Of rows that repeat doc_id and text, one is kept. An empty table
-gives no rows.
+lose against any other id. Of rows that repeat doc_id and text, one is kept, so no tie is left open. Whole texts of any
+length are cut. Columns other than doc_id and text are ignored whatever their names; ``drop_exact_copies`` returns them. An
+empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -16,39 +17,44 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tastemill.llm.common import HOT_KEYS, ascii_lower, join_counted, pick_rows, stage, table
+from tastemill.llm.common import HOT_KEYS, ascii_lower, join_counted, pick_rows, spelled, stage, table
 
 BLOCK = 2048
-SORT_BUCKETS = 1 << 14
+SORT_BUCKETS = 1 << 14  # at least
+BUCKET_ROWS = 50_000
 
 
 def named(rows: DataFrame, keep: list[str], stage_name: str) -> DataFrame:
     """Replace the column ``content`` by an integer ``name``, equal exactly where contents are equal.
 
-    Contents are dealt into buckets and ranked there, so a name is (bucket, rank). A content
-    with over 1 / HOT_KEYS of the rows would fill a bucket: there are fewer than HOT_KEYS
-    of these, they are ranked among themselves and looked up without a shuffle.
+    Contents are dealt into buckets and ranked there, so a name is (bucket, rank); there are more buckets the more
+    rows there are. A content with over 1 / HOT_KEYS of the rows would fill a bucket: there are fewer than HOT_KEYS
+    of these, they are ranked among themselves and looked up without a shuffle, and their rows go
+    through the ranking of the others without content, dealt by what is kept of them.
     """
     prints = rows.select(F.xxhash64("content").alias("print"))
     counts = stage(prints.groupBy("print").count(), f"{stage_name}-prints")
-    total = counts.agg(F.coalesce(F.sum("count"), F.lit(0))).first()[0]
-    likely = counts.where(F.col("count") * HOT_KEYS > total).select("print")
-    marked = rows.withColumn("print", F.xxhash64("content"))
-    hot = marked.join(F.broadcast(likely), "print", "left_semi").groupBy("content").count()
-    by_content = Window.orderBy("content")  # over fewer than HOT_KEYS rows
-    hot = stage(
-        hot.where(F.col("count") * HOT_KEYS > total).select(
-            F.col("content"), (F.row_number().over(by_content) - 1).cast("long").alias("name")
-        ), f"{stage_name}-hot",
-    )
-    met = rows.join(F.broadcast(hot), rows["content"] == hot["content"]).select(*keep, "name")
-    rest = rows.join(F.broadcast(hot.select("content")), "content", "left_anti")
-    bucket = F.pmod(F.xxhash64("content"), F.lit(SORT_BUCKETS))
+    total, most = counts.agg(F.coalesce(F.sum("count"), F.lit(0)), F.coalesce(F.max("count"), F.lit(0))).first()
+    buckets = max(SORT_BUCKETS, total // BUCKET_ROWS)
+    bucket = F.pmod(F.xxhash64("content"), F.lit(buckets))
+    if most * HOT_KEYS > total:
+        likely = counts.where(F.col("count") * HOT_KEYS > total).select("print")
+        marked = rows.withColumn("print", F.xxhash64("content"))
+        hot = marked.join(F.broadcast(likely), "print", "left_semi").groupBy("content").count()
+        by_content = Window.orderBy("content")  # over fewer than HOT_KEYS rows
+        hot = stage(
+            hot.where(F.col("count") * HOT_KEYS > total).select(
+                F.col("content"), (F.row_number().over(by_content) - 1).cast("long").alias("known")
+            ), f"{stage_name}-hot",
+        )
+        rows = rows.join(F.broadcast(hot), "content", "left")
+        bucket = F.when(F.col("known").isNull(), bucket).otherwise(-1 - F.pmod(F.xxhash64(*keep), F.lit(buckets)))
+        rows = rows.withColumn("bucket", bucket).withColumn("content", F.when(F.col("known").isNull(), F.col("content")))
+    else:
+        rows = rows.withColumn("bucket", bucket).withColumn("known", F.lit(None).cast("long"))
     rank = F.dense_rank().over(Window.partitionBy("bucket").orderBy("content")).cast("long")
-    rest = rest.withColumn("bucket", bucket).select(
-        *keep, (F.shiftleft(F.col("bucket") + 1, 40) + rank).alias("name")
-    )
-    return stage(met.unionByName(rest), f"{stage_name}-names")
+    name = F.coalesce("known", F.shiftleft(F.col("bucket") + 1, 40) + rank)
+    return stage(rows.select(*keep, name.alias("name")), f"{stage_name}-names")
 
 
 def blocks(text: Column) -> Column:
@@ -60,8 +66,9 @@ def blocks(text: Column) -> Column:
     return F.flatten(F.transform(F.array(text.cast("binary")), cut))
 
 
-def identities(docs: DataFrame) -> DataFrame:
-    """One row per distinct (doc_id, text_sha256): the round in which its text was named, and the name.
+def identities(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """One row per distinct (doc_id, text_sha256): the round in which its text was named, and the name; and how
+    often that row comes (``copies``).
 
     The digest only tells rows with the same doc_id apart.
     """
@@ -72,6 +79,7 @@ def identities(docs: DataFrame) -> DataFrame:
     )
     keys = ["doc_id", "text_sha256"]
     names = named(cut, [*keys, "pos"], "blocks")
+    copies = names.where("pos = 0").groupBy(*keys).agg(F.count(F.lit(1)).alias("copies"))
     done, step = [], 0
     while True:
         # A row of pairs per document and place. Copies of a row agree, so max is their common name.
@@ -93,16 +101,14 @@ def identities(docs: DataFrame) -> DataFrame:
     out = done[0]
     for more in done[1:]:
         out = out.unionByName(more)
-    return out
+    return out, copies
 
 
 def exact_groups(docs: DataFrame) -> DataFrame:
     """(doc_id, keep_id, group_size, kept, text_sha256) of every row; the largest doc_id of equal texts stays."""
     keys = ["doc_id", "text_sha256"]
-    copies = docs.select("doc_id", F.sha2(ascii_lower(F.col("text")), 256).alias("text_sha256")).groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("copies")
-    )
-    found = identities(docs).withColumnsRenamed({k: f"_{k}" for k in keys})
+    found, copies = identities(docs)
+    found = found.withColumnsRenamed({k: f"_{k}" for k in keys})
     on = copies["doc_id"].eqNullSafe(found["_doc_id"]) & (copies["text_sha256"] == found["_text_sha256"])
     members = stage(copies.join(found, on).select(*keys, "copies", "round", "name"), "members")
     groups = stage(
@@ -112,9 +118,8 @@ def exact_groups(docs: DataFrame) -> DataFrame:
     )
     total = members.count()
     rows = join_counted(members, groups, ["round", "name"], "_rows", total)
-    each = rows.select("*", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("copy"))
     kept = F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("copy") == 1)
-    return each.select("doc_id", "keep_id", "group_size", kept.alias("kept"), "text_sha256")
+    return spelled(rows, keys).select("doc_id", "keep_id", "group_size", kept.alias("kept"), "text_sha256")
 
 
 def drop_exact_copies(docs: DataFrame) -> DataFrame:

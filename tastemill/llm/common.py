@@ -74,8 +74,28 @@ def ranked(df: DataFrame, order: Sequence[Column], name: str, into: str) -> Data
     return dealt.join(before, "_range").withColumn(into, F.col("_before") + place).drop("_range", "_before")
 
 
+COPIES = 100_000  # of one row that a task spells out
+
+
+def spelled(rows: DataFrame, keys: Sequence[str], most: int | None = None) -> DataFrame:
+    """Every row as often as its ``copies`` say, numbered from 1 in ``copy``; many copies are spelled out in ranges by many tasks."""
+    most = most or COPIES
+    one = F.lit(1).cast("long")
+    few = rows.where(F.col("copies") <= most).withColumn("copy", F.explode(F.sequence(one, F.col("copies"))))
+    ranges = rows.where(F.col("copies") > most).withColumn(
+        "_from", F.explode(F.sequence(one, F.col("copies"), F.lit(most).cast("long")))
+    ).repartition(*keys, "_from")
+    last = F.least(F.col("_from") + most - 1, F.col("copies"))
+    many = ranges.withColumn("copy", F.explode(F.sequence("_from", last))).drop("_from")
+    return few.unionByName(many)
+
+
 def pick_rows(docs: DataFrame, kept: DataFrame, text: Column) -> DataFrame:
-    """The documents named by (doc_id, text_sha, copies) with all their columns; of fully repeated ones the least row."""
+    """The documents named by (doc_id, text_sha, copies) with all their columns; of fully repeated ones the least row.
+
+    Rows that come over total / HOT_KEYS times are fewer than HOT_KEYS by counting: they are met by a broadcast and
+    reduced where they lie, so a row that a third of the table repeats fills no task.
+    """
     kept = stage(
         kept.select(F.col("doc_id").alias("_id"), F.col("text_sha").alias("_sha"), F.col("copies").alias("_copies")), "kept"
     )
@@ -84,5 +104,8 @@ def pick_rows(docs: DataFrame, kept: DataFrame, text: Column) -> DataFrame:
     single = packed.join(kept.where("_copies = 1"), on).select("_row.*")
     if kept.where("_copies > 1").isEmpty():
         return single
-    several = packed.join(kept.where("_copies > 1"), on).groupBy("_id", "_sha").agg(F.min("_row").alias("_row"))
+    often = F.col("_copies") * HOT_KEYS > docs.count()
+    several = packed.join(F.broadcast(kept.where((F.col("_copies") > 1) & often)), on).unionByName(
+        packed.join(kept.where((F.col("_copies") > 1) & ~often), on)
+    ).groupBy("_id", "_sha").agg(F.min("_row").alias("_row"))
     return single.unionByName(several.select("_row.*"))
