@@ -6,6 +6,10 @@ are dealt into cells and packed in parallel into bundles of a fixed capacity; bu
 indivisible from then on. Large groups (fewer than shards x BUNDLES by counting) and
 bundles are then packed into the shards. A group is never cut, so one that exceeds the
 mean shard size has its shard to itself and the others share the rest.
+
+Null texts are empty texts, which are one group. Ties in size go by digest. Rows with null, repeated or equal ids and texts
+each have a slot; equal rows have neighbouring ones. Whole texts of any length are measured and never cut. Columns other
+than doc_id and text are ignored whatever their names. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -17,11 +21,12 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tastemill.llm.common import join_counted, stage, table
+from tastemill.llm.common import join_counted, spelled, stage, table
 
 ROW_BYTES = 16
 BUNDLES = 512  # bundles per shard: the grain of the second tier
 CELL_GROUPS = 100_000  # groups that one task packs
+MOST_CELLS = 50_000  # beyond it cells grow with the table, and no more units reach the driver
 SLOT_ROWS = 1000  # rows that one task numbers
 
 
@@ -119,7 +124,7 @@ def _groups(docs: DataFrame) -> DataFrame:
 
 def _bundled(groups: DataFrame, capacity: int, count: int) -> DataFrame:
     """First tier: (digest, rows, size, unit), where a unit is a bundle of small groups or one large group."""
-    cells = max(1, -(-count // CELL_GROUPS))
+    cells = min(MOST_CELLS, max(1, -(-count // CELL_GROUPS)))
 
     def pack(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["size", "digest"], ascending=[False, True], kind="stable")
@@ -152,7 +157,7 @@ def shard_by_bytes(docs: DataFrame, shards: int) -> DataFrame:
         F.coalesce(F.sum("size"), F.lit(0)), F.coalesce(F.sum("rows"), F.lit(0)), F.count(F.lit(1))
     ).first()
     units = stage(_bundled(groups, total // (shards * BUNDLES), count), "shard-units")
-    # At most about three units per bundle capacity and one per cell: its size doesn't follow the rows.
+    # At most about three units per bundle capacity and one per cell, and cells are at most MOST_CELLS.
     sizes = units.groupBy("unit").agg(F.sum("size").alias("size")).orderBy(F.desc("size"), "unit").toPandas()
     sizes["shard"] = tightest_fit(sizes["size"].tolist(), shards)
     placed = spark.createDataFrame(list(zip(sizes["unit"], sizes["shard"].astype(int))), "unit string, shard int")
@@ -161,16 +166,24 @@ def shard_by_bytes(docs: DataFrame, shards: int) -> DataFrame:
 
 
 def number_slots(placed: DataFrame, shards: int) -> DataFrame:
-    """Gapless slots from 0 in each shard: chunks are numbered apart and shifted by the chunks before."""
-    placed = stage(placed, "shard-placed")
-    chunks = max(1, -(-placed.count() // (shards * SLOT_ROWS)))
-    rows = placed.withColumn("_chunk", F.pmod(F.xxhash64("doc_id", "digest"), F.lit(chunks)))
-    counts = rows.groupBy("shard", "_chunk").count()
+    """Gapless slots from 0 in each shard: chunks are numbered apart and shifted by the chunks before.
+
+    Equal rows are counted first and take a range of slots together, so a row that a third of the table
+    repeats is one row of its chunk.
+    """
+    keys = placed.columns
+    counted = stage(placed.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies")), "shard-placed")
+    total = counted.agg(F.coalesce(F.sum("copies"), F.lit(0))).first()[0]
+    chunks = max(1, -(-total // (shards * SLOT_ROWS)))
+    rows = counted.withColumn("_chunk", F.pmod(F.xxhash64("doc_id", "digest"), F.lit(chunks)))
+    counts = rows.groupBy("shard", "_chunk").agg(F.sum("copies").alias("_rows"))
     before = Window.partitionBy("shard").orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    bases = counts.select("shard", "_chunk", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_base"))
-    place = F.row_number().over(Window.partitionBy("shard", "_chunk").orderBy("doc_id", "digest")) - 1
+    bases = counts.select("shard", "_chunk", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_base"))
+    above = Window.partitionBy("shard", "_chunk").orderBy("doc_id", "digest").rowsBetween(Window.unboundedPreceding, -1)
+    place = F.coalesce(F.sum("copies").over(above), F.lit(0))
     numbered = rows.withColumn("_place", place).join(bases, ["shard", "_chunk"])
-    return numbered.withColumn("slot", F.col("_base") + F.col("_place")).drop("_chunk", "_base", "_place")
+    each = spelled(numbered, ["doc_id", "digest"])
+    return each.withColumn("slot", F.col("_base") + F.col("_place") + F.col("copy") - 1).select(*keys, "slot")
 
 
 def op2_shards(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,7 +7,8 @@ endian. Each data file has an index file with doc_id, offset and tokens of every
 for shuffled reads; a manifest lists the files that won their commit, with their sums.
 
 Null texts are empty texts and give the end id alone. Null doc_ids come first; rows of one
-doc_id are ordered by their text's hash, so reruns agree. An empty table gives no files.
+doc_id are ordered by their text's hash, so reruns agree; equal rows give equal records side by side. Texts of any length are
+encoded whole. Columns other than doc_id and text are ignored whatever their names. An empty table gives no files.
 """
 
 from __future__ import annotations
@@ -397,8 +398,10 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int) -> Non
     """Encode whole texts and write them as records in ascending doc_id order."""
     docs.sparkSession.dataSource.register(TokenRecords)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    order = ["doc_id", F.xxhash64("text")]
-    ordered = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    # Equal rows are told apart by where they were read, so that one repeated row fills no single range.
+    rows = rows.withColumn("_at", F.monotonically_increasing_id())
+    order = ["doc_id", F.xxhash64("text"), "_at"]
+    ordered = rows.repartitionByRange(*order).sortWithinPartitions(*order).drop("_at")
     ordered.write.format(FORMAT).mode("append").options(tokenizer=tokenizer, end_id=str(end_id)).save(path)
 
 

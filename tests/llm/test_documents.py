@@ -10,7 +10,7 @@ import public_tokenizers
 import xxhash
 from tokenizers import Tokenizer
 
-from tastemill.llm import block_names, mixing, packing, simhash, token_records
+from tastemill.llm import block_names, common, mixing, packing, simhash, token_records
 from tastemill.llm.common import fresh_path, stage
 from tastemill.llm.crc32c import crc32c
 from tests.llm.conftest import SF
@@ -239,3 +239,49 @@ def test_mixing_meets_targets(spark):
         target[source] = r.target
         largest[source] = max(largest[source], r["size"])
     assert all(abs(taken[s] - target[s]) <= largest[s] for s in target)
+
+
+def test_repeated_rows_are_spelled_out_in_ranges(spark, monkeypatch):
+    """A third of the rows are one row without an id; no task spells out more than a range of it."""
+    monkeypatch.setattr(common, "COPIES", 7)
+    rows = [(None, "")] * 40 + [(i, f"text {i % 30}") for i in range(60)] + [(5, "text 5")] * 20
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = block_names.exact_groups(docs).collect()
+    assert Counter((r.doc_id, r.group_size, r.kept) for r in got) == Counter(
+        [(None, 40, True)] + [(None, 40, False)] * 39
+        + [(i, 22 if i % 30 == 5 else 2, i >= 30) for i in range(60)] + [(5, 22, False)] * 20
+    )
+    ranges = common.spelled(spark.createDataFrame([(1, 40), (2, 3)], "doc_id long, copies long"), ["doc_id"])
+    assert Counter((r.doc_id, r.copy) for r in ranges.collect()) == Counter([(1, n) for n in range(1, 41)] + [(2, n) for n in range(1, 4)])
+
+
+def test_repeated_rows_have_slots_of_their_own(spark, monkeypatch):
+    """One row is half the table; slots are gapless, and the same in any layout."""
+    monkeypatch.setattr(common, "COPIES", 7)
+    monkeypatch.setattr(packing, "SLOT_ROWS", 5)
+    rows = [(None, "")] * 60 + [(i, f"text {i % 40}") for i in range(60)]
+    found = []
+    for parts in (1, 7):
+        docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(parts)
+        slots = packing.number_slots(packing.shard_by_bytes(docs, 4), 4).collect()
+        found.append(sorted((r.doc_id is not None, r.doc_id, r.digest, r.shard, r.slot) for r in slots))
+    assert found[0] == found[1] and Counter((d, t) for d, t in rows) == Counter((r[1], next(t for _, t in rows if hashlib.sha256(t.encode()).hexdigest() == r[2])) for r in found[0])
+    for shard in {r[3] for r in found[0]}:
+        own = sorted(r[4] for r in found[0] if r[3] == shard)
+        assert own == list(range(len(own)))
+
+
+def test_records_of_one_repeated_row_are_spread(spark):
+    docs = spark.createDataFrame([(None, "same")] * 400 + [(i, f"t {i}") for i in range(100)], "doc_id long, text string")
+    path = fresh_path(spark, "records")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        token_records.write_tokens(docs.repartition(5), path, BPE, 2)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    import glob
+
+    sizes = [len(open(p, "rb").read()) for p in glob.glob(path.removeprefix("file:") + "/*.records")]
+    assert len(sizes) > 2 and max(sizes) < 0.6 * sum(sizes)
+    got = token_records.read_tokens(spark, path).orderBy("start").collect()
+    assert [r.doc_id for r in got] == [None] * 400 + list(range(100))
