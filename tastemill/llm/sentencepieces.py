@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import os
 import struct
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
@@ -175,12 +176,15 @@ class Codec:
         )
         self.cache = ChunkCache(self._learn, dropped=self._forget)  # a chunk's ids, by what follows its first space
         self.odd: set[str] = set()  # remembered chunks whose ids differ from the library's
-        # What each piece decodes to; byte pieces only do so together.
-        self.texts = pa.array(["" if k == BYTE else self.parts.decode([i], skip_special_tokens=False) for i, (_, _, k) in enumerate(m.pieces)])
-        self.bytes = np.array([k == BYTE for _, _, k in m.pieces])
+        # What each piece decodes to; bytes beyond ASCII only do so together.
+        value = [int(t[3:5], 16) if k == BYTE else -1 for t, _, k in m.pieces]
+        self.texts = pa.array([
+            "" if b >= 0x80 else chr(b) if b >= 0 else self.parts.decode([i], skip_special_tokens=False) for i, b in enumerate(value)
+        ])
+        self.bytes = np.array(value) >= 0x80
 
     def _learn(self, chunks: list[str]) -> list[bytes]:
-        marked = [(" " + c).replace(" ", MARK) for c in chunks]
+        marked = [MARK + (c.replace(" ", MARK) if " " in c else c) for c in chunks]
         made = [e.ids for e in self.parts.encode_batch_fast(marked, add_special_tokens=False)]
         expected = self.judge.encode(chunks, num_threads=1)
         out = []
@@ -189,7 +193,7 @@ class Codec:
                 want = [self.judge.piece_to_id(MARK)]
             if ids != want:
                 self.odd.add(chunk)
-            out.append(np.asarray(ids, "<i4").tobytes())
+            out.append(array("i", ids).tobytes())
         return out
 
     def _forget(self, known) -> None:
@@ -225,7 +229,7 @@ class Codec:
         made = []
         for text, chunks in zip(texts, cut):
             if chunks:
-                made.append((b"".join(self.cache.values(chunks)), self.odd.isdisjoint(chunks)))
+                made.append((b"".join(self.cache.values(chunks)), not self.odd or self.odd.isdisjoint(chunks)))
             else:
                 made.append(self._encode_whole(text) if text else (b"", True))
         back = self.decode([ids for ids, _ in made])
@@ -235,7 +239,7 @@ class Codec:
         ]
 
     def decode(self, rows: list[bytes]) -> list[str]:
-        """The texts of rows of ids; those without byte pieces are their pieces' texts side by side."""
+        """The texts of rows of ids; those without bytes beyond ASCII are their pieces' texts side by side."""
         ids = np.frombuffer(b"".join(rows), "<i4")
         ends = np.concatenate([[0], np.cumsum([len(r) // 4 for r in rows])]).astype(np.int64)
         before = np.concatenate([[0], np.cumsum(self.bytes[ids])])
