@@ -26,7 +26,8 @@ SCALE = 1024
 EXACT = 2.0 ** 53  # whole numbers up to here are doubles
 CANDIDATES = 1 << 14  # rows of a candidate block
 QUERIES = 1 << 12  # rows of a query block
-DIMENSIONS = 8  # dimensions added between two rounds of pruning
+DIMENSIONS, FIRST = 8, 16  # dimensions added between two rounds of pruning, and before the first with a bar (twice without)
+FEW = 16  # below this fraction of a block the rest of the survivors is scored at once
 ENDS = (-(2 ** 63), 2 ** 63 - 1)
 RESULT = "query_row long, query_id long, row long, vec_id long, score long"
 
@@ -61,9 +62,9 @@ class Block:
         self.columns = columns
         self.exact = columns.dtype != object  # bounds are doubles; beyond these, all candidates are scored
         self.approximate = columns.astype(np.float64) if self.exact else np.zeros(columns.shape)
-        self.squares = self.approximate ** 2
-        self.mass = self.squares.sum(axis=0)
-        self.spread = np.sqrt(self.squares.mean(axis=1)) if columns.shape[1] else np.zeros(len(columns))
+        squares = self.approximate ** 2
+        self.mass = squares.sum(axis=0)
+        self.spread = np.sqrt(squares.mean(axis=1)) if columns.shape[1] else np.zeros(len(columns))
         self.high, self.low = (f(self.approximate, axis=1) if columns.shape[1] else np.zeros(len(columns)) for f in (np.max, np.min))
 
 
@@ -80,23 +81,28 @@ def query_topk(
     alive = others
     score = np.zeros(len(alive), block.columns.dtype)
     mass = block.mass[alive]
-    for low in range(0, dim, DIMENSIONS):
-        dims, rest = order[low : low + DIMENSIONS], slice(min(low + DIMENSIONS, dim), dim)
-        here = np.ix_(dims, alive) if len(alive) < len(ids) else dims
-        score = score + query[dims] @ block.columns[here]
-        if block.exact and (len(alive) > k or bar > -np.inf):
-            mass = mass - block.squares[here].sum(axis=0)
-            reach = norms[rest.start] * np.sqrt(np.maximum(mass, 0) + 1e-9 * block.mass[alive]) * (1 + 1e-9)
-            known = score.astype(np.float64)
-            assured = known + np.maximum(-reach, losses[rest].sum())
-            own = np.partition(assured, -k)[-k] if len(alive) >= k else -np.inf
-            least = max(bar, own)
+    low = 0
+    while low < dim:
+        # Few are left: what remains of them is added at once. At the beginning nothing can be told from a few dimensions.
+        few = len(alive) * FEW <= len(ids)
+        high = dim if few else min(dim, low + (DIMENSIONS if low else FIRST if bar > -np.inf else 2 * FIRST))
+        dims = order[low:high]
+        part = block.columns[np.ix_(dims, alive)] if len(alive) < len(ids) else block.columns[dims]
+        score = score + query[dims] @ part
+        low = high
+        if low < dim and block.exact and (len(alive) > k or bar > -np.inf):
+            mass = mass - np.einsum("ij,ij->j", part, part)
+            reach = norms[low] * np.sqrt(np.maximum(mass, 0) + 1e-9 * block.mass[alive]) * (1 + 1e-9)
+            least = bar
+            if len(alive) >= k:
+                assured = score + np.maximum(-reach, losses[low:].sum())
+                least = max(least, np.partition(assured, -k)[-k])
             least -= 1e-9 * abs(least) + 1e-6
-            stay = known + np.minimum(reach, gains[rest].sum()) >= least
-            if not stay.all():
+            stay = np.flatnonzero(score + np.minimum(reach, gains[low:].sum()) >= least)
+            if len(stay) < len(alive):
                 alive, score, mass = alive[stay], score[stay], mass[stay]
         if alive_by_round is not None:
-            alive_by_round.append(len(alive))
+            alive_by_round.append((low, len(alive)))
     if score.dtype == object:
         score = np.array([min(max(int(s), ENDS[0]), ENDS[1]) for s in score], np.int64)
     else:
