@@ -8,6 +8,7 @@ from tastemill.operators import als, checks, signals
 from tastemill.operators.evaluate import rmse
 from tastemill.operators.sampling import split_per_user, with_row_key
 from tastemill.plans import experiments as ex
+from tastemill.sources.tables import write_table
 
 CONFIG = ex.explicit_config(rank=3, reg_param=0.01, max_iter=8, pool=30)
 
@@ -289,3 +290,26 @@ def test_comparison_over_common_users(spark, tmp_path):
     assert plain == {100: 3, 1000: 3}
     with pytest.raises(ValueError, match="user metrics"):
         ex.compare_models(table, base, common_cohort=True)
+
+
+def test_missed_items_score_all_pairs_once_per_pool(spark, tmp_path, monkeypatch):
+    model, pairs, seen, _, _ = given_model(spark, tmp_path / "model")
+    users = spark.createDataFrame([(u,) for u in seen], "user_id int")
+    plain = als.als_candidates
+    scored = spark.sparkContext.accumulator(0)
+
+    def counted(model, users, pool):
+        mark = F.udf(lambda score: scored.add(1) or score, "float").asNondeterministic()
+        return plain(model, users, pool).withColumn("score", mark("score"))
+
+    monkeypatch.setattr(als, "als_candidates", counted)
+    cut = als.recommend_topk(model, users, pairs, 10, 300)
+    kept = write_table(cut, str(tmp_path / "cut"))
+    once = scored.value
+    assert once == len(seen) * 300
+    best = write_table(als.recommend_topk(model, users, pairs, 10, 300, True), str(tmp_path / "best"))
+    assert scored.value == 2 * once
+    full = als.recommend_topk(model, users, pairs, 10, 300, True, kept)
+    got = [checks.missed_items(model, recs, pairs, users, 10, 300, best).first() for recs in (kept, full)]
+    assert [tuple(r) for r in got] == [(len(seen), 0, 0)] * 2
+    assert scored.value == 2 * once
