@@ -285,7 +285,8 @@ def candidate_pairs(
     of each set. Where one is enough, the readers behind it must still suffice for the
     rest of ``need``, which the first common one of a fitting pair satisfies: that
     keeps near copies, which all share their frequent readers, from meeting each other. A hot item is numbered per slice; its prefix is then a superset,
-    which only adds candidates. A reader is in no more sets than there are, so
+    which only adds candidates. A met pair must also have bits that allow ``need``: among
+    sets that share one reader by chance few do, and only those are counted by pair. A reader is in no more sets than there are, so
     the reader joins are sliced only when there are more than ``hot_rows`` sets.
 
     With ``buckets``, (rep, turn, hash) of crowded signature buckets, only pairs count that
@@ -300,7 +301,7 @@ def candidate_pairs(
     degree = rows.groupBy("reader").agg(F.count("*").alias("n"))
     hot_readers = hot_keys(degree, "reader", hot_rows) if sets > hot_rows else None
     ranked = sliced_join(rows, degree, "reader", "item_id", hot_readers)
-    order = W.partitionBy("item_id", "_slice").orderBy("n", "reader")
+    order = W.partitionBy("item_id", *([] if hot is None else ["_slice"])).orderBy("n", "reader")
     r = F.col("reader_count")
     prefix = (
         slice_rows(ranked, "item_id", "reader", hot)
@@ -313,14 +314,16 @@ def candidate_pairs(
     else:
         turns = buckets.withColumnRenamed("rep", "item_id")
         prefix = prefix.join(turns, "item_id").withColumn("meet", F.struct("turn", "hash", "reader")).drop("turn", "hash")
-    names = ["item_id", "reader_count", "pos", *hs]
+    of_set = classes.select(F.col("rep").alias("item_id"), "spare", *BITS)
+    prefix = sliced_join(prefix, of_set, "item_id", "reader", hot)
+    names = ["item_id", "reader_count", "pos", "spare", *BITS, *hs]
     left = prefix.select("meet", *[F.col(c).alias(f"a_{c}") for c in names])
     right = prefix.select("meet", *[F.col(c).alias(f"b_{c}") for c in names])
     pair_rows = hot_rows // 10
     in_prefix = prefix.groupBy("meet").agg(F.count("*").alias("n"))
     hot_prefix = hot_keys(in_prefix, "meet", pair_rows) if sets > pair_rows else None
     ra, rb = F.col("a_reader_count"), F.col("b_reader_count")
-    fits = _smaller_first(floor)
+    fits = _smaller_first(floor) & (most_shared("a_", "b_") >= needed(floor, ra, rb))
     if shared == 1:
         behind = F.least(ra - F.col("a_pos"), rb - F.col("b_pos"))
         fits = fits & (behind + 1 >= t / (t + 1) * (ra + rb) - EPS)

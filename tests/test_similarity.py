@@ -158,6 +158,22 @@ def test_recall_of_collisions(spark, tmp_path):
     assert found[1] > 100 and found[0] >= 0.95 * found[1]
 
 
+@pytest.mark.parametrize("hot_rows", [10**6, 30])
+def test_pairs_whose_bits_are_too_few_are_not_counted(spark, tmp_path, hot_rows):
+    rng = random.Random(6)
+    sets = {i: set(rng.sample(range(600), 40)) for i in range(60)}
+    sets[60] = set(sorted(sets[0])[:20]) | set(range(700, 720))
+    readers, classes, hs = classes_of(spark, sets, tmp_path)
+    hot = None
+    if hot_rows < 40:
+        hot = similarity.hot_items(classes.withColumnRenamed("rep", "item_id"), 40, hot_rows)
+    met = similarity.candidate_pairs(classes, readers, hs, 0.1, hot, hot_rows, len(sets))
+    pairs = {(r.a, r.b) for r in met.collect()}
+    allowed = {(r.a, r.b) for r in similarity.bounded_pairs(met, classes, 0.1).collect()}
+    need = {(i, j) for i in sets for j in sets if i < j and len(sets[i] & sets[j]) >= 8}
+    assert (0, 60) in need and need <= pairs == allowed
+
+
 def test_bounds_drop_pairs_before_their_sets_are_read(spark, tmp_path):
     sets = {i: set(range(40 * i, 40 * i + 40)) for i in range(8)}
     sets[8] = set(range(36)) | {1000, 1001, 1002, 1003}
