@@ -6,7 +6,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from pyspark.sql.types import BinaryType
+
 from tastemill.functions.hashing import hex_int, md5_bucket, md5_key, xxhash_bucket
+from tastemill.operators.skew import spread
 
 SPLITS = ("train", "validation", "test")
 # A user is never hot below this share of all rows, which bounds the broadcasts whatever the table's size.
@@ -45,14 +48,15 @@ def number_rows(
 ) -> DataFrame:
     """Add ``rn`` (position by ``key`` within the user) and ``n`` (rows of the user).
 
-    ``key`` is a uniform hex string, unique within a user. A user with more than
+    ``key`` is a uniform hex string or its bytes, unique within a user. A user with more than
     ``hot_rows`` rows (and more than rows / HOT_USERS) is cut into key ranges of about that
     size; each range is numbered on its own and shifted by the size of the ranges before
     it, so one user with a third of the table is spread over many tasks and numbered exactly.
     Fewer than HOT_USERS users can be hot and they have fewer than twice as many ranges,
     which bounds the two broadcasts. Two numbers, all rows and the largest user's, are
     read first: without a hot user the plan scans ``df`` once. ``sizes``, (user, n), saves
-    the count where ``df`` is costly to scan twice.
+    the count where ``df`` is costly to scan twice. The rows also say how many tasks are
+    needed, so that each sorts its rows in memory whatever the table's size.
     """
     if sizes is None:
         sizes = df.groupBy(user).agg(F.count("*").alias("n"))
@@ -60,13 +64,14 @@ def number_rows(
     hot_rows = max(hot_rows, rows // HOT_USERS)
     if largest <= hot_rows:
         whole = W.partitionBy(user)
-        return df.withColumn("rn", F.row_number().over(whole.orderBy(key))).withColumn("n", F.count("*").over(whole))
+        return spread(df, rows, user).withColumn("rn", F.row_number().over(whole.orderBy(key))).withColumn("n", F.count("*").over(whole))
     hot = sizes.where(F.col("n") > hot_rows).select(
         user, F.col("n").alias("_total"), F.ceil(F.col("n") / hot_rows).alias("_slices")
     )
+    digits = F.hex(key) if isinstance(df.schema[key].dataType, BinaryType) else F.col(key)
     sliced = (
         df.join(F.broadcast(hot), user, "left")
-        .withColumn("_slice", F.coalesce(_slice_of(F.col(key), F.col("_slices")), F.lit(0)))
+        .withColumn("_slice", F.coalesce(_slice_of(digits, F.col("_slices")), F.lit(0)))
     )
     shifts = (
         sliced.where(F.col("_slices").isNotNull())
@@ -76,7 +81,7 @@ def number_rows(
     )
     part = W.partitionBy(user, "_slice")
     numbered = (
-        sliced
+        spread(sliced, rows, user, "_slice")
         .withColumn("_pos", F.row_number().over(part.orderBy(key)))
         .withColumn("_size", F.count("*").over(part))
         .join(F.broadcast(shifts), [user, "_slice"], "left")

@@ -8,6 +8,17 @@ from pyspark.sql import functions as F
 # Rows of one key that a task may take on. A table of n rows has at most
 # n / HOT_ROWS keys above it, which bounds every broadcast of hot keys.
 HOT_ROWS = 1_000_000
+# Rows that a task may sort or join in memory.
+TASK_ROWS = 500_000
+
+
+def spread(rows: DataFrame, n: int, *keys: str, task_rows: int = TASK_ROWS) -> DataFrame:
+    """Deal ``n`` rows by ``keys`` into tasks of about ``task_rows`` where the session's number of partitions would make
+    larger ones, which sort on disk; the plan's own exchange is left where it doesn't. A join needs both sides dealt by one ``n``."""
+    parts = -(-n // task_rows)
+    if parts <= int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")):
+        return rows
+    return rows.repartition(parts, *keys)
 
 
 def hot_keys(sizes: DataFrame, key: str, limit: int = HOT_ROWS) -> DataFrame:

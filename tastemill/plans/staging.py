@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tastemill.operators.sampling import split_per_user
 from tastemill.session import shared_dir
@@ -23,10 +24,12 @@ def splits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The split interactions, partitioned by ``split``.
 
     Every consumer then reads its split and its columns only, instead of
-    repeating the shuffle of all rows once per branch of its plan.
+    repeating the shuffle of all rows once per branch of its plan. The key only orders the rows, so
+    its 16 bytes are dealt and sorted, not their 32 hex digits.
     """
     key = (spark.sparkContext.applicationId, sf_dir, "splits")
     if key not in _staged:
-        dealt = split_per_user(order_interactions(spark, sf_dir)).drop("row_key")
+        rows = order_interactions(spark, sf_dir).withColumn("row_key", F.unhex("row_key"))
+        dealt = split_per_user(rows).drop("row_key")
         _staged[key] = write_table(dealt, staged_path(spark, sf_dir, "splits"), "split")
     return _staged[key]

@@ -6,15 +6,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tastemill.functions.hashing import md5_key
+from tastemill.operators.skew import spread
 
 
 def order_interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers as users, parts as items, line attributes as rating and flags.
 
-    Under ANSI casts an id beyond int32 is an error, never a wrapped value.
+    Under ANSI casts an id beyond int32 is an error, never a wrapped value. The lines are counted, which
+    reads the files' footers only, so that the join's tasks are small enough to sort in memory.
     """
     lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", "o_custkey")
+    n = lines.count()
+    lines, orders = spread(lines, n, "l_orderkey"), spread(orders, n, "o_orderkey")
     joined = lines.join(orders, lines.l_orderkey == orders.o_orderkey)
     number = F.col("l_linenumber")
     return joined.select(

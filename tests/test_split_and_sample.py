@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from tastemill.operators.sampling import (
     eligible_users, number_rows, sample_users, split_per_user, with_row_key,
 )
-from tastemill.operators.skew import hot_keys, sliced_join
+from tastemill.operators import sampling
+from tastemill.operators.skew import hot_keys, sliced_join, spread
 
 
 def md5(text):
@@ -52,6 +53,26 @@ def test_numbering_matches_a_plain_sort(spark):
         assert got == want
 
 
+@pytest.mark.parametrize("hot", [20, 10**6])
+def test_bytes_of_the_key_give_the_order_of_its_digits(spark, hot):
+    df = histories(spark, {1: 200, 2: 7, 3: 30})
+    want = {(r.user_id, r.item_id): (r.rn, r.n) for r in number_rows(df, "row_key", hot_rows=hot).collect()}
+    short = number_rows(df.withColumn("row_key", F.unhex("row_key")), "row_key", hot_rows=hot)
+    assert {(r.user_id, r.item_id): (r.rn, r.n) for r in short.collect()} == want
+
+
+def test_tasks_grow_in_number_with_the_rows(spark, monkeypatch):
+    df = histories(spark, {u: 20 for u in range(30)})
+    plain = sorted(map(tuple, number_rows(df, "row_key").collect()))
+    assert spread(df, 600, "user_id") is df  # the session's partitions are enough
+    monkeypatch.setattr(sampling, "spread", lambda rows, n, *keys: spread(rows, n, *keys, task_rows=50))
+    for hot in (7, 10**6):
+        numbered = number_rows(df, "row_key", hot_rows=hot)
+        assert sorted(map(tuple, numbered.collect())) == plain
+    assert numbered.select(F.spark_partition_id()).distinct().count() > 4
+    assert numbered.rdd.getNumPartitions() == 12
+
+
 def test_seed_changes_the_order(spark):
     df = histories(spark, {1: 100})
     one = set(map(tuple, split_per_user(df, seed=1).collect()))
