@@ -223,6 +223,47 @@ def test_fits_solve_their_equations_and_moved_ones_do_not(spark, parts, tmp_path
     assert row.unsolved > row.users * 0.9
 
 
+@pytest.mark.parametrize("config", [CONFIG, ex.implicit_config(4, max_iter=3)])
+def test_fit_checks_of_hot_users(parts, config):
+    train = parts[0].unionAll(parts[0].where("user_id < 3")).cache()
+    fitted, signal = ex.fit_model(config, train), ex.training_signal(config, train)
+    weight = checks.dot(F.col("of_user"), F.col("of_item")) - F.col("score")
+    whole, sliced = (
+        {r.user_id: r for r in checks._pulls(fitted, signal, weight, limit).collect()} for limit in (10**6, 7)
+    )
+    assert whole.keys() == sliced.keys() and max(r.n for r in whole.values()) > 21
+    assert sum(r.n for r in whole.values()) == signal.count()
+    for user, row in whole.items():
+        assert sliced[user].n == row.n
+        assert sliced[user].pull == pytest.approx(row.pull, abs=1e-9)
+        assert sliced[user]["size"] == pytest.approx(row["size"], abs=1e-9)
+    more = (config.alpha,) if config.model == "implicit" else ()
+    check = checks.implicit_fit_checks if more else checks.fit_checks
+    row = check(fitted, signal, config.reg_param, *more, hot_rows=7).first()
+    assert row.users == len(whole) and row.unsolved == 0
+
+
+def test_sums_of_fit_checks_are_not_shuffled(spark, parts, model, monkeypatch):
+    shown = []
+
+    def looked_at(plain):
+        def pulls(*args):
+            rows = plain(*args)
+            shown.append(rows._jdf.queryExecution().executedPlan().toString())
+            return rows
+        return pulls
+
+    monkeypatch.setattr(checks, "_pulls", looked_at(checks._pulls))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        row = checks.fit_checks(model, ex.training_signal(CONFIG, parts[0]), CONFIG.reg_param).first()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert row.users > 0 and row.unsolved == 0
+    [plan] = shown
+    assert "partial_sum" in plan and "Exchange" not in plan[:plan.index("partial_sum")]
+
+
 def test_gram_matrix(spark):
     rows = [(i, [float(i), 1.0, float(-i % 3)]) for i in range(7)]
     got = checks.gram_matrix(spark.createDataFrame(rows, "id int, features array<float>").repartition(3), 3)
